@@ -1,8 +1,10 @@
 """Joins of traffic with reference tables whose size is measured first.
 
-A reference table is broadcast only when a count of its rows and bytes says it fits.
-Beyond that bound the join is shuffled, with the hot keys of the traffic spread over as
-many tasks as their share of the rows asks for. Both ways give the same rows.
+A list of a few hundred values becomes an `IN` over literals: no join, inside the scan's
+own stage, pushed into the scan where the column is stored. A larger table is broadcast,
+but only when a count of its rows and bytes says it fits. Beyond that the join is shuffled,
+with the hot keys of the traffic spread over as many tasks as their share of the rows asks
+for. All ways give the same rows.
 """
 
 from __future__ import annotations
@@ -17,16 +19,18 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+LITERAL_ROWS = 1_000
+LITERAL_BYTES = 1024 * 1024
 
 
 @dataclass(frozen=True)
 class Measured:
-    """A reference table with its measured size; `nulls` counts NULLs in its first column."""
+    """A reference table with its measured size and the number of NULLs per column."""
 
     frame: DataFrame
     rows: int
     bytes: int
-    nulls: int
+    nulls: dict[str, int]
     max_rows: int = BROADCAST_ROWS
     max_bytes: int = BROADCAST_BYTES
 
@@ -34,32 +38,50 @@ class Measured:
     def fits(self) -> bool:
         return self.rows <= self.max_rows and self.bytes <= self.max_bytes
 
+    @property
+    def is_short(self) -> bool:
+        return self.fits and self.rows <= LITERAL_ROWS and self.bytes <= LITERAL_BYTES
+
+    @property
+    def has_null(self) -> bool:
+        return any(self.nulls.values())
+
     def map(self, change: Callable[[DataFrame], DataFrame]) -> Measured:
         """Same size, reshaped frame (renames, filters; nothing that adds rows)."""
         return replace(self, frame=change(self.frame))
 
 
+@dataclass(frozen=True)
+class ShortList:
+    """Distinct values of a list known to be short, without its NULL."""
+
+    values: tuple
+    has_null: bool
+    fits: bool = True
+
+
 def measure(
     *frames: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> list[Measured]:
     """Size of all `frames` in one job; one row per frame reaches the driver."""
 
     def size(n: int, frame: DataFrame) -> DataFrame:
-        width = reduce(
-            lambda a, b: a + b,
-            [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in frame.columns],
-        )
+        columns = [F.col(f"`{c}`") for c in frame.columns]
+        widths = [F.coalesce(F.octet_length(c.cast("string")), F.lit(0)) for c in columns]
+        width = reduce(lambda a, b: a + b, widths) + 16
         return frame.agg(
             F.lit(n).alias("n"),
             F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum((width + 16).cast("bigint")), F.lit(0)).alias("bytes"),
-            F.count_if(F.col(f"`{frame.columns[0]}`").isNull()).alias("nulls"),
+            F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"),
+            F.array(*[F.count_if(c.isNull()) for c in columns]).alias("nulls"),
         )
 
     sizes = reduce(DataFrame.unionAll, [size(n, f) for n, f in enumerate(frames)]).collect()
-    by_number = {row["n"]: row for row in sizes}
+    found = {row["n"]: row for row in sizes}
     return [
-        Measured(f, by_number[n]["rows"], by_number[n]["bytes"], by_number[n]["nulls"], max_rows, max_bytes)
+        Measured(
+            f, found[n]["rows"], found[n]["bytes"], dict(zip(f.columns, found[n]["nulls"])), max_rows, max_bytes
+        )
         for n, f in enumerate(frames)
     ]
 
@@ -68,6 +90,34 @@ def as_measured(side: DataFrame | Measured) -> Measured:
     return side if isinstance(side, Measured) else measure(side)[0]
 
 
+def value_lists(rules: DataFrame | Measured) -> dict[str, ShortList | Measured]:
+    """The distinct values of each column of `rules`, as the lists the filters take.
+
+    Only a table measured as short is brought to the driver.
+    """
+    side = as_measured(rules)
+    columns = side.frame.columns
+    if side.is_short:
+        rows = side.frame.collect()
+        return {
+            c: ShortList(tuple(sorted({r[c] for r in rows if r[c] is not None})), bool(side.nulls[c]))
+            for c in columns
+        }
+    return {
+        c: replace(
+            side, frame=side.frame.select(F.col(c).alias("value")).distinct(), nulls={"value": side.nulls[c]}
+        )
+        for c in columns
+    }
+
+
+def as_list(values: DataFrame | Measured | ShortList) -> ShortList | Measured:
+    """A one-column frame as a list; lists stay as they are."""
+    if isinstance(values, DataFrame):
+        return next(iter(value_lists(values).values()))
+    return values
+
+
 @dataclass(frozen=True)
 class Spread:
     """How many tasks each hot value of a key is spread over. At most one entry per

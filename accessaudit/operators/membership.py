@@ -5,23 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.operators.lookup import Measured, Spread, as_measured, join_measured
+from accessaudit.operators.lookup import Measured, ShortList, Spread, as_list, join_measured
 
 NULL_POLICIES = ("sql", "ignore")
+Values = DataFrame | Measured | ShortList
 
 
-def keep_members(
-    df: DataFrame, column: str, values: DataFrame | Measured, spread: Spread | None = None
-) -> DataFrame:
+def keep_members(df: DataFrame, column: str, values: Values, spread: Spread | None = None) -> DataFrame:
     """Rows with `column IN values`; `values` has one column, repeats and NULLs allowed."""
-    known = as_measured(values).map(lambda v: v.toDF(column).where(F.col(column).isNotNull()))
+    values = as_list(values)
+    if isinstance(values, ShortList):
+        return df.where(F.col(column).isin(*values.values))
+    known = values.map(lambda v: v.toDF(column).where(F.col(column).isNotNull()))
     return join_measured(df, known, column, "left_semi", spread)
 
 
 def with_membership(
     df: DataFrame,
     column: str,
-    values: DataFrame | Measured,
+    values: Values,
     flag: str,
     null_policy: str = "sql",
     spread: Spread | None = None,
@@ -33,22 +35,22 @@ def with_membership(
     NULL    the column is NULL; or, under `"sql"`, it is not listed but the list holds a
             NULL, which SQL cannot tell apart. `"ignore"` reads such a list without it.
 
-    An empty list gives false for every non-NULL value. `values` has one column of
-    distinct values. Works the same on a stream, where a null-aware anti join does not.
+    An empty list gives false for every non-NULL value. Works the same on a stream, where
+    a null-aware anti join does not.
     """
     if null_policy not in NULL_POLICIES:
         raise ValueError(f"null_policy must be one of {NULL_POLICIES}")
-    values = as_measured(values)
-    unlisted = F.lit(None) if null_policy == "sql" and values.nulls else F.lit(False)
-    listed = values.map(
-        lambda v: v.toDF(column).where(F.col(column).isNotNull()).withColumn("_listed", F.lit(True))
-    )
-    joined = join_measured(df, listed, column, "left", spread)
-    verdict = (
-        F.when(F.col(column).isNull(), F.lit(None))
-        .when(F.col("_listed"), F.lit(True))
-        .otherwise(unlisted)
-        .cast("boolean")
-    )
-    kept = [f"`{c}`" for c in joined.columns if c != "_listed"]
-    return joined.withColumn(flag, verdict).select(*[k for k in kept if k != f"`{flag}`"], flag)
+    values = as_list(values)
+    kept = [f"`{c}`" for c in df.columns if c != flag]
+    if isinstance(values, ShortList):
+        listed = F.col(column).isin(*values.values)
+    else:
+        marked = values.map(
+            lambda v: v.toDF(column).where(F.col(column).isNotNull()).withColumn("_listed", F.lit(True))
+        )
+        df = join_measured(df, marked, column, "left", spread)
+        kept += [spread.column] if spread and spread.column in df.columns and f"`{spread.column}`" not in kept else []
+        listed = F.col("_listed")
+    unlisted = F.lit(None) if null_policy == "sql" and values.has_null else F.lit(False)
+    verdict = F.when(F.col(column).isNotNull(), F.when(listed, F.lit(True)).otherwise(unlisted))
+    return df.select(*kept, verdict.cast("boolean").alias(flag))

@@ -49,16 +49,25 @@ def violation_rows(verdicts: DataFrame, *keep: str, now: int | Column | None = N
 
 
 def numbered(df: DataFrame, order: list[str], path: str, base: int = 0) -> tuple[DataFrame, int]:
-    """`df` with a dense `pid` = base+1 .. base+n in `order`, and n.
-
-    A range-partitioned sort gives each task a run of rows; each row keeps its task and its
-    place in it. The sorted rows are written once at `path` (the sort's ranges are sampled,
-    so a second evaluation could cut them elsewhere). Counting rows per task then reads one
-    column, and the starts, one per task, are broadcast. No single task sees all rows.
-    Full ties in `order` should be equal rows, or their ids are interchangeable.
+    """`df` with a dense `pid` = base+1 .. base+n, and n.
+
+    With an `order` the rows are sorted over range partitions, and a re-run gives every row
+    the same id; full ties should be equal rows, or their ids are interchangeable. Without
+    one the ids follow the rows as they come, with no shuffle at all. Each row keeps its
+    task and its place in it and is written once at `path`, because a second evaluation
+    could cut the tasks elsewhere. Counting rows per task then reads one column, and the
+    starts, one per task, are broadcast. No single task sees all rows.
     """
     spark = df.sparkSession
-    placed = written(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), path)
+    place = F.monotonically_increasing_id().alias("_place")
+    if order:
+        df = df.persist()  # the sort samples its input before it reads it
+        try:
+            placed = written(df.orderBy(*order).select("*", place), path)
+        finally:
+            df.unpersist()
+    else:
+        placed = written(df.select("*", place), path)
     task = F.shiftright("_place", LOCAL_BITS).cast("int")
     counts = placed.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("n")).collect()
     starts, total = [], 0
@@ -77,7 +86,7 @@ def numbered(df: DataFrame, order: list[str], path: str, base: int = 0) -> tuple
 
 
 def dense_ids(df: DataFrame, order: list[str], base: int = 0) -> DataFrame:
-    """Add `pid` = base+1 .. base+n in `order`; the sorted rows go to the shared folder."""
+    """Add `pid` = base+1 .. base+n, see `numbered`; the rows go to the shared folder."""
     return numbered(df, order, fresh_folder(df.sparkSession, "dense-ids"), base)[0]
 
 

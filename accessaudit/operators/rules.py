@@ -24,12 +24,14 @@ def newest_per_group(rows: DataFrame, group: str, key: str) -> DataFrame:
 def model_rules(models: DataFrame, docs: DataFrame, model_id: int | None = None) -> DataFrame:
     """`id, level, jsonstr` of every model with its newest document, NULL when it has none.
 
-    With `model_id` only that model; the predicate reaches both scans.
+    With `model_id` only that model: its predicate reaches both scans, and each task hands
+    on one document.
     """
     if model_id is not None:
         models = models.where(F.col("id") == F.lit(model_id))
-        docs = docs.where(F.col("modeId") == F.lit(model_id))
-    newest = newest_per_group(docs.where(F.col("modeId").isNotNull()), "modeId", "id")
+        newest = docs.where(F.col("modeId") == F.lit(model_id)).orderBy(F.desc("id")).limit(1)
+    else:
+        newest = newest_per_group(docs.where(F.col("modeId").isNotNull()), "modeId", "id")
     newest = newest.select(F.col("modeId").alias("id"), "jsonstr")
     return models.select("id", F.col("mleve").alias("level")).join(newest, "id", "left")
 

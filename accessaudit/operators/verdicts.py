@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.operators.lookup import Measured, Spread, as_measured
-from accessaudit.operators.membership import keep_members, with_membership
+from accessaudit.operators.lookup import Spread
+from accessaudit.operators.membership import Values, keep_members, with_membership
 from accessaudit.schemas import LOGIN_FAILED, LOGIN_SUCCEEDED, OUTSIDE_WHITELIST
 
-Values = DataFrame | Measured
-
 
 def _not_in(df: DataFrame, column: str, values: Values, null_policy: str) -> DataFrame:
     flagged = with_membership(df, column, values, "_member", null_policy)
@@ -57,9 +55,9 @@ def classify_flow(
     One pass over the visits: three membership flags, one `when`. The branches exclude
     each other, and a flag that is NULL satisfies none of them.
     """
-    flagged = with_membership(visits, "ip", as_measured(whitelist), "_inside", null_policy, spread)
-    flagged = with_membership(flagged, "status_code", as_measured(errors), "_error", null_policy)
-    flagged = with_membership(flagged, "url", as_measured(urls), "_login", null_policy)
+    flagged = with_membership(visits, "ip", whitelist, "_inside", null_policy, spread)
+    flagged = with_membership(flagged, "status_code", errors, "_error", null_policy)
+    flagged = with_membership(flagged, "url", urls, "_login", null_policy)
     inside, error, login = F.col("_inside"), F.col("_error"), F.col("_login")
     verdict = (
         F.when(~inside, F.lit(OUTSIDE_WHITELIST))

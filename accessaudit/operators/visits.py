@@ -7,19 +7,15 @@ from pyspark.sql import functions as F
 
 from accessaudit.functions import canonical_port
 from accessaudit.operators.lookup import Measured, Spread, as_measured, join_measured
-from accessaudit.operators.membership import keep_members
+from accessaudit.operators.membership import Values, keep_members
 
 
-def monitored_service(
-    flow: DataFrame, ports: DataFrame | Measured, servers: DataFrame | Measured
-) -> DataFrame:
+def monitored_service(flow: DataFrame, ports: Values, servers: Values) -> DataFrame:
     """Port in `ports` and server in `servers`: two independent lists, not pairs."""
     return keep_members(keep_members(flow, "port", ports), "serviceIp", servers)
 
 
-def visit_flow(
-    flow: DataFrame, ports: DataFrame | Measured, servers: DataFrame | Measured
-) -> DataFrame:
+def visit_flow(flow: DataFrame, ports: Values, servers: Values) -> DataFrame:
     """Monitored traffic that got an answer."""
     return monitored_service(flow.where(F.col("status_code").isNotNull()), ports, servers)
 

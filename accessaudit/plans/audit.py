@@ -8,34 +8,46 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, Measured, find_spread, measure
+from accessaudit.operators.lookup import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    Measured,
+    ShortList,
+    find_spread,
+    measure,
+    value_lists,
+)
 from accessaudit.operators.packets import parse_packets, project_flow
-from accessaudit.operators.rules import explode_rules, model_rules, rule_list
+from accessaudit.operators.rules import explode_rules, model_rules
 from accessaudit.operators.verdicts import classify_flow
 from accessaudit.operators.visits import enrich_area, enrich_system, visit_flow
-from accessaudit.schemas import SERVICE_MODEL, WHITELIST_MODEL
+from accessaudit.schemas import RULE_ATTRIBUTES, SERVICE_MODEL, WHITELIST_MODEL
+
+
+ListSide = ShortList | Measured
 
 
 @dataclass(frozen=True)
 class References:
-    """Measured reference tables and the levels of the two models."""
+    """Measured reference tables, rule lists, and the levels of the two models."""
 
     area: Measured
     systems: Measured
-    whitelist: Measured
-    ports: Measured
-    servers: Measured
-    errors: Measured
-    urls: Measured
+    whitelist: ListSide
+    ports: ListSide
+    servers: ListSide
+    errors: ListSide
+    urls: ListSide
     violation_level: int
     failure_level: int
+    cached: tuple[DataFrame, ...] = ()
 
     def unpersist(self) -> None:
-        for side in (self.area, self.systems, self.whitelist, self.ports, self.servers, self.errors, self.urls):
-            side.frame.unpersist()
+        for frame in self.cached:
+            frame.unpersist()
 
 
 def gather_references(
@@ -53,23 +65,33 @@ def gather_references(
     `whitelist` has an `ip` column, `service_rules` has `port, ip, error, url`. `cache`
     keeps the tables for the batches that follow.
     """
-    frames = [
+    frames = (
         area.select("c_ip", "c_area"),
         systems.select("port", "id"),
-        rule_list(whitelist, "ip"),
-        rule_list(service_rules, "port"),
-        rule_list(service_rules, "ip"),
-        rule_list(service_rules, "error"),
-        rule_list(service_rules, "url"),
-    ]
+        whitelist.select("ip"),
+        service_rules.select(*RULE_ATTRIBUTES),
+    )
     if cache:
-        frames = [f.persist() for f in frames]
-    sides = measure(*frames, max_rows=max_rows, max_bytes=max_bytes)
-    of_model = lambda n: F.coalesce(F.max(F.when(F.col("id") == n, F.col("mleve"))), F.lit(0))
-    levels = models.agg(
-        of_model(WHITELIST_MODEL).alias("violation"), of_model(SERVICE_MODEL).alias("failure")
-    ).first()
-    return References(*sides, levels["violation"], levels["failure"])
+        frames = tuple(f.persist() for f in frames)
+    areas, monitored, known, rules = measure(*frames, max_rows=max_rows, max_bytes=max_bytes)
+    lists = value_lists(rules)
+    levels = models.agg(_level_of(WHITELIST_MODEL), _level_of(SERVICE_MODEL)).first()
+    return References(
+        area=areas,
+        systems=monitored,
+        whitelist=value_lists(known)["ip"],
+        ports=lists["port"],
+        servers=lists["ip"],
+        errors=lists["error"],
+        urls=lists["url"],
+        violation_level=levels[0],
+        failure_level=levels[1],
+        cached=frames if cache else (),
+    )
+
+
+def _level_of(model_id: int) -> Column:
+    return F.coalesce(F.max(F.when(F.col("id") == model_id, F.col("mleve"))), F.lit(0))
 
 
 def references_from_documents(

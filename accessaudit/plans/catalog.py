@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from accessaudit.functions import after_last_equals
 from accessaudit.operators import identity, packets, results, rules, verdicts, visits
-from accessaudit.operators.lookup import measure
+from accessaudit.operators.lookup import value_lists
 from accessaudit.plans import testbed as tb
 from accessaudit.plans.audit import References, audit_flow, audit_records, enriched_visits
 from accessaudit.session import fresh_folder
@@ -34,8 +34,8 @@ def query(run: Query) -> Query:
 
 
 def _service_lists(spark: SparkSession, *attributes: str) -> list:
-    service = tb.service_rules(spark)
-    return measure(*[rules.rule_list(service, a) for a in attributes])
+    lists = value_lists(tb.service_rules(spark).select(*attributes))
+    return [lists[a] for a in attributes]
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, References]:

@@ -130,9 +130,9 @@ def oracles() -> dict[str, str]:
         "packet_stream": flow("SELECT * FROM flow"),
         "resume_offsets": """
             WITH earliest AS (SELECT CAST(user_id AS INT) AS part, min(event_id) AS off
-                FROM events WHERE event_type = 'click' GROUP BY 1),
-            stored AS (SELECT CAST(user_id AS INT) AS part, max(event_id) AS off
-                FROM events WHERE event_type = 'purchase' AND value > 30 GROUP BY 1)
+                FROM events WHERE event_type = 'click' AND value > 30 GROUP BY 1),
+            stored AS (SELECT CAST(user_id AS INT) AS part, min(event_id) AS off
+                FROM events WHERE event_type = 'purchase' AND value > 100 GROUP BY 1)
             SELECT e.part, CASE WHEN s.off >= e.off THEN s.off ELSE e.off END AS off
             FROM earliest e LEFT JOIN stored s ON e.part = s.part""",
         "table_scan": "SELECT * FROM customer",

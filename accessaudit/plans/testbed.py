@@ -10,10 +10,11 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from accessaudit.operators.rules import explode_rules, model_rules
 from accessaudit.plans.audit import References, gather_references
 from accessaudit.schemas import SERVICE_MODEL, WHITELIST_MODEL
-from accessaudit.operators.rules import explode_rules, model_rules
 
 CLOCK_MS = 1_700_000_000_000  # fixed clock of result rows
 SINCE_MS = 1_705_000_000_000  # mid-January 2024: inside the events' time range
@@ -31,8 +32,16 @@ SERVICE_RULES = tuple(
 )
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A table of the data set; its footer is read for the schema once per application."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def _text(c: str) -> Column:
@@ -217,10 +226,11 @@ def user_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Earliest and stored offsets, one topic partition per user: the first click still kept,
-    and the last larger purchase, which some partitions lack."""
+    """Earliest and stored offsets, one topic partition per user: the first larger click and
+    the first large purchase, which may come earlier, later, or not at all."""
     events = table(spark, sf_dir, "events")
     part = F.col("user_id").cast("int").alias("part")
-    earliest = events.where("event_type = 'click'").groupBy(part).agg(F.min("event_id").alias("off"))
-    stored = events.where("event_type = 'purchase' AND value > 30").groupBy(part).agg(F.max("event_id").alias("off"))
+    first = F.min("event_id").alias("off")
+    earliest = events.where("event_type = 'click' AND value > 30").groupBy(part).agg(first)
+    stored = events.where("event_type = 'purchase' AND value > 100").groupBy(part).agg(first)
     return earliest, stored

@@ -1,0 +1,113 @@
+"""Sizes, and the three ways to join that must agree."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from accessaudit.operators.lookup import (
+    Measured,
+    ShortList,
+    as_list,
+    find_spread,
+    join_measured,
+    measure,
+    value_lists,
+)
+from tests.helpers import plan_of, rows, values
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows on one key, some NULL keys, the rest even."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, "hot").when(n % 17 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), n % 97))
+    return spark.range(6000).select(n.alias("event_id"), key.alias("ip"))
+
+
+@pytest.fixture(scope="module")
+def side(spark):
+    listed = [("hot", "A"), ("hot", "B"), ("k5", "C"), ("k6", "D"), ("k6", "D"), (None, "E"), ("other", "F")]
+    return spark.createDataFrame(listed, "ip string, c_area string")
+
+
+def test_measure_counts_rows_bytes_and_nulls(spark, side):
+    wide = values(spark, "v", 1, None, None, kind="int")
+    first, second = measure(side, wide)
+    assert (first.rows, first.nulls) == (7, {"ip": 1, "c_area": 0})
+    assert first.bytes == sum(len(x) for r in side.collect() for x in r if x) + 7 * 16
+    assert (second.rows, second.nulls) == (3, {"v": 2})
+
+
+def test_empty_table_is_measured(spark):
+    empty = measure(values(spark, "v"))[0]
+    assert (empty.rows, empty.bytes, empty.fits, empty.has_null) == (0, 0, True, False)
+
+
+def test_size_bounds(side):
+    assert measure(side)[0].fits
+    assert not measure(side, max_rows=6)[0].fits
+    assert not measure(side, max_bytes=100)[0].fits
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi"])
+def test_broadcast_and_spread_give_the_same_rows(skewed, side, how):
+    small, large = measure(side)[0], measure(side, max_rows=0)[0]
+    broadcast = join_measured(skewed, small, "ip", how)
+    spread = join_measured(skewed, large, "ip", how)
+    assert broadcast.columns == spread.columns
+    assert rows(broadcast) == rows(spread)
+    assert rows(broadcast) == rows(skewed.join(side, "ip", how).select(*broadcast.columns))
+    assert "Broadcast" in plan_of(broadcast)
+
+
+def test_hot_keys_are_spread_by_their_share(spark, skewed):
+    spread = find_spread(skewed, "ip")
+    hot = {r["ip"]: r["_slots"] for r in spread.hot.collect()}
+    assert set(hot) == {"hot"}
+    assert hot["hot"] == 3  # a third of the rows over 8 partitions
+    slots = spread.traffic(skewed).groupBy("ip", spread.column).count()
+    by_slot = {r[spread.column]: r["count"] for r in slots.where("ip = 'hot'").collect()}
+    assert set(by_slot) == {0, 1, 2}
+    assert max(by_slot.values()) < 2 * min(by_slot.values())
+    assert slots.where("ip IS NULL").count() > 1  # NULL keys do not meet in one task
+    assert slots.where(f"ip LIKE 'k%' AND {spread.column} <> 0").count() == 0
+
+
+def test_slot_of_a_row_is_repeatable(skewed):
+    spread = find_spread(skewed, "ip")
+    assert rows(spread.traffic(skewed)) == rows(spread.traffic(skewed.repartition(5)))
+
+
+def test_two_large_joins_share_one_shuffle_of_the_traffic(spark, skewed, side):
+    large = measure(side.groupBy("ip").agg(F.min("c_area").alias("c_area")), max_rows=0)[0]
+    other = large.map(lambda s: s.select("ip", F.lit(1).alias("mark")))
+    spread = find_spread(skewed, "ip")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        once = join_measured(skewed, large, "ip", "left", spread)
+        both = join_measured(once, other, "ip", "left", spread)
+        shuffles = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hash") for df in (once, both)]
+        assert shuffles[1] <= 2 * shuffles[0] - 1
+        assert rows(both.drop(spread.column), "event_id", "ip", "c_area") == rows(
+            skewed.join(large.frame, "ip", "left"), "event_id", "ip", "c_area"
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_short_lists_and_large_lists(spark):
+    short = as_list(values(spark, "v", "a", "b", "a", None))
+    assert short == ShortList(("a", "b"), True)
+    large = as_list(spark.range(5000).select(F.col("id").cast("string").alias("v")))
+    assert isinstance(large, Measured) and large.rows == 5000 and not large.has_null
+
+
+def test_lists_of_a_table_know_their_own_nulls(spark):
+    table = spark.createDataFrame([("a", None), ("b", "x")], "p string, q string")
+    lists = value_lists(table)
+    assert lists["p"] == ShortList(("a", "b"), False)
+    assert lists["q"] == ShortList(("x",), True)
+    big = spark.range(3000).select(F.col("id").cast("string").alias("p"), F.lit(None).cast("string").alias("q"))
+    lists = value_lists(big)
+    assert not lists["p"].has_null and lists["q"].has_null
+    assert lists["q"].frame.count() == 1

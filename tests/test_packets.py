@@ -1,0 +1,115 @@
+"""Parsing, projection, the batch gate and the field functions."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from accessaudit.functions import (
+    after_last_equals,
+    canonical_port,
+    clock_ms,
+    day_text,
+    iso_date,
+    iso_timestamp,
+    map_key,
+    null_as_word,
+)
+from accessaudit.operators.packets import column_gate, corrupt_packets, parse_packets, project_flow
+from tests.helpers import listed, values
+
+FULL = (
+    '{"@timestamp":"2024-01-01T00:00:07Z","source":{"ip":"10.0.0.8"},"destination":{"ip":"192.168.0.0","port":8089},'
+    '"query":"POST /cas/login","url":{"query":"service=app&username=u8"},"http":{"response":{"status_code":401}}}'
+)
+
+
+def raw(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "id int, value string")
+
+
+def test_one_packet(spark):
+    flow = project_flow(parse_packets(raw(spark, FULL)))
+    assert flow.columns == [
+        "id", "packet_no", "ip", "serviceIp", "port", "requestTime", "url", "query", "status_code",
+    ]
+    assert listed(flow, *flow.columns) == [
+        (0, 0, "10.0.0.8", "192.168.0.0", "8089", "2024-01-01T00:00:07Z", "POST /cas/login",
+         "service=app&username=u8", "401"),
+    ]
+
+
+def test_number_and_text_ports_read_alike(spark):
+    texts = ['{"destination":{"port":80}}', '{"destination":{"port":"80"}}', '{"destination":{"port":"x"}}']
+    assert listed(project_flow(parse_packets(raw(spark, *texts))), "id", "port") == [(0, "80"), (1, "80"), (2, "x")]
+
+
+def test_array_record_gives_several_packets(spark):
+    flow = project_flow(parse_packets(raw(spark, '[{"query":"a"},{"query":"b"}]')))
+    assert listed(flow, "id", "packet_no", "url") == [(0, 0, "a"), (0, 1, "b")]
+
+
+def test_missing_structs_are_null(spark):
+    flow = project_flow(parse_packets(raw(spark, "{}", '{"source":{}}', '{"http":{"response":null}}')))
+    assert listed(flow, "ip", "requestTime", "query", "status_code") == [(None, None, None, None)] * 3
+
+
+def test_malformed_records_are_dead_letters(spark):
+    records = raw(spark, "{bad", FULL, "", None, "123", "[]", '"text"', "[1,2]")
+    assert listed(parse_packets(records), "id") == [(1,)]
+    assert [r for (r,) in listed(corrupt_packets(records), "id")] == [0, 2, 3, 4, 6, 7]
+
+
+def test_binary_values_are_read_as_text(spark):
+    binary = raw(spark, FULL).withColumn("value", F.col("value").cast("binary"))
+    assert listed(project_flow(parse_packets(binary)), "ip") == [("10.0.0.8",)]
+
+
+def test_gate_needs_all_three_somewhere_in_the_batch(spark):
+    spread_out = raw(spark, '{"query":"a"}', '{"http":{}}', '{"destination":{}}')
+    assert column_gate(parse_packets(spread_out)).count() == 3
+    assert column_gate(parse_packets(raw(spark, '{"query":"a"}', '{"http":{}}'))).count() == 0
+    assert column_gate(parse_packets(raw(spark, "{bad"))).count() == 0
+
+
+def test_gate_per_batch(spark):
+    records = spark.createDataFrame(
+        [("x", '{"query":"a","http":{},"destination":{}}'), ("x", "{}"), ("y", '{"query":"a"}')],
+        "batch string, value string",
+    )
+    assert listed(column_gate(parse_packets(records), "batch"), "batch") == [("x",), ("x",)]
+
+
+@pytest.mark.parametrize(
+    "text, user",
+    [("a=1&u=bob", "bob"), ("noeq", "noeq"), ("u=", ""), ("QQ==", ""), ("", ""), (None, None)],
+)
+def test_user_is_what_follows_the_last_equals(spark, text, user):
+    assert values(spark, "q", text).select(after_last_equals("q")).first()[0] == user
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_dates(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = values(spark, "t", "2020-06-01T23:59:59.123Z", "2020-06-01T23:59:59Z", "zz", None)
+        day = datetime.date(2020, 6, 1)
+        assert [r[0] for r in df.select(iso_date("t")).collect()] == [day, day, None, None]
+        assert [r[0] for r in df.select(day_text("t")).collect()] == ["2020-06-01", "2020-06-01", "zz", None]
+        assert [r[0] is None for r in df.select(iso_timestamp("t")).collect()] == [False, False, True, True]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_ports_keys_words_and_clock(spark):
+    df = values(spark, "p", "080", "80", "x", None)
+    assert [r[0] for r in df.select(canonical_port("p")).collect()] == ["80", "80", "x", None]
+    assert [r[0] for r in df.select(map_key("p")).collect()] == ["ip_080", "ip_80", "ip_x", None]
+    assert [r[0] for r in df.select(null_as_word("p")).collect()] == ["080", "80", "x", "null"]
+    assert df.select(clock_ms(5)).first()[0] == 5
+    assert df.select(clock_ms()).distinct().count() == 1
+    assert df.select(clock_ms()).first()[0] > 1_700_000_000_000
+
+
+def test_emptiness(spark):
+    assert values(spark, "v").isEmpty() and not values(spark, "v", "a").isEmpty()
