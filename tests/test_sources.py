@@ -1,0 +1,169 @@
+"""Options, offsets, table scans and sinks. No broker and no database is started: the Kafka
+and JDBC paths are checked on the options they pass to Spark."""
+
+import json
+
+import pytest
+
+from accessaudit.operators.rules import model_rules
+from accessaudit.session import fresh_folder, shared_folder
+from accessaudit.sources.records import (
+    kafka_options,
+    kafka_records,
+    packet_stream,
+    resume_offsets,
+    starting_offsets,
+)
+from accessaudit.sources.sinks import (
+    append_missing,
+    jdbc_write_options,
+    kafka_messages,
+    send_partitions,
+    write_batch,
+)
+from accessaudit.sources.tables import (
+    TableSource,
+    area_table,
+    jdbc_options,
+    read_table,
+    rule_tables,
+    status_table,
+    system_table,
+)
+from tests.helpers import listed, rows
+
+
+def test_kafka_options():
+    options = kafka_options("b1:9092,b2:9092", ["visits", "visits", "more"], max_offsets_per_trigger=10, group="g")
+    assert options == {
+        "kafka.bootstrap.servers": "b1:9092,b2:9092",
+        "subscribe": "more,visits",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "10",
+        "kafka.group.id": "g",
+    }
+    assert kafka_options("b", ["t"], minPartitions="4")["minPartitions"] == "4"
+
+
+def test_kafka_records(spark):
+    row = (b"k", bytearray(b"{}"), "t", 0, 7, 1)
+    raw = spark.createDataFrame([row], "key binary, value binary, topic string, partition int, offset long, timestampType int")
+    assert listed(kafka_records(raw), "topic", "partition", "offset", "value") == [("t", 0, 7, "{}")]
+
+
+def test_kafka_stream_needs_the_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        packet_stream(spark, "kafka", **kafka_options("b:9092", ["t"]))
+
+
+def test_resume_offsets(spark):
+    earliest = spark.createDataFrame([(0, 7), (1, 7), (2, 7)], "part int, off long")
+    stored = spark.createDataFrame([(0, 5), (1, 9), (8, 1)], "part int, off long")
+    out = resume_offsets(earliest, stored)
+    assert listed(out, "part", "off") == [(0, 7), (1, 9), (2, 7)]
+    assert json.loads(starting_offsets("t", out)) == {"t": {"0": 7, "1": 9, "2": 7}}
+    assert listed(resume_offsets(earliest, stored.limit(0)), "part", "off") == [(0, 7), (1, 7), (2, 7)]
+
+
+def test_jdbc_scan_options():
+    connection = {"url": "jdbc:x:y", "driver": "d", "user": "u", "password": "p"}
+    assert jdbc_options("t", connection) == {**connection, "dbtable": "t", "fetchsize": "10000"}
+    split = jdbc_options("t", connection, "id", (0, 100), 8)
+    assert {k: split[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
+        "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "8",
+    }
+    with pytest.raises(ValueError):
+        jdbc_options("t", connection, "id")
+
+
+def test_jdbc_write_options():
+    options = jdbc_write_options("t", {"url": "u"}, batch_size=5, connections=3)
+    assert options == {
+        "url": "u", "dbtable": "t", "batchsize": "5", "numPartitions": "3", "isolationLevel": "READ_COMMITTED",
+    }
+
+
+def test_tables_by_name(spark, tmp_path):
+    spark.createDataFrame([("a", "N", 1)], "c_ip string, c_area string, extra int").write.parquet(f"{tmp_path}/devices.parquet")
+    spark.createDataFrame([("1", "80", 1)], "id string, port string, extra int").write.parquet(f"{tmp_path}/systems.parquet")
+    spark.createDataFrame([(1, 2)], "id int, mleve int").write.parquet(f"{tmp_path}/models.parquet")
+    spark.createDataFrame([(1, 1, "[]")], "id int, modeId int, jsonstr string").write.parquet(f"{tmp_path}/docs.parquet")
+    source = TableSource(folder=str(tmp_path))
+    assert read_table(spark, source, "devices").columns == ["c_ip", "c_area", "extra"]
+    assert area_table(spark, source, "devices").columns == ["c_ip", "c_area"]
+    assert system_table(spark, source, "systems").columns == ["id", "port"]
+    assert status_table(spark, source, "systems").count() == 1
+    models, docs = rule_tables(spark, source, "models", "docs")
+    assert spark.table("models").count() == spark.table("rule_documents").count() == 1
+    assert listed(model_rules(models, docs, 1), "level", "jsonstr") == [(2, "[]")]
+
+
+def test_other_formats(spark, tmp_path):
+    spark.createDataFrame([("a", "N")], "c_ip string, c_area string").write.option("header", True).csv(f"{tmp_path}/d.csv")
+    source = TableSource("csv", str(tmp_path), ".csv", {"header": "true"})
+    assert listed(area_table(spark, source, "d"), "c_ip", "c_area") == [("a", "N")]
+
+
+def test_batch_is_overwritten_on_replay(spark, tmp_path):
+    folder = str(tmp_path / "results")
+    for batch, n in ((0, 10), (1, 5), (1, 5)):
+        write_batch(spark.range(n), folder, batch, n)
+    table = spark.read.parquet(folder)
+    assert listed(table.groupBy("batch_id").count(), "batch_id", "count") == [(0, 10), (1, 5)]
+    assert len(list((tmp_path / "results" / "batch_id=0").glob("*.parquet"))) == 1
+
+
+def test_append_missing_completes_a_half_written_batch(spark):
+    whole = spark.range(10).selectExpr("id AS offset", "id * 2 AS v")
+    half = whole.where("offset < 4")
+    added = append_missing(whole, half, ["offset"])
+    assert rows(half.unionByName(added)) == rows(whole)
+    assert append_missing(whole, whole, ["offset"]).isEmpty()
+
+
+def test_kafka_messages(spark):
+    alarms = spark.createDataFrame([(3, "u", 1, '{"pid":3}')], "pid long, username string, level int, message string")
+    assert listed(kafka_messages(alarms), "key", "value") == [("3", '{"pid":3}')]
+
+
+def test_send_partitions(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def connect():
+        import tempfile
+
+        return open(tempfile.mkstemp(dir=folder, suffix=".txt")[1], "w")
+
+    send = lambda out, chunk: out.write(" ".join(str(r["id"]) for r in chunk) + "\n")
+    send_partitions(spark.range(0, 100, 1, 4), connect, send, batch_size=10)
+    files = list(tmp_path.glob("*.txt"))
+    assert len(files) == 4
+    chunks = [line.split() for f in files for line in f.read_text().splitlines()]
+    assert max(len(c) for c in chunks) == 10
+    assert sorted(int(i) for c in chunks for i in c) == list(range(100))
+
+
+def test_a_failing_client_fails_the_job(spark, tmp_path):
+    closed = str(tmp_path / "closed")
+
+    def connect():
+        class Client:
+            def close(self):
+                open(closed, "w").close()
+
+        return Client()
+
+    def send(client, chunk):
+        raise RuntimeError("no")
+
+    with pytest.raises(Exception):
+        send_partitions(spark.range(1), connect, send)
+    assert (tmp_path / "closed").exists()
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == configured
+    assert fresh_folder(spark, "x").startswith(configured + "/")
+    assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
