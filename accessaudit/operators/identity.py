@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from accessaudit.functions import after_last_equals, clock_ms, map_key
 from accessaudit.operators.lookup import join_measured
-from accessaudit.operators.rules import newest_per_group
 
 
 def login_users(logins: DataFrame, *keep: str) -> DataFrame:
@@ -26,8 +25,12 @@ def max_pid_per_ip(user_ip: DataFrame) -> DataFrame:
 
 
 def latest_user(user_ip: DataFrame) -> DataFrame:
-    """History rows whose `pid` is the greatest of some ip: the current user of each ip."""
-    return newest_per_group(user_ip, "ip", "pid")
+    """History rows whose `pid` is the greatest of some ip: the current user of each ip.
+
+    The maximum combines map-side, so a hot ip is no hot spot, and `pid` is unique, so
+    neither is the semi join; Spark broadcasts its keys when they turn out small.
+    """
+    return user_ip.join(max_pid_per_ip(user_ip).select("pid"), "pid", "left_semi")
 
 
 def attach_known_user(users: DataFrame, latest: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 LITERAL_ROWS = 1_000
 LITERAL_BYTES = 1024 * 1024
+SLOTS_PER_SHARE = 4  # slots per fair share of a hot key: small enough that a few may share a task
 
 
 @dataclass(frozen=True)
@@ -120,12 +121,12 @@ def as_list(values: DataFrame | Measured | ShortList) -> ShortList | Measured:
 
 @dataclass(frozen=True)
 class Spread:
-    """How many tasks each hot value of a key is spread over. At most one entry per
+    """How many slots each hot value of a key is spread over. At most one entry per
     shuffle partition, so the table of them is small whatever the data."""
 
     on: str
     hot: DataFrame
-    partitions: int
+    slots: int  # slots of all rows together, and those of NULL keys
 
     @property
     def column(self) -> str:
@@ -138,7 +139,7 @@ class Spread:
         """
         if self.column in fact.columns:
             return fact
-        slots = F.when(F.col(self.on).isNull(), F.lit(self.partitions)).otherwise(
+        slots = F.when(F.col(self.on).isNull(), F.lit(self.slots)).otherwise(
             F.coalesce(F.col("_slots"), F.lit(1))
         )
         row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
@@ -174,13 +175,14 @@ def find_spread(fact: DataFrame, on: str) -> Spread:
         F.expr(f"approx_top_k(`{on}`, {partitions}, {tracked})").alias("top"),
     ).first()
     rows, top = found["rows"], found["top"] or []
+    slots = SLOTS_PER_SHARE * partitions
     hot = [
-        (item["item"], min(partitions, ceil(item["count"] * partitions / rows)))
+        (item["item"], ceil(min(item["count"], rows) * slots / rows))
         for item in top
         if item["count"] * partitions > rows
     ]
     key_type = fact.schema[on].dataType.simpleString()
-    return Spread(on, spark.createDataFrame(hot, f"`{on}` {key_type}, _slots int"), partitions)
+    return Spread(on, spark.createDataFrame(hot, f"`{on}` {key_type}, _slots int"), slots)
 
 
 def join_measured(

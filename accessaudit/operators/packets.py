@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from accessaudit.functions import day_text, iso_date
 from accessaudit.operators.lookup import join_measured
 from accessaudit.schemas import PACKET_FIELDS, PACKETS
+from accessaudit.session import fresh_folder, written
 
 
 def _identity(df: DataFrame, *besides: str) -> list[str]:
@@ -58,6 +59,8 @@ def column_gate(packets: DataFrame, batch: str | None = None) -> DataFrame:
     if batch is None:
         return packets.where(packets.agg(complete.alias("complete")).scalar())
     passed = packets.groupBy(batch).agg(complete.alias("complete")).where("complete").select(batch)
+    # Written once: measuring and joining the batches found must not parse the packets again.
+    passed = written(passed, fresh_folder(packets.sparkSession, "column-gate"))
     return join_measured(packets, passed, batch, "left_semi")
 
 

@@ -19,12 +19,14 @@ def result_rows(
     now: int | Column | None = None,
     null_as_text: bool = False,
 ) -> DataFrame:
-    """Result columns (all but `pid`) of classified visits; `keep` names identity columns.
+    """Result columns (all but `pid`) of labelled visits; `keep` names identity columns.
 
-    A whitelist violation has no user; its user column holds a single space. With
-    `null_as_text` missing text is written as the word `null`.
+    The user is the `user` column, or else taken from `query`. A whitelist violation has no
+    user; its user column holds a single space. With `null_as_text` missing text is written
+    as the word `null`.
     """
-    user = F.when(F.col("type") == OUTSIDE_WHITELIST, F.lit(" ")).otherwise(after_last_equals("query"))
+    known = F.col("user") if "user" in verdicts.columns else after_last_equals("query")
+    user = F.when(F.col("type") == OUTSIDE_WHITELIST, F.lit(" ")).otherwise(known)
     rows = verdicts.select(
         *keep,
         "ip",
@@ -90,9 +92,11 @@ def dense_ids(df: DataFrame, order: list[str], base: int = 0) -> DataFrame:
     return numbered(df, order, fresh_folder(df.sparkSession, "dense-ids"), base)[0]
 
 
-def alarm_messages(results: DataFrame) -> DataFrame:
-    """One alarm per failed login: `pid, username, level` and the same as JSON `message`."""
-    return _alarms(results.where(F.col("type") == LOGIN_FAILED))
+def alarm_messages(results: DataFrame, level: int | None = None) -> DataFrame:
+    """One alarm per failed login: `pid, username, level` and the same as JSON `message`.
+    `level` replaces the level of the results."""
+    failed = results.where(F.col("type") == LOGIN_FAILED)
+    return _alarms(failed if level is None else failed.withColumn("level", F.lit(level)))
 
 
 def alarms_since(results: DataFrame, since_ms: int) -> DataFrame:

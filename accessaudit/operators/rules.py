@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.operators.lookup import as_measured
 from accessaudit.schemas import RULE_ATTRIBUTES, RULES
 
 
-def newest_per_group(rows: DataFrame, group: str, key: str) -> DataFrame:
-    """The rows of `rows` holding the greatest `key` of their `group`; `key` is unique.
+def newest_documents(docs: DataFrame) -> DataFrame:
+    """`modeId, jsonstr` of the document with the greatest `id` of each model.
 
-    The maximum is found from the two narrow columns with a map-side combine, so a group
-    holding most rows is no hot spot; wide columns are only read for the second step, and
-    are moved only when the keys found are too many to broadcast (then by the unique key).
+    One pass with a map-side combine: each task hands on one document per model, so a model
+    holding most documents is no hot spot.
     """
-    newest = as_measured(rows.groupBy(group).agg(F.max(key).alias(key)).select(key))
-    side = F.broadcast(newest.frame) if newest.fits else newest.frame
-    return rows.join(side, key, "left_semi")
+    newest = F.max(F.struct("id", "jsonstr")).alias("newest")
+    return docs.where(F.col("modeId").isNotNull()).groupBy("modeId").agg(newest).select("modeId", "newest.jsonstr")
 
 
 def model_rules(models: DataFrame, docs: DataFrame, model_id: int | None = None) -> DataFrame:
@@ -31,7 +28,7 @@ def model_rules(models: DataFrame, docs: DataFrame, model_id: int | None = None)
         models = models.where(F.col("id") == F.lit(model_id))
         newest = docs.where(F.col("modeId") == F.lit(model_id)).orderBy(F.desc("id")).limit(1)
     else:
-        newest = newest_per_group(docs.where(F.col("modeId").isNotNull()), "modeId", "id")
+        newest = newest_documents(docs)
     newest = newest.select(F.col("modeId").alias("id"), "jsonstr")
     return models.select("id", F.col("mleve").alias("level")).join(newest, "id", "left")
 

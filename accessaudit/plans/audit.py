@@ -1,7 +1,7 @@
 """The audit as one plan: records -> flow -> visits -> verdicts.
 
 The same functions serve a batch and a stream; nothing here runs a job on the traffic,
-except the search for hot keys when a reference table is too large to broadcast.
+except the search for hot ips when a reference table is too large to broadcast.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from accessaudit.operators.lookup import (
     BROADCAST_ROWS,
     Measured,
     ShortList,
+    Spread,
     find_spread,
     measure,
     value_lists,
@@ -113,16 +114,20 @@ def enriched_visits(flow: DataFrame, refs: References) -> DataFrame:
     return enrich_system(enrich_area(visit_flow(flow, refs.ports, refs.servers), refs.area), refs.systems)
 
 
-def audit_flow(flow: DataFrame, refs: References, null_policy: str = "sql") -> DataFrame:
+def audit_flow(
+    flow: DataFrame, refs: References, null_policy: str = "sql", spread: Spread | None = None
+) -> DataFrame:
     """Verdicts of a flow: its columns plus `c_area, sysid, type, level, status`.
 
     Verdicts need neither area nor system, so visits without one are dropped before those
     joins widen the rest. Whitelist and area are both looked up by ip: when one of them is
     too large to broadcast, the hot ips are found once and both joins share one spread.
+    Finding them reads the traffic once more; a caller who knows them passes `spread`.
     """
     visits = visit_flow(flow, refs.ports, refs.servers)
-    spread = None
-    if not (refs.area.fits and refs.whitelist.fits) and not flow.isStreaming:
+    if (refs.area.fits and refs.whitelist.fits) or flow.isStreaming:
+        spread = None
+    elif spread is None:
         spread = find_spread(visits, "ip")
     verdicts = classify_flow(
         visits,
@@ -138,6 +143,8 @@ def audit_flow(flow: DataFrame, refs: References, null_policy: str = "sql") -> D
     return verdicts.drop(spread.column) if spread else verdicts
 
 
-def audit_records(raw: DataFrame, refs: References, null_policy: str = "sql") -> DataFrame:
+def audit_records(
+    raw: DataFrame, refs: References, null_policy: str = "sql", spread: Spread | None = None
+) -> DataFrame:
     """Verdicts of raw records."""
-    return audit_flow(project_flow(parse_packets(raw)), refs, null_policy)
+    return audit_flow(project_flow(parse_packets(raw)), refs, null_policy, spread)

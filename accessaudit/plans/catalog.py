@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accessaudit.functions import after_last_equals
@@ -13,7 +13,7 @@ from accessaudit.operators.lookup import value_lists
 from accessaudit.plans import testbed as tb
 from accessaudit.plans.audit import References, audit_flow, audit_records, enriched_visits
 from accessaudit.session import fresh_folder
-from accessaudit.sources.records import resume_offsets
+from accessaudit.sources import records as record_sources
 from accessaudit.sources.tables import TableSource, read_table
 from accessaudit.streaming.job import AuditJob, flow_stream
 
@@ -62,8 +62,8 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.explode_rules(rules.model_rules(tb.models(spark, sf_dir), tb.documents(spark, sf_dir)))
 
 
-def _numbered_results(spark: SparkSession, sf_dir: str, now=tb.CLOCK_MS, **options) -> DataFrame:
-    rows = results.result_rows(_verdicts(spark, sf_dir), "event_id", now=now, **options)
+def _numbered_results(spark: SparkSession, sf_dir: str, now: int | Column = tb.CLOCK_MS) -> DataFrame:
+    rows = results.result_rows(_verdicts(spark, sf_dir), "event_id", now=now)
     return results.dense_ids(rows, RESULT_ORDER)
 
 
@@ -86,11 +86,8 @@ def packet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def resume_from_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resume_offsets(*tb.offsets(spark, sf_dir))
-
-
-QUERIES["resume_offsets"] = QUERIES.pop("resume_from_offsets")
+def resume_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_sources.resume_offsets(*tb.offsets(spark, sf_dir))
 
 
 @query
@@ -288,8 +285,14 @@ def result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def result_rows_null_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = results.result_rows(_verdicts(spark, sf_dir), "event_id", now=tb.CLOCK_MS, null_as_text=True)
-    return rows
+    return results.result_rows(_verdicts(spark, sf_dir), "event_id", now=tb.CLOCK_MS, null_as_text=True)
+
+
+@query
+def labelled_result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed logins under a label of the caller's choice instead of the model's level."""
+    users = identity.login_users(_logins(spark, sf_dir, False), "event_id")
+    return results.result_rows(verdicts.with_verdict(users, "3", 2, 1), "event_id", now=tb.CLOCK_MS)
 
 
 @query

@@ -191,6 +191,10 @@ def oracles() -> dict[str, str]:
         "result_rows_null_text": audit(
             f"SELECT event_id, {null_text}, type, level, status, update_time, abnormal FROM results"
         ),
+        "labelled_result_rows": audit(f"""
+            SELECT event_id, ip, string_split(query, '=')[-1] AS "user", sysid AS subsystem, "requestTime",
+              c_area AS area, '3' AS type, 2 AS level, 1 AS status, CAST({CLOCK_MS} AS BIGINT) AS update_time,
+              1 AS abnormal FROM failed"""),
         "violation_rows": audit(f"SELECT {plain} FROM results WHERE type = '1'"),
         "alarm_messages": audit(f"SELECT {alarm} FROM results WHERE type = '3'"),
         "alarms_since": audit(f"""

@@ -102,12 +102,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_of(table(spark, sf_dir, "events"))
 
 
-def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def record_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000) -> DataFrame:
     """The records as a stream over the events table, whose files are the topic."""
     # The pattern in the last letter makes Spark list the path, be it a file or a folder.
     path = f"{sf_dir.rstrip('/')}/events.parque[t]"
-    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(path)
-    return records_of(events)
+    reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)
+    return records_of(reader.option("maxFilesPerTrigger", files_per_batch).parquet(path))
 
 
 def mixed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,8 @@ class AuditJob:
 
     `load` reads the reference tables; it is called again every `refresh_every` batches.
     `identity` names the columns that identify a record (Kafka: topic, partition, offset).
+    `dead_letters` writes the `corrupt` table, for which the batch is read twice and so kept
+    meanwhile; bound its size with `maxOffsetsPerTrigger` or `maxFilesPerTrigger`.
     """
 
     load: Callable[[SparkSession], References]
@@ -48,6 +50,7 @@ class AuditJob:
     null_policy: str = "sql"
     now_ms: int | None = None
     base_pid: int = 0
+    dead_letters: bool = True
     on_batch: Callable[[dict[str, DataFrame], int], None] | None = None
     _refs: References | None = field(default=None, repr=False)
     _loaded_at: int = field(default=-1, repr=False)
@@ -75,7 +78,8 @@ class AuditJob:
     def write_verdicts(self, batch: DataFrame, batch_id: int) -> None:
         """The body of `foreachBatch`."""
         spark = batch.sparkSession
-        batch = batch.persist()
+        if self.dead_letters:
+            batch = batch.persist()
         try:
             verdicts = audit_records(batch, self.references(spark, batch_id), self.null_policy)
             identity = [*self.identity, "packet_no"]
@@ -92,7 +96,8 @@ class AuditJob:
             }
             for name, table in tables.items():
                 write_batch(table, self.folder(name), batch_id, total)
-            write_batch(corrupt_packets(batch), self.folder("corrupt"), batch_id)
+            if self.dead_letters:
+                write_batch(corrupt_packets(batch), self.folder("corrupt"), batch_id)
             if self.on_batch is not None:
                 self.on_batch(
                     {n: spark.read.parquet(f"{self.folder(n)}/batch_id={batch_id}") for n in tables}, batch_id
@@ -102,7 +107,8 @@ class AuditJob:
             )
             write_batch(ledger, self.folder("ledger"), batch_id, 1)
         finally:
-            batch.unpersist()
+            if self.dead_letters:
+                batch.unpersist()
 
     def start(
         self, records: DataFrame, checkpoint: str, trigger: dict | None = None

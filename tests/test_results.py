@@ -23,6 +23,7 @@ from accessaudit.operators.results import (
     verdict_summary,
     violation_rows,
 )
+from accessaudit.operators.verdicts import with_verdict
 from accessaudit.schemas import RESULT_COLUMNS, RESULT_DDL
 from tests.helpers import listed, rows
 
@@ -75,6 +76,18 @@ def test_alarms(verdicts):
     assert texts == [{"pid": 12, "username": "bob", "level": 3}]
 
 
+def test_alarm_level_can_be_replaced(verdicts):
+    results = dense_ids(result_rows(verdicts, "event_id", now=9), ["event_id"])
+    assert listed(alarm_messages(results, level=1), "pid", "level") == [(2, 1), (3, 1)]
+
+
+def test_rows_under_a_label_of_choice(verdicts):
+    users = with_verdict(login_users(verdicts, "event_id").where("event_id > 2"), "3", 7, 1)
+    assert listed(result_rows(users, "event_id", now=9), "event_id", "user", "type", "level", "status") == [
+        (3, None, "3", 7, 1), (4, "eve", "3", 7, 1),
+    ]
+
+
 def test_alarms_since(verdicts):
     clock = F.col("event_id") * 100
     results = dense_ids(result_rows(verdicts, "event_id", now=clock), ["event_id"])

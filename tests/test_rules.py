@@ -11,7 +11,7 @@ from accessaudit.operators.rules import (
     missing_rules,
     model_level,
     model_rules,
-    newest_per_group,
+    newest_documents,
     rule_list,
     rule_values,
 )
@@ -61,16 +61,15 @@ def test_same_as_the_sql_text(spark, models, docs):
         assert rows(model_rules(models, docs, n), "level", "jsonstr") == rows(want, "level", "jsonstr")
 
 
-@pytest.mark.parametrize("bound", [None, 0])
-def test_newest_per_group_with_a_hot_group(spark, monkeypatch, bound):
-    if bound is not None:
-        import accessaudit.operators.lookup as lookup
-
-        monkeypatch.setattr(lookup.Measured, "fits", property(lambda self: False))
+def test_newest_documents_with_a_hot_model(spark):
     n = F.col("id")
-    table = spark.range(3000).select(n.alias("pid"), F.when(n % 3 == 0, "hot").otherwise((n % 50).cast("string")).alias("ip"))
-    want = table.groupBy("ip").agg(F.max("pid").alias("pid"))
-    assert rows(newest_per_group(table, "ip", "pid"), "ip", "pid") == rows(want, "ip", "pid")
+    docs = spark.range(3000).select(
+        n, F.when(n % 3 == 0, 0).otherwise(n % 50).alias("modeId"), F.when(n % 7 != 0, n.cast("string")).alias("jsonstr")
+    )
+    last = {}
+    for row in docs.orderBy("id").collect():
+        last[row["modeId"]] = row["jsonstr"]
+    assert {r["modeId"]: r["jsonstr"] for r in newest_documents(docs).collect()} == last
 
 
 def test_rules_of_every_kind_of_document(spark):

@@ -117,6 +117,13 @@ def test_batch_without_verdicts_and_dead_letters(spark, refs, tmp_path):
     assert audit.next_pid(spark, 1) == 0
 
 
+def test_job_without_dead_letters(spark, records, refs, expected, tmp_path):
+    audit = job(refs, tmp_path, dead_letters=False)
+    audit.write_verdicts(records, 0)
+    assert rows(spark.read.parquet(audit.folder("results")), *KEEP) == expected
+    assert not (tmp_path / "out" / "corrupt").exists()
+
+
 def test_failures_fail_the_batch(spark, refs, tmp_path):
     def broken(tables, batch_id):
         raise RuntimeError("sink down")
