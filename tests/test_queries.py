@@ -6,14 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from accessaudit.operators import lookup
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-TYPES = {
-    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "double": "DOUBLE",
-}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "double": "DOUBLE"}
 
 
 @pytest.fixture(scope="module")
@@ -28,8 +27,7 @@ def test_every_query_has_sql():
     assert set(entry_point.queries()) == set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
-def test_query_matches_sql(spark, data, duck, name):
+def compare(spark, data, duck, name):
     df = entry_point.queries()[name](spark, data)
     columns = sorted(df.columns)
     got = Counter(tuple(r[c] for c in columns) for r in df.collect())
@@ -40,6 +38,13 @@ def test_query_matches_sql(spark, data, duck, name):
     want = Counter(tuple(r[p] for p in places) for r in cursor.fetchall())
     assert sum(want.values()) > 0
     assert got == want
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema} == types
+
+
+@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+def test_query_matches_sql(spark, data, duck, name):
+    compare(spark, data, duck, name)
 
 
 def test_entry(spark):
@@ -57,3 +62,14 @@ def test_offset_cases_all_occur(spark, data):
     assert first.keys() - kept.keys()
     assert any(kept[p] < first[p] for p in first if p in kept)
     assert any(kept[p] > first[p] for p in first if p in kept)
+
+
+LARGE_PATH = ["classify_flow", "outside_whitelist", "auth_success", "attach_known_user", "column_gate", "dense_ids", "verdict_summary"]
+
+
+@pytest.mark.parametrize("name", LARGE_PATH)
+def test_query_matches_sql_when_nothing_may_be_broadcast(spark, data, duck, monkeypatch, name):
+    """The same queries with every reference table taken as too large."""
+    monkeypatch.setattr(lookup.Measured, "fits", property(lambda side: False))
+    monkeypatch.setattr(lookup.Measured, "is_short", property(lambda side: False))
+    compare(spark, data, duck, name)
