@@ -133,7 +133,8 @@ class Spread:
         return f"_spread_{self.on}"
 
     def traffic(self, fact: DataFrame) -> DataFrame:
-        """Add the slot of each row: a hash of the row, so a re-run task repeats it.
+        """Add the slot of each row: a hash of the row and its partition. A re-run task gives
+        the same slots, and even copies of one row differ from partition to partition.
 
         NULL keys never match; they are spread too instead of meeting in one task.
         """
@@ -142,7 +143,7 @@ class Spread:
         slots = F.when(F.col(self.on).isNull(), F.lit(self.slots)).otherwise(
             F.coalesce(F.col("_slots"), F.lit(1))
         )
-        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+        row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in fact.columns])
         return (
             fact.join(F.broadcast(self.hot), self.on, "left")
             .withColumn(self.column, F.pmod(row_hash, slots).cast("int"))

@@ -54,22 +54,23 @@ def numbered(df: DataFrame, order: list[str], path: str, base: int = 0) -> tuple
     """`df` with a dense `pid` = base+1 .. base+n, and n.
 
     With an `order` the rows are sorted over range partitions, and a re-run gives every row
-    the same id; full ties should be equal rows, or their ids are interchangeable. Without
-    one the ids follow the rows as they come, with no shuffle at all. Each row keeps its
-    task and its place in it and is written once at `path`, because a second evaluation
-    could cut the tasks elsewhere. Counting rows per task then reads one column, and the
-    starts, one per task, are broadcast. No single task sees all rows.
+    the same id; rows that tie are ordered by a hash of the whole row. Without an order the
+    ids follow the rows as they come, with no shuffle at all. Each row keeps its task and its
+    place in it and is written once below `path`, because a second evaluation could cut the
+    tasks elsewhere. Counting rows per task then reads one column, and the starts, one per
+    task, are broadcast. No single task sees all rows.
     """
     spark = df.sparkSession
-    place = F.monotonically_increasing_id().alias("_place")
+    position = F.monotonically_increasing_id()
+    placed = df
     if order:
-        df = df.persist()  # the sort samples its input before it reads it
-        try:
-            placed = written(df.orderBy(*order).select("*", place), path)
-        finally:
-            df.unpersist()
-    else:
-        placed = written(df.select("*", place), path)
+        # The sort samples its input before it reads it, so the input is written first. There
+        # every row also gets a number: ranges can then cut through ties and through copies
+        # of one row, which would otherwise all fall to one task.
+        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        rows = df.select("*", row_hash.alias("_hash"), position.alias("_copy"))
+        placed = written(rows, f"{path}/rows").orderBy(*order, "_hash", "_copy").drop("_hash", "_copy")
+    placed = written(placed.select("*", position.alias("_place")), f"{path}/placed")
     task = F.shiftright("_place", LOCAL_BITS).cast("int")
     counts = placed.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("n")).collect()
     starts, total = [], 0

@@ -74,7 +74,16 @@ def test_hot_keys_are_spread_by_their_share(spark, skewed):
 
 def test_slot_of_a_row_is_repeatable(skewed):
     spread = find_spread(skewed, "ip")
-    assert rows(spread.traffic(skewed)) == rows(spread.traffic(skewed.repartition(5)))
+    assert rows(spread.traffic(skewed)) == rows(spread.traffic(skewed))
+
+
+def test_copies_of_one_row_are_spread_too(spark, side):
+    n = F.col("id")
+    copies = spark.range(0, 6000, 1, 40).select(F.when(n % 3 == 0, "hot").otherwise((n % 89).cast("string")).alias("ip"))
+    spread = find_spread(copies, "ip")
+    slots = [r["count"] for r in spread.traffic(copies).where("ip = 'hot'").groupBy(spread.column).count().collect()]
+    assert sum(slots) == 2000 and len(slots) > 5
+    assert rows(join_measured(copies, measure(side, max_rows=0)[0], "ip", "left")) == rows(copies.join(side, "ip", "left"))
 
 
 def test_two_large_joins_share_one_shuffle_of_the_traffic(spark, skewed, side):

@@ -19,6 +19,7 @@ from accessaudit.operators.results import (
     alarm_messages,
     alarms_since,
     dense_ids,
+    numbered,
     result_rows,
     verdict_summary,
     violation_rows,
@@ -110,6 +111,28 @@ def test_dense_ids(spark, base, order):
         assert [(r["bucket"], r["id"]) for r in by_pid] == sorted((r["bucket"], r["id"]) for r in out)
 
 
+def test_ties_and_copies_are_cut_over_tasks(spark, tmp_path):
+    """A third of the rows alike in every column, and an order that ties everywhere."""
+    n = F.col("id")
+    df = spark.range(0, 6000, 1, 12).select(F.lit("t").alias("at"), F.when(n % 3 == 0, -1).otherwise(n).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge such small tasks
+    try:
+        out, total = numbered(df, ["at"], str(tmp_path / "n"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert total == 6000 and sorted(r["pid"] for r in out.collect()) == list(range(1, 6001))
+    assert rows(out, "at", "v") == rows(df)
+    placed = spark.read.parquet(str(tmp_path / "n" / "placed"))
+    per_task = [r["count"] for r in placed.groupBy(F.shiftright("_place", 33)).count().collect()]
+    assert len(per_task) == 8 and max(per_task) < 2000
+
+
+def test_ids_repeat_when_the_rows_arrive_otherwise(spark):
+    n = F.col("id")
+    df = spark.range(0, 500, 1, 4).select((n % 7).alias("bucket"), n.alias("v"))
+    assert rows(dense_ids(df, ["bucket"])) == rows(dense_ids(df.repartition(9), ["bucket"]))
+
+
 def test_dense_ids_of_nothing(spark):
     assert dense_ids(spark.range(0).toDF("id"), ["id"]).count() == 0
 
