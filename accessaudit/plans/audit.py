@@ -29,6 +29,7 @@ from accessaudit.schemas import RULE_ATTRIBUTES, SERVICE_MODEL, WHITELIST_MODEL
 
 
 ListSide = ShortList | Measured
+HOT_IP_SAMPLE = 0.02
 
 
 @dataclass(frozen=True)
@@ -114,6 +115,19 @@ def enriched_visits(flow: DataFrame, refs: References) -> DataFrame:
     return enrich_system(enrich_area(visit_flow(flow, refs.ports, refs.servers), refs.area), refs.systems)
 
 
+def hot_ips(traffic: DataFrame, refs: References, of_records: bool = False) -> Spread | None:
+    """The ips whose rows need spreading, or None when both ip tables fit a broadcast.
+
+    Found on a sample of the traffic, taken before the costly parse. It only decides how rows
+    are dealt over tasks: every row is audited, whichever ips are found.
+    """
+    if (refs.area.fits and refs.whitelist.fits) or traffic.isStreaming:
+        return None
+    some = traffic.sample(HOT_IP_SAMPLE, seed=0)
+    flow = project_flow(parse_packets(some)) if of_records else some
+    return find_spread(visit_flow(flow, refs.ports, refs.servers), "ip")
+
+
 def audit_flow(
     flow: DataFrame, refs: References, null_policy: str = "sql", spread: Spread | None = None
 ) -> DataFrame:
@@ -121,16 +135,12 @@ def audit_flow(
 
     Verdicts need neither area nor system, so visits without one are dropped before those
     joins widen the rest. Whitelist and area are both looked up by ip: when one of them is
-    too large to broadcast, the hot ips are found once and both joins share one spread.
-    Finding them reads the traffic once more; a caller who knows them passes `spread`.
+    too large to broadcast, the hot ips are found once and both joins share one spread. A
+    caller who knows them from an earlier run passes `spread`.
     """
-    visits = visit_flow(flow, refs.ports, refs.servers)
-    if (refs.area.fits and refs.whitelist.fits) or flow.isStreaming:
-        spread = None
-    elif spread is None:
-        spread = find_spread(visits, "ip")
+    spread = spread or hot_ips(flow, refs)
     verdicts = classify_flow(
-        visits,
+        visit_flow(flow, refs.ports, refs.servers),
         refs.whitelist,
         refs.errors,
         refs.urls,
@@ -147,4 +157,5 @@ def audit_records(
     raw: DataFrame, refs: References, null_policy: str = "sql", spread: Spread | None = None
 ) -> DataFrame:
     """Verdicts of raw records."""
+    spread = spread or hot_ips(raw, refs, of_records=True)
     return audit_flow(project_flow(parse_packets(raw)), refs, null_policy, spread)
