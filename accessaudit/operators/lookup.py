@@ -21,6 +21,7 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 LITERAL_ROWS = 1_000
 LITERAL_BYTES = 1024 * 1024
+SKETCH_ITEMS = 1_000_000  # fixed value: the most items the sketch tracks
 SLOTS_PER_SHARE = 4  # slots per fair share of a hot key: small enough that a few may share a task
 
 
@@ -170,10 +171,10 @@ def find_spread(fact: DataFrame, on: str) -> Spread:
     """
     spark = fact.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tracked = max(10_000, 4 * partitions)
+    tracked = min(max(10_000, 4 * partitions), SKETCH_ITEMS)
     found = fact.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(`{on}`, {partitions}, {tracked})").alias("top"),
+        F.expr(f"approx_top_k(`{on}`, {min(partitions, tracked)}, {tracked})").alias("top"),
     ).first()
     rows, top = found["rows"], found["top"] or []
     slots = SLOTS_PER_SHARE * partitions

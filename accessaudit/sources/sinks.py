@@ -30,6 +30,18 @@ def append_missing(rows: DataFrame, existing: DataFrame, key: list[str]) -> Data
     return rows.join(existing.select(*key).distinct(), key, "left_anti")
 
 
+def append_once(
+    rows: DataFrame, existing: DataFrame, key: str, append: Callable[[DataFrame], None]
+) -> None:
+    """Append the rows whose `key` the sink does not hold yet.
+
+    `existing` is read within the range of the rows' keys only, a filter its scan takes over.
+    """
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    if low is not None:
+        append(append_missing(rows, existing.where(F.col(key).between(low, high)), [key]))
+
+
 def jdbc_write_options(
     table: str, connection: dict[str, str], batch_size: int = 10_000, connections: int = 16
 ) -> dict[str, str]:

@@ -10,7 +10,9 @@ from accessaudit.operators.identity import dedup_replay, ip_user_map
 from accessaudit.operators.results import result_rows
 from accessaudit.plans import testbed
 from accessaudit.plans.audit import audit_records
+from accessaudit.schemas import RESULT_COLUMNS, RESULT_DDL
 from accessaudit.sources.records import packet_stream
+from accessaudit.streaming import delivery
 from accessaudit.streaming.job import (
     AuditJob,
     compact_user_map,
@@ -218,3 +220,61 @@ def test_default_trigger_runs_until_stopped(spark, refs, expected, topic, tmp_pa
     finally:
         query.stop()
     assert rows(spark.read.parquet(audit.folder("results")), *KEEP) == expected
+
+
+def test_results_reach_a_database_once(spark, records, refs, tmp_path, monkeypatch):
+    """The database is played by a folder: reading and appending are the only things it does."""
+    table = str(tmp_path / "t_result")
+    spark.createDataFrame([], RESULT_DDL).write.parquet(table)
+    monkeypatch.setattr(delivery.tables, "read_table", lambda s, source, name: s.read.parquet(name))
+    appends = []
+
+    def append(rows, name, connection, **tuning):
+        new = rows.collect()
+        appends.append(len(new))
+        part = new[: len(new) // 2] if len(appends) == 1 else new
+        spark.createDataFrame(part, RESULT_DDL).write.mode("append").parquet(name)
+        if len(appends) == 1:
+            raise RuntimeError("connection lost half way")
+
+    monkeypatch.setattr(delivery.sinks, "append_jdbc", append)
+    seen = []
+    hook = delivery.all_of(delivery.jdbc_results(table, {"url": "u"}), lambda tables, n: seen.append(n))
+    audit = job(refs, tmp_path, on_batch=hook)
+    with pytest.raises(RuntimeError):
+        audit.write_verdicts(records, 0)
+    audit.write_verdicts(records, 0)
+    audit.write_verdicts(records, 0)
+    assert rows(spark.read.parquet(table)) == rows(spark.read.parquet(audit.folder("results")).select(*RESULT_COLUMNS))
+    assert appends[0] > appends[1] > appends[2] == 0
+    assert seen == [0, 0]
+
+
+def test_alarms_and_map_reach_clients(spark, records, refs, tmp_path):
+    said, kept = tmp_path / "said", tmp_path / "kept"
+    said.mkdir()
+    kept.mkdir()
+    said_to, kept_in = str(said), str(kept)
+
+    def opened(folder):
+        import tempfile
+
+        return open(tempfile.mkstemp(dir=folder)[1], "w")
+
+    hook = delivery.all_of(
+        delivery.client_alarms(lambda: opened(said_to), lambda out, text: out.write(text + "\n")),
+        delivery.client_user_map(lambda: opened(kept_in), lambda out, key, user: out.write(f"{key} {user}\n")),
+    )
+    audit = job(refs, tmp_path, on_batch=hook)
+    audit.write_verdicts(records, 0)
+    lines = lambda folder: sorted(line for f in folder.iterdir() for line in f.read_text().splitlines())
+    alarms = spark.read.parquet(audit.folder("alarms"))
+    assert lines(said) == sorted(r["message"] for r in alarms.collect())
+    entries = spark.read.parquet(audit.folder("user_map"))
+    assert lines(kept) == sorted(f"{r['key']} {r['user']}" for r in entries.collect())
+
+
+def test_kafka_alarms_need_the_connector(spark, tmp_path):
+    alarms = spark.createDataFrame([(1, "{}")], "pid long, message string")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        delivery.kafka_alarms("b:9092", "t")({"alarms": alarms}, 0)
