@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accessaudit.functions import day_text, iso_date
 from accessaudit.operators.lookup import join_measured
-from accessaudit.schemas import PACKET_FIELDS, PACKETS
+from accessaudit.schemas import PACKET, PACKET_FIELDS, PACKET_OPTIONS, PACKETS
 from accessaudit.session import fresh_folder, written
 
 
@@ -15,6 +15,24 @@ def _identity(df: DataFrame, *besides: str) -> list[str]:
     return [f"`{c}`" for c in df.columns if c not in besides]
 
 
+# A record holds one packet object or an array of them. An array schema reads both, but
+# objects, the usual case, parse about half again as fast with the struct schema. So records
+# are read as an object first, and only what is no clean object is read as an array.
+
+
+def _as_object() -> Column:
+    text = F.col("value").cast("string")
+    return F.when(~F.ltrim(text).startswith("["), F.from_json(text, PACKET, PACKET_OPTIONS))
+
+
+def _as_array() -> Column:
+    return F.from_json(F.col("value").cast("string"), PACKETS)
+
+
+def _is_clean(packet: Column) -> Column:
+    return packet.isNotNull() & packet["_malformed"].isNull()
+
+
 def parse_packets(raw: DataFrame) -> DataFrame:
     """Parse `value` (one JSON object, or an array of them) into packet columns.
 
@@ -22,15 +40,19 @@ def parse_packets(raw: DataFrame) -> DataFrame:
     packets of one record. Malformed records give no packet, see `corrupt_packets`.
     """
     keep = _identity(raw, "value")
-    packets = F.posexplode(F.from_json(F.col("value").cast("string"), PACKETS))
-    return raw.select(*keep, packets.alias("packet_no", "packet")).select(
-        *keep, "packet_no", *[F.col(f"packet.`{f}`") for f in PACKET_FIELDS]
+    one = F.col("_one")
+    packets = F.when(_is_clean(one), F.array(one)).otherwise(_as_array())
+    return (
+        raw.select(*keep, "value", _as_object().alias("_one"))
+        .select(*keep, F.posexplode(packets).alias("packet_no", "packet"))
+        .select(*keep, "packet_no", *[F.col(f"packet.`{f}`") for f in PACKET_FIELDS])
     )
 
 
 def corrupt_packets(raw: DataFrame) -> DataFrame:
     """Records whose `value` is neither a packet nor an array of packets (dead letters)."""
-    return raw.where(F.from_json(F.col("value").cast("string"), PACKETS).isNull())
+    clean = F.filter(F.array(_as_object()), _is_clean)  # names the parse once, so it runs once
+    return raw.where((F.size(clean) == 0) & _as_array().isNull())
 
 
 def project_flow(packets: DataFrame) -> DataFrame:

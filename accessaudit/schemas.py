@@ -1,17 +1,20 @@
 """Fixed schemas. Nothing is inferred from data on the hot path."""
 
-# One record holds one packet object or an array of them; an array schema accepts both.
 # Ports and status codes are read as text, so `80` and `"80"` compare alike and no
-# comparison ever depends on a type guessed from the batch at hand.
-PACKETS = (
-    "array<struct<"
+# comparison ever depends on a type guessed from the batch at hand. `_malformed` holds the
+# text of a record that is no packet object.
+PACKET = (
+    "struct<"
     "`@timestamp`:string,"
     "source:struct<ip:string>,"
     "destination:struct<ip:string,port:string>,"
     "query:string,"
     "url:struct<query:string>,"
-    "http:struct<response:struct<status_code:string>>>>"
+    "http:struct<response:struct<status_code:string>>,"
+    "_malformed:string>"
 )
+PACKET_OPTIONS = {"columnNameOfCorruptRecord": "_malformed"}
+PACKETS = f"array<{PACKET}>"
 PACKET_FIELDS = ("@timestamp", "source", "destination", "query", "url", "http")
 
 RULES = "array<struct<port:string,ip:string,error:string,url:string>>"

@@ -16,7 +16,8 @@ from accessaudit.functions import (
     null_as_word,
 )
 from accessaudit.operators.packets import column_gate, corrupt_packets, parse_packets, project_flow
-from tests.helpers import listed, values
+from accessaudit.schemas import PACKET_FIELDS, PACKETS
+from tests.helpers import listed, plan_of, values
 
 FULL = (
     '{"@timestamp":"2024-01-01T00:00:07Z","source":{"ip":"10.0.0.8"},"destination":{"ip":"192.168.0.0","port":8089},'
@@ -60,6 +61,37 @@ def test_malformed_records_are_dead_letters(spark):
     assert [r for (r,) in listed(corrupt_packets(records), "id")] == [0, 2, 3, 4, 6, 7]
 
 
+ODD = """{"a":1}|[{"c":1},{bad]|{"query":1} trailing|{"query":{"z":1}}|{"source":5}|[1,2]|{bad|123||null|"x"|[]|
+ [{"query":1},null]|{"query":"a|{"http":[1,{]}|{"destination":{"port":{"x":}}}|{"source":{"ip":"a"},}|  {"query":"b"}|
+[{"source":{"ip":1}}]]|{"source":{"ip":"a" "b"}}|{'query':1}|{"query":01}|{"source":{"ip":NaN}}|{"a":tru}|
+[[{"query":1}]]|{"url":{"query":"\\ud800"}}|{"a":1}{"b":2}|[{"query":1}|{"source":[{"ip":"x"}]}|{"source":"s"}|
+{"url":5,"query":"q"}|{"_malformed":"x","query":"q"}|{"query":"a","query":"b"}|{"destination":{"port":8.50}}|{}|\t[{}]""".split("|")
+
+
+def test_odd_records_read_as_one_array_schema_reads_them(spark):
+    """Reading objects first must not change what a record holds, nor which are corrupt."""
+    records = raw(spark, *ODD, None, FULL, f"[{FULL},{FULL}]")
+    plain = records.select("id", F.posexplode(F.from_json("value", PACKETS)).alias("packet_no", "p"))
+    plain = plain.select("id", "packet_no", *[F.col(f"p.`{f}`") for f in PACKET_FIELDS])
+    assert listed(parse_packets(records)) == listed(plain)
+    bad = records.where(F.from_json("value", PACKETS).isNull())
+    assert listed(corrupt_packets(records), "id") == listed(bad, "id")
+
+
+def test_every_record_is_parsed_or_corrupt_or_empty(spark):
+    records = raw(spark, *ODD, None, FULL)
+    parsed = {r["id"] for r in parse_packets(records).select("id").distinct().collect()}
+    bad = {r["id"] for r in corrupt_packets(records).collect()}
+    empty = {r["id"] for r in records.where("trim(value) = '[]'").collect()}
+    assert not parsed & bad and parsed | bad | empty == set(range(len(ODD) + 2))
+
+
+def test_an_object_is_parsed_once(spark):
+    plan = plan_of(project_flow(parse_packets(raw(spark, FULL))))
+    assert plan.count("from_json(StructField") == 1
+    assert plan_of(corrupt_packets(raw(spark, FULL))).count("from_json(StructField") == 1
+
+
 def test_binary_values_are_read_as_text(spark):
     binary = raw(spark, FULL).withColumn("value", F.col("value").cast("binary"))
     assert listed(project_flow(parse_packets(binary)), "ip") == [("10.0.0.8",)]
