@@ -27,9 +27,8 @@ from accessaudit.operators.verdicts import classify_flow
 from accessaudit.operators.visits import enrich_area, enrich_system, visit_flow
 from accessaudit.schemas import RULE_ATTRIBUTES, SERVICE_MODEL, WHITELIST_MODEL
 
-
 ListSide = ShortList | Measured
-HOT_IP_SAMPLE = 0.02
+HOT_IP_SAMPLE = 0.02  # share of the traffic looked at to find hot ips; all of it is audited
 
 
 @dataclass(frozen=True)
@@ -65,7 +64,7 @@ def gather_references(
     """Measure everything the audit looks up.
 
     `whitelist` has an `ip` column, `service_rules` has `port, ip, error, url`. `cache`
-    keeps the tables for the batches that follow.
+    keeps the tables that fit a broadcast for the batches that follow.
     """
     frames = (
         area.select("c_ip", "c_area"),
@@ -73,9 +72,9 @@ def gather_references(
         whitelist.select("ip"),
         service_rules.select(*RULE_ATTRIBUTES),
     )
-    if cache:
-        frames = tuple(f.persist() for f in frames)
-    areas, monitored, known, rules = measure(*frames, max_rows=max_rows, max_bytes=max_bytes)
+    sides = measure(*frames, max_rows=max_rows, max_bytes=max_bytes)
+    cached = tuple(side.frame.persist() for side in sides if cache and side.fits)
+    areas, monitored, known, rules = sides
     lists = value_lists(rules)
     levels = models.agg(_level_of(WHITELIST_MODEL), _level_of(SERVICE_MODEL)).first()
     return References(
@@ -88,7 +87,7 @@ def gather_references(
         urls=lists["url"],
         violation_level=levels[0],
         failure_level=levels[1],
-        cached=frames if cache else (),
+        cached=cached,
     )
 
 

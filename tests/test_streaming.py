@@ -156,6 +156,10 @@ def test_references_are_reloaded_when_due(spark, refs, tmp_path):
 def test_cached_references_are_released(spark, data):
     cached = testbed.references(spark, data, cache=True)
     assert all(f.storageLevel.useMemory for f in cached.cached)
+    assert len(cached.cached) == 4
+    large = testbed.references(spark, data, cache=True, max_rows=100)
+    assert 0 < len(large.cached) < 4  # what cannot be broadcast is not kept either
+    large.unpersist()
     cached.unpersist()
     assert not any(f.storageLevel.useMemory for f in cached.cached)
 
