@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accessaudit.llm import repeats
+from accessaudit.llm import contamination, repeats, simhash
 from accessaudit.llm.common import read_table
 
 
@@ -14,8 +14,48 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_passages(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return contamination.contamination(docs, items).drop("body")
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_decontaminate": op2_decontaminate,
+    "op8_simhash": op8_simhash,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_decontaminate": r"""
+with d as (
+  select row_number() over () as rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+b as (
+  select item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+item as (select item_id, w, least(13, len(w)) as n from b where len(w) > 0),
+win as (select distinct item_id, n, array_to_string(w[i : i + n - 1], ' ') as passage
+        from (select item_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as i from item)),
+size as (select distinct n from win),
+place as (select rid, w, n, unnest(generate_series(1, len(w) - n + 1)) as i from d, size where len(w) >= n),
+hit as (select p.rid, p.i, p.n, win.item_id
+        from (select rid, i, n, array_to_string(w[i : i + n - 1], ' ') as passage from place) p
+        join win on win.passage = p.passage and win.n = p.n),
+pos as (select rid, count(distinct q) as n_hit
+        from (select rid, unnest(generate_series(i, i + n - 1)) as q from hit) group by rid),
+ids as (select rid, count(*) as n_items, string_agg(id, ',' order by id) as ids
+        from (select distinct rid, item_id::varchar as id from hit) group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join pos using (rid) left join ids using (rid)
+""",
+}
