@@ -12,12 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accessaudit.llm.common import hinted
 from accessaudit.session import fresh_folder, written
 
 WINDOW = 13
-#: Tables below both bounds are broadcast, larger ones joined by shuffle.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 32 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -31,13 +29,6 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SEPARATORS))
 
 
-def hinted(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
-    """`df` marked for a broadcast if a count of its rows and bytes allows it."""
-    width = F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(8)) for c in df.columns), F.lit(8)))
-    found = df.agg(F.count("*"), width).first()
-    return F.broadcast(df) if found[0] <= rows and (found[1] or 0) <= size else df
-
-
 def _documents(docs: DataFrame) -> DataFrame:
     """doc_id, a hash of the text that tells rows of one doc_id apart, and the words."""
     return docs.select(

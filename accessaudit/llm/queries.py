@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from accessaudit.llm import contamination, repeats, simhash
+from accessaudit.llm import contamination, repeats, simhash, tokenfiles, topk, toxicity, wrappers
 from accessaudit.llm.common import read_table
 
 
@@ -19,14 +20,34 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(docs, items).drop("body")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.token_table(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_toxicity": op3_toxicity,
+    "op4_token_files": op4_token_files,
+    "op7_topk": op7_topk,
     "op8_simhash": op8_simhash,
+    "op9_main_text": op9_main_text,
 }
 
 SQL: dict[str, str] = {
