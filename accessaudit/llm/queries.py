@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from accessaudit.llm import contamination, repeats, simhash, tokenfiles, topk, toxicity, wrappers
+from accessaudit.llm import contamination, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
 from accessaudit.llm.common import read_table
 
 
@@ -28,6 +28,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_table(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return urllists.judged(urllists.fetches(pages), urllists.dated_entries(pages))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(read_table(spark, sf_dir, "embeddings"))
 
@@ -40,17 +45,24 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
+    "op6_url_lists": op6_url_lists,
     "op7_topk": op7_topk,
     "op8_simhash": op8_simhash,
     "op9_main_text": op9_main_text,
+    "op10_pieces": op10_pieces,
 }
 
 SQL: dict[str, str] = {
+    "op6_url_lists": urllists.SQL,
     "op2_decontaminate": r"""
 with d as (
   select row_number() over () as rid, doc_id,

@@ -1,0 +1,91 @@
+"""Streaming Viterbi against the whole-text best path, and exact round trips."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from accessaudit.llm import pieces as p
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+TEXTS = st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("  \nthesandrioéß▁")), max_size=120)
+
+
+def brute(known, text):
+    """The best path over the whole text at once."""
+    if not text:
+        return []
+    s = p.SPACE + text.replace(p.SPACE, p.OWN).replace(" ", p.SPACE)
+    best, back = [0.0], [0]
+    for end in range(1, len(s) + 1):
+        options = []
+        for start in range(end):
+            part = s[start:end]
+            if part in known.score:
+                options.append((known.score[part] + best[start], end - start, start))
+            elif start == end - 1:
+                options.append((known.least + best[start], 1, start))
+        top = max(options)
+        best.append(top[0])
+        back.append(top[2])
+    parts, end = [], len(s)
+    while end:
+        parts.append(s[back[end] : end])
+        end = back[end]
+    return [i for x in reversed(parts) for i in known._ids(x)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(TEXTS)
+def test_stream_finds_the_best_path_and_decodes(text):
+    known = p.pieces(PATH)
+    ids = np.frombuffer(known.encode(text), "<u4").tolist()
+    assert ids == brute(known, text)
+    assert known.decode(ids) == text
+
+
+def test_ids_go_out_before_the_text_ends():
+    known = p.pieces(PATH)
+    text = p.SPACE + ("the cat sat on the mat " * 40).replace(" ", p.SPACE)
+    parts = list(known.stream(text))
+    assert len(parts) > 10
+    assert max(map(len, parts)) < 60
+    assert [i for x in parts for i in x] == brute(known, text[1:].replace(p.SPACE, " "))
+
+
+def test_vocabulary_whose_pieces_cross_words(monkeypatch):
+    known = p.Pieces(PATH)
+    monkeypatch.setattr(known, "splits", False)
+    text = "ab  cd, the end of all \n things " * 9
+    assert np.frombuffer(known.encode(text), "<u4").tolist() == brute(known, text)
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(p, "MOST_WORDS", 10)
+    known = p.Pieces(PATH)
+    text = " ".join(f"word{i}" for i in range(100))
+    assert known.decode(np.frombuffer(known.encode(text), "<u4").tolist()) == text
+    assert len(known) <= 10
+
+
+def test_rows(spark):
+    rows = [(1, "The cat"), (2, None), (3, ""), (None, " x  "), (1, "The cat"), (4, "é" * 3000 + " " + "a" * 5000), (5, "�▁\n")]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, ids string")
+    made = p.encoded(df, PATH)
+    got = made.collect()
+    known = p.pieces(PATH)
+    assert sorted((r["n_ids"], r["ids_crc32"]) for r in got) == sorted(
+        (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in (np.frombuffer(known.encode(t or ""), "<u4") for _, t in rows)
+    )
+    assert all(r["round_trip"] and len(r["ids"]) == r["n_ids"] for r in got)
+    back = sorted((r["doc_id"] or 0, r["text"]) for r in p.decoded(made, PATH).collect())
+    assert back == sorted((i or 0, t or "") for i, t in rows)
+    assert p.encoded(df.limit(0), PATH).collect() == []
+
+
+def test_other_models_are_refused(tmp_path):
+    with pytest.raises((OSError, RuntimeError)):
+        p.Pieces(str(tmp_path / "none.model"))
