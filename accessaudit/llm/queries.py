@@ -7,12 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from accessaudit.llm import contamination, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
+from accessaudit.llm import classlm, contamination, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
 from accessaudit.llm.common import read_table
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.repeated_passages(read_table(spark, sf_dir, "documents")).drop("kept")
+    return repeats.repeated_passages(read_table(spark, sf_dir, "documents")).drop("kept", "kept_text")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_table(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classlm.scored(read_table(spark, sf_dir, "documents"))
+
+
 def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return urllists.judged(urllists.fetches(pages), urllists.dated_entries(pages))
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
+    "op5_class_lm": op5_class_lm,
     "op6_url_lists": op6_url_lists,
     "op7_topk": op7_topk,
     "op8_simhash": op8_simhash,

@@ -1,0 +1,49 @@
+"""The pipeline against brute-force versions of its stages, one after another."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+
+import corpus_pipeline
+from accessaudit.llm import pieces, toxicity
+from tests.llm import test_contamination, test_repeats, test_simhash
+
+
+def test_stages_follow_each_other(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    labels, items = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("labels", "benchmark"))
+    model = toxicity.train(docs, labels)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    rows = [r for r in rows if model.score(r[1] or "") < 0.7]
+    assert len(rows) < docs.count()
+    rows = sorted(r for r, (doc, _, group) in zip(rows, test_simhash.brute(rows), strict=True) if doc == group)
+    cut = []
+    smallest = {}
+    for i, t in rows:
+        raw, gone = (t or "").encode(), set()
+        for p in range(len(raw) - 49):
+            if smallest.setdefault(raw[p : p + 50], i) < i:
+                gone.update(range(p, p + 50))
+        cut.append((i, bytes(b for p, b in enumerate(raw) if p not in gone).decode("utf-8", "ignore")))
+    assert cut != rows
+    passages = [tuple(r) for r in items.select("item_id", "text").collect()]
+    dirty = test_contamination.brute(cut, passages)
+    rows = [r for r, d in zip(cut, dirty, strict=True) if not d[5]]
+    assert len(rows) < len(cut)
+    known = pieces.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    blobs = {i: known.encode(t) for i, t in rows}
+    got = corpus_pipeline.run(spark, data).collect()
+    assert sorted((r["doc_id"], r["n_ids"], r["ids_crc32"]) for r in got) == sorted((i, len(b) // 4, zlib.crc32(b)) for i, b in blobs.items())
+    assert all(r["ids"] == np.frombuffer(blobs[r["doc_id"]], "<u4").tolist() for r in got)
+
+
+def test_stages_keep_the_columns(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(30)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, data).columns == docs.columns
+
+
+def test_repeats_are_those_of_the_operator():
+    rows = [(1, "a" * 60), (2, "b" + "a" * 55)]
+    assert [r[2] for r in test_repeats.brute(rows)] == [0, 55]
