@@ -73,12 +73,15 @@ def user_ip_rows(pairs: DataFrame, now: int | None = None) -> DataFrame:
 def dedup_replay(df: DataFrame, identity: list[str], within: str | None = None) -> DataFrame:
     """Drop replayed records by their identity.
 
-    On a stream, `within` (for example "10 minutes") bounds the remembered state and
-    `event_ts` is the event time. In a batch, copies of one record are alike in every
-    column, so grouping keeps one of them with a map-side combine.
+    On a stream, `within` (for example "10 minutes") bounds the remembered state: a record is
+    dropped if its identity came less than that ago. The clock is the arrival of the
+    micro-batch, which the checkpoint keeps for re-runs, so a record is never late, whatever its own
+    time. In a batch, copies of one record are alike in every column, so grouping keeps one
+    of them with a map-side combine.
     """
     if df.isStreaming:
         if within is None:
             raise ValueError("a stream needs `within` to bound its state")
-        return df.withWatermark("event_ts", within).dropDuplicatesWithinWatermark(identity)
+        arrived = df.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+        return arrived.dropDuplicatesWithinWatermark(identity).drop("_arrived")
     return df.dropDuplicates(identity)

@@ -22,6 +22,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 LITERAL_ROWS = 1_000
 LITERAL_BYTES = 1024 * 1024
 SKETCH_ITEMS = 1_000_000  # fixed value: the most items the sketch tracks
+HOT_ROWS = 10_000  # a key with fewer rows is not worth spreading
+STREAM_SLOTS = 8
 SLOTS_PER_SHARE = 4  # slots per fair share of a hot key: small enough that a few may share a task
 
 
@@ -95,20 +97,30 @@ def as_measured(side: DataFrame | Measured) -> Measured:
 def value_lists(rules: DataFrame | Measured) -> dict[str, ShortList | Measured]:
     """The distinct values of each column of `rules`, as the lists the filters take.
 
-    Only a table measured as short is brought to the driver.
+    Each column is judged by itself: one with few distinct values becomes literals, however
+    long the table is. Only such values are brought to the driver.
     """
     side = as_measured(rules)
     columns = side.frame.columns
     if side.is_short:
-        rows = side.frame.collect()
-        return {
-            c: ShortList(tuple(sorted({r[c] for r in rows if r[c] is not None})), bool(side.nulls[c]))
-            for c in columns
-        }
+        short = list(columns)
+    elif not side.fits and side.max_rows < LITERAL_ROWS:  # a caller who allows next to nothing
+        short = []
+    else:
+        sizes = side.frame.agg(
+            *[F.count_distinct(f"`{c}`").alias(f"n{i}") for i, c in enumerate(columns)],
+            *[F.max(F.octet_length(F.col(f"`{c}`").cast("string"))).alias(f"w{i}") for i, c in enumerate(columns)],
+        ).first()
+        short = [
+            c
+            for i, c in enumerate(columns)
+            if sizes[f"n{i}"] <= LITERAL_ROWS and sizes[f"n{i}"] * (sizes[f"w{i}"] or 0) <= LITERAL_BYTES
+        ]
+    found = side.frame.agg(*[F.collect_set(f"`{c}`").alias(c) for c in short]).first() if short else {}
     return {
-        c: replace(
-            side, frame=side.frame.select(F.col(c).alias("value")).distinct(), nulls={"value": side.nulls[c]}
-        )
+        c: ShortList(tuple(sorted(found[c])), bool(side.nulls[c]))
+        if c in short
+        else replace(side, frame=side.frame.select(F.col(f"`{c}`").alias("value")).distinct(), nulls={"value": side.nulls[c]})
         for c in columns
     }
 
@@ -128,6 +140,7 @@ class Spread:
     on: str
     hot: DataFrame
     slots: int  # slots of all rows together, and those of NULL keys
+    least: int = 1  # slots of a key that is not hot
 
     @property
     def column(self) -> str:
@@ -142,7 +155,7 @@ class Spread:
         if self.column in fact.columns:
             return fact
         slots = F.when(F.col(self.on).isNull(), F.lit(self.slots)).otherwise(
-            F.coalesce(F.col("_slots"), F.lit(1))
+            F.coalesce(F.col("_slots"), F.lit(self.least))
         )
         row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in fact.columns])
         return (
@@ -154,7 +167,7 @@ class Spread:
 
     def reference(self, side: DataFrame) -> DataFrame:
         """Repeat the rows of hot keys once per slot."""
-        slots = F.coalesce(F.col("_slots"), F.lit(1))
+        slots = F.coalesce(F.col("_slots"), F.lit(self.least))
         return (
             side.where(F.col(self.on).isNotNull())
             .join(F.broadcast(self.hot), self.on, "left")
@@ -163,8 +176,9 @@ class Spread:
         )
 
 
-def find_spread(fact: DataFrame, on: str) -> Spread:
-    """Values of `on` that hold more rows than one shuffle partition's fair share.
+def find_spread(fact: DataFrame, on: str, scale: float = 1.0) -> Spread:
+    """Values of `on` that hold more rows than one shuffle partition's fair share, and at least HOT_ROWS.
+    Each row of `fact` stands for `scale` rows.
 
     One pass over the key column with a frequent-items sketch (map-side combined). The
     sketch only decides how rows are spread; every row is joined either way.
@@ -181,12 +195,18 @@ def find_spread(fact: DataFrame, on: str) -> Spread:
     hot = [
         (item["item"], ceil(min(item["count"], rows) * slots / rows))
         for item in top
-        if item["count"] * partitions > rows
+        if item["count"] * partitions > rows and item["count"] * scale >= HOT_ROWS
     ]
     key_type = fact.schema[on].dataType.simpleString()
     return Spread(on, spark.createDataFrame(hot, f"`{on}` {key_type}, _slots int"), slots)
 
 
+def even_spread(fact: DataFrame, on: str) -> Spread:
+    """Every key over STREAM_SLOTS, without a look at the data."""
+    key_type = fact.schema[on].dataType.simpleString()
+    return Spread(on, fact.sparkSession.createDataFrame([], f"`{on}` {key_type}, _slots int"), STREAM_SLOTS, STREAM_SLOTS)
+
+
 def join_measured(
     fact: DataFrame,
     side: DataFrame | Measured,
@@ -196,14 +216,22 @@ def join_measured(
 ) -> DataFrame:
     """Join `fact` with a reference table on the column `on` (`left` or `left_semi`).
 
-    A `spread` found by the caller is applied once and its slot column kept, so several
-    large joins on one key share a single shuffle of the traffic.
+    The columns are those of `fact`, then those a left join adds, whatever the table's size.
+    A `spread` found by the caller is applied once and its slot column kept, last, so several
+    large joins on one key share a single shuffle of the traffic. A stream cannot be
+    searched for hot keys: there every key is spread over STREAM_SLOTS.
     """
     side = as_measured(side)
+    columns = list(fact.columns)
+    if how == "left":
+        columns += [c for c in side.frame.columns if c != on]
     if side.fits:
-        return fact.join(F.broadcast(side.frame), on, how)
+        return fact.join(F.broadcast(side.frame), on, how).select(*[f"`{c}`" for c in columns])
     if fact.isStreaming:
-        return fact.join(side.frame, on, how)
-    use = spread or find_spread(fact, on)
+        use = even_spread(fact, on)
+    else:
+        use = spread or find_spread(fact, on)
     joined = use.traffic(fact).join(use.reference(side.frame), [on, use.column], how)
-    return joined if spread else joined.drop(use.column)
+    if spread and use.column not in columns:
+        columns.append(use.column)
+    return joined.select(*[f"`{c}`" for c in columns])

@@ -49,7 +49,7 @@ def with_membership(
             lambda v: v.toDF(column).where(F.col(column).isNotNull()).withColumn("_listed", F.lit(True))
         )
         df = join_measured(df, marked, column, "left", spread)
-        kept += [spread.column] if spread and spread.column in df.columns and f"`{spread.column}`" not in kept else []
+        kept += [f"`{spread.column}`"] if spread and spread.column in df.columns and f"`{spread.column}`" not in kept else []
         listed = F.col("_listed")
     unlisted = F.lit(None) if null_policy == "sql" and values.has_null else F.lit(False)
     verdict = F.when(F.col(column).isNotNull(), F.when(listed, F.lit(True)).otherwise(unlisted))

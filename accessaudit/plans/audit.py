@@ -124,7 +124,7 @@ def hot_ips(traffic: DataFrame, refs: References, of_records: bool = False) -> S
         return None
     some = traffic.sample(HOT_IP_SAMPLE, seed=0)
     flow = project_flow(parse_packets(some)) if of_records else some
-    return find_spread(visit_flow(flow, refs.ports, refs.servers), "ip")
+    return find_spread(visit_flow(flow, refs.ports, refs.servers), "ip", 1 / HOT_IP_SAMPLE)
 
 
 def audit_flow(

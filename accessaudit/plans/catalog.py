@@ -11,11 +11,11 @@ from accessaudit.functions import after_last_equals
 from accessaudit.operators import identity, packets, results, rules, verdicts, visits
 from accessaudit.operators.lookup import value_lists
 from accessaudit.plans import testbed as tb
-from accessaudit.plans.audit import References, audit_flow, audit_records, enriched_visits
+from accessaudit.plans.audit import References, audit_flow, audit_records, references_from_documents
 from accessaudit.session import fresh_folder
 from accessaudit.sources import records as record_sources
 from accessaudit.sources.tables import TableSource, read_table
-from accessaudit.streaming.job import AuditJob, flow_stream
+from accessaudit.streaming.job import AuditJob, current_user_map, flow_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,9 +38,14 @@ def _service_lists(spark: SparkSession, *attributes: str) -> list:
     return [lists[a] for a in attributes]
 
 
-def _enriched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, References]:
+def _visits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, References]:
     refs = tb.references(spark, sf_dir)
-    return enriched_visits(tb.flow(spark, sf_dir), refs), refs
+    return visits.visit_flow(tb.flow(spark, sf_dir), refs.ports, refs.servers), refs
+
+
+def _enriched(rows: DataFrame, refs: References) -> DataFrame:
+    """Area and system of the visits that are left: they take no part in any filter."""
+    return visits.enrich_system(visits.enrich_area(rows, refs.area), refs.systems)
 
 
 def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,10 +53,10 @@ def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _logins(spark: SparkSession, sf_dir: str, succeeded: bool) -> DataFrame:
-    enriched, refs = _enriched(spark, sf_dir)
-    inside = verdicts.inside_whitelist(enriched, refs.whitelist)
+    seen, refs = _visits(spark, sf_dir)
+    inside = verdicts.inside_whitelist(seen, refs.whitelist)
     pick = verdicts.auth_success if succeeded else verdicts.auth_failure
-    return pick(inside, refs.errors, refs.urls)
+    return _enriched(pick(inside, refs.errors, refs.urls), refs)
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,14 +149,14 @@ def visit_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def outside_whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched, refs = _enriched(spark, sf_dir)
-    return verdicts.outside_whitelist(enriched, refs.whitelist)
+    seen, refs = _visits(spark, sf_dir)
+    return _enriched(verdicts.outside_whitelist(seen, refs.whitelist), refs)
 
 
 @query
 def inside_whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched, refs = _enriched(spark, sf_dir)
-    return verdicts.inside_whitelist(enriched, refs.whitelist)
+    seen, refs = _visits(spark, sf_dir)
+    return _enriched(verdicts.inside_whitelist(seen, refs.whitelist), refs)
 
 
 @query
@@ -176,8 +181,8 @@ def auth_success_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def success_not_401(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched, refs = _enriched(spark, sf_dir)
-    return verdicts.success_by_code(verdicts.inside_whitelist(enriched, refs.whitelist), ("401",))
+    seen, refs = _visits(spark, sf_dir)
+    return _enriched(verdicts.success_by_code(verdicts.inside_whitelist(seen, refs.whitelist), ("401",)), refs)
 
 
 @query
@@ -345,12 +350,47 @@ def dedup_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.dedup_replay(flow.unionAll(flow), ["event_id"])
 
 
+def _job(spark: SparkSession, sf_dir: str) -> AuditJob:
+    """The micro-batch job run to the end of its stream, here one batch; the topic holds chat lines too."""
+    out = fresh_folder(spark, "stream")
+    job = AuditJob(load=lambda s: tb.references(s, sf_dir), output=out, identity=("event_id",), now_ms=tb.CLOCK_MS)
+    job.start(tb.record_stream(spark, sf_dir), f"{out}/checkpoint", ONCE).awaitTermination()
+    return job
+
+
 @query
 def stream_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The micro-batch job run to the end of its stream; ids depend on the batches' cut."""
-    out = fresh_folder(spark, "stream-classify")
-    job = AuditJob(
-        load=lambda s: tb.references(s, sf_dir), output=out, identity=("event_id",), now_ms=tb.CLOCK_MS
+    return spark.read.parquet(_job(spark, sf_dir).folder("results")).drop("pid", "batch_id", "packet_no")
+
+
+@query
+def stream_pids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids the job gives out: how many, from which, to which, and how often each."""
+    out = spark.read.parquet(_job(spark, sf_dir).folder("results"))
+    return out.agg(
+        F.count("pid").alias("rows"), F.min("pid").alias("first"), F.max("pid").alias("last"), F.count_distinct("pid").alias("ids")
     )
-    job.start(tb.record_stream(spark, sf_dir), f"{out}/checkpoint", ONCE).awaitTermination()
-    return spark.read.parquet(job.folder("results")).drop("pid", "batch_id", "packet_no")
+
+
+@query
+def stream_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's alarms with the visits they are about; both hold the same ids."""
+    job = _job(spark, sf_dir)
+    alarms = spark.read.parquet(job.folder("alarms")).select("pid", "username", "level")
+    about = spark.read.parquet(job.folder("results")).select("pid", "event_id", "subsystem", "area")
+    return about.join(alarms, "pid").drop("pid")
+
+
+@query
+def stream_user_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    job = _job(spark, sf_dir)
+    return current_user_map(spark, job.folder("user_map"), ["requestTime", "event_id"])
+
+
+@query
+def classify_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules taken from their newest documents, then the audit."""
+    refs = references_from_documents(
+        tb.area(spark, sf_dir), tb.systems(spark, sf_dir), tb.model_levels(spark), tb.rule_documents(spark, sf_dir)
+    )
+    return audit_flow(tb.flow(spark, sf_dir), refs)

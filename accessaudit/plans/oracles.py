@@ -126,6 +126,10 @@ def oracles() -> dict[str, str]:
         f"coalesce({c}, 'null') AS {c}" for c in ("ip", '"user"', "subsystem", '"requestTime"', "area")
     )
     plain = "event_id, ip, \"user\", subsystem, \"requestTime\", area, type, level, status, update_time, abnormal"
+    user_map = """
+        SELECT concat('ip_', ip) AS key, "user", "requestTime", event_id FROM success_users
+        WHERE "user" IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY ip ORDER BY "requestTime" DESC, event_id DESC) = 1"""
     return {
         "packet_stream": flow("SELECT * FROM flow"),
         "resume_offsets": """
@@ -201,10 +205,7 @@ def oracles() -> dict[str, str]:
             SELECT {alarm} FROM results
             WHERE status = 1 AND "user" <> 'null'
               AND epoch_ms(CAST(replace(replace("requestTime", 'T', ' '), 'Z', '') AS TIMESTAMP)) > {SINCE_MS}"""),
-        "ip_user_map": audit("""
-            SELECT concat('ip_', ip) AS key, "user", "requestTime", event_id FROM success_users
-            WHERE "user" IS NOT NULL
-            QUALIFY row_number() OVER (PARTITION BY ip ORDER BY "requestTime" DESC, event_id DESC) = 1"""),
+        "ip_user_map": audit(user_map),
         "short_user_pairs": audit("SELECT DISTINCT ip, \"user\" FROM success_users WHERE length(\"user\") < 8"),
         "user_ip_rows": audit(f"""
             SELECT ip, "user" AS username, CAST({CLOCK_MS} AS BIGINT) AS update_time
@@ -214,4 +215,13 @@ def oracles() -> dict[str, str]:
             FROM verdicts GROUP BY 1, 2, 3"""),
         "dedup_replay": flow("SELECT * FROM flow"),
         "stream_classify": audit(f"SELECT {plain} FROM results"),
+        "stream_pids": audit("""
+            SELECT count(*) AS rows, CAST(1 AS BIGINT) AS first, count(*) AS last, count(*) AS ids FROM results"""),
+        "stream_alarms": audit("""
+            SELECT event_id, subsystem, area, "user" AS username, level FROM results WHERE type = '3'"""),
+        "stream_user_map": audit(user_map),
+        "classify_from_documents": audit("SELECT * FROM verdicts").replace(
+            "SELECT concat('10.0.0.', CAST(c_custkey AS VARCHAR)) AS ip FROM customer WHERE c_mktsegment <> 'BUILDING'",
+            "SELECT concat('10.0.0.', CAST(n_nationkey AS VARCHAR)) AS ip FROM nation",
+        ),
     }

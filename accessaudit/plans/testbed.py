@@ -172,6 +172,15 @@ def service_documents(spark: SparkSession) -> DataFrame:
     )
 
 
+def rule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of both models; the whitelist's lists one address for each nation."""
+    listed = F.sort_array(F.collect_list(F.struct(_client_ip("n_nationkey").alias("ip"))))
+    nations = table(spark, sf_dir, "nation").agg(F.to_json(listed).alias("jsonstr"))
+    return nations.select(F.lit(11).alias("id"), F.lit(WHITELIST_MODEL).alias("modeId"), "jsonstr").unionAll(
+        service_documents(spark)
+    )
+
+
 def service_rules(spark: SparkSession) -> DataFrame:
     return explode_rules(model_rules(model_levels(spark), service_documents(spark), SERVICE_MODEL))
 

@@ -17,12 +17,13 @@ def kafka_options(
     **extra: str,
 ) -> dict[str, str]:
     """Options of the Kafka source: repeated topics count once, no auto-commit (progress
-    lives in the checkpoint), and records aged out of the topic do not fail the query."""
+    lives in the checkpoint). Records that age out of the topic unread fail the query; pass
+    failOnDataLoss="false" to go on without them."""
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": ",".join(sorted(set(topics))),
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import islice
 from math import ceil
 from typing import Any
@@ -31,15 +32,27 @@ def append_missing(rows: DataFrame, existing: DataFrame, key: list[str]) -> Data
 
 
 def append_once(
-    rows: DataFrame, existing: DataFrame, key: str, append: Callable[[DataFrame], None]
+    rows: DataFrame,
+    existing: Callable[[int, int], DataFrame],
+    key: str,
+    append: Callable[[DataFrame], None],
 ) -> None:
-    """Append the rows whose `key` the sink does not hold yet.
+    """Append the rows that the sink does not hold yet, told by all their columns.
 
-    `existing` is read within the range of the rows' keys only, a filter its scan takes over.
+    `existing(low, high)` reads the sink within the range of the rows' keys. A row whose key
+    the sink holds with other contents was written by somebody else: that is an error, not
+    a row delivered before.
     """
     low, high = rows.agg(F.min(key), F.max(key)).first()
-    if low is not None:
-        append(append_missing(rows, existing.where(F.col(key).between(low, high)), [key]))
+    if low is None:
+        return
+    known = existing(low, high).where(F.col(key).between(low, high)).select(rows.columns)
+    held = known.withColumnsRenamed({c: f"held_{c}" for c in rows.columns})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"held_{c}")) for c in rows.columns])
+    taken = rows.join(held, F.col(key) == F.col(f"held_{key}")).where(~same)
+    if not taken.isEmpty():
+        raise ValueError(f"the sink holds other rows under ids from {low} to {high}: take the first id from the sink")
+    append(append_missing(rows, known, [key]))
 
 
 def jdbc_write_options(

@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from accessaudit.operators import lookup
+from accessaudit.operators.membership import keep_members, with_membership
 from accessaudit.operators.lookup import (
     Measured,
     ShortList,
@@ -15,6 +17,12 @@ from accessaudit.operators.lookup import (
 from tests.helpers import plan_of, rows, values
 
 
+@pytest.fixture(autouse=True)
+def small_floor(monkeypatch):
+    """The data are small: any key above its share counts as hot."""
+    monkeypatch.setattr(lookup, "HOT_ROWS", 1)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows on one key, some NULL keys, the rest even."""
@@ -118,5 +126,36 @@ def test_lists_of_a_table_know_their_own_nulls(spark):
     assert lists["q"] == ShortList(("x",), True)
     big = spark.range(3000).select(F.col("id").cast("string").alias("p"), F.lit(None).cast("string").alias("q"))
     lists = value_lists(big)
-    assert not lists["p"].has_null and lists["q"].has_null
-    assert lists["q"].frame.count() == 1
+    assert not lists["p"].has_null and lists["p"].frame.count() == 3000
+    assert lists["q"] == ShortList((), True)
+
+
+def test_few_rows_are_not_spread(spark, skewed, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT_ROWS", 10_000)
+    assert find_spread(skewed, "ip").hot.isEmpty()
+    assert not find_spread(skewed, "ip", 100).hot.isEmpty()  # each row stands for a hundred
+
+
+def test_lists_are_judged_one_by_one(spark):
+    """1,200 urls leave the 3 ports and the only server as literals."""
+    rules = spark.range(1200).selectExpr("cast(id % 3 as string) as port", "'s' as ip", "concat('u', id) as url", "cast(null as string) as error")
+    lists = lookup.value_lists(rules)
+    assert lists["port"] == lookup.ShortList(("0", "1", "2"), False)
+    assert lists["ip"] == lookup.ShortList(("s",), False)
+    assert lists["error"] == lookup.ShortList((), True)
+    assert isinstance(lists["url"], lookup.Measured) and not lists["url"].has_null
+
+
+@pytest.mark.parametrize("max_rows", [lookup.BROADCAST_ROWS, 1])
+@pytest.mark.parametrize("literal_rows", [0, 1000])
+@pytest.mark.parametrize("how", ["left", "left_semi"])
+def test_columns_keep_their_order(spark, monkeypatch, max_rows, literal_rows, how):
+    monkeypatch.setattr(lookup, "LITERAL_ROWS", literal_rows)
+    fact = spark.createDataFrame([(1, "x", "a"), (2, "y", "b"), (3, "z", None)], "event_id long, ip string, port string")
+    side = lookup.measure(spark.createDataFrame([("a", 5), ("c", 6)], "port string, sysid int"), max_rows=max_rows)[0]
+    joined = lookup.join_measured(fact, side, "port", how)
+    assert joined.columns == ["event_id", "ip", "port", *(["sysid"] if how == "left" else [])]
+    listed = lookup.value_lists(side.map(lambda f: f.select("port")))["port"]
+    assert keep_members(fact, "port", listed).columns == fact.columns
+    assert with_membership(fact, "port", listed, "in").columns == [*fact.columns, "in"]
+    assert [tuple(r) for r in keep_members(fact, "port", listed).collect()] == [(1, "x", "a")]

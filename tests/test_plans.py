@@ -4,20 +4,20 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
-from accessaudit.operators.lookup import measure
+from accessaudit.operators.lookup import measure, value_lists
 from accessaudit.operators.visits import visit_flow
 from accessaudit.plans import testbed
 from accessaudit.plans.audit import audit_records
+from accessaudit.plans.catalog import QUERIES
 from tests.helpers import plan_of, values
 
-STREAMS = {"packet_stream", "stream_classify"}
+STREAMS = {name for name in QUERIES if name.startswith("stream_")} | {"packet_stream"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "Window")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS))
 def test_no_cross_join_no_python_no_global_window(spark, data, name):
-    plan = plan_of(entry_point.queries()[name](spark, data))
+    plan = plan_of(QUERIES[name](spark, data))
     assert not [word for word in FORBIDDEN if word in plan]
     assert "SinglePartition" not in plan
 
@@ -48,3 +48,15 @@ def test_broadcasts_are_bounded(spark, data):
     assert not large.fits
     small = testbed.references(spark, data)
     assert small.area.fits and small.area.bytes <= small.area.max_bytes
+
+
+def test_short_lists_reach_the_scan_beside_a_long_one(spark, tmp_path):
+    """1,200 urls do not keep the ports and servers of the same table from the scan."""
+    flow = spark.range(9).selectExpr("cast(id as string) as port", "'s' as serviceIp", "'200' as status_code")
+    flow.write.parquet(str(tmp_path / "flow"))
+    rules = spark.range(1200).selectExpr("cast(id % 3 as string) as port", "'s' as ip", "concat('u', id) as url")
+    lists = value_lists(rules)
+    plan = plan_of(visit_flow(spark.read.parquet(str(tmp_path / "flow")), lists["port"], lists["ip"]))
+    pushed = re.search(r"PushedFilters: \[([^]]*)", plan)[1]
+    assert "port" in pushed and "serviceIp" in pushed
+    assert "Join" not in plan

@@ -39,7 +39,7 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "b1:9092,b2:9092",
         "subscribe": "more,visits",
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "10",
         "kafka.group.id": "g",
     }

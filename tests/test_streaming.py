@@ -1,5 +1,6 @@
 """The micro-batch job: equal to the batch, restartable, replayable."""
 
+import dataclasses
 import json
 import time
 
@@ -13,6 +14,7 @@ from accessaudit.plans.audit import audit_records
 from accessaudit.schemas import RESULT_COLUMNS, RESULT_DDL
 from accessaudit.sources.records import packet_stream
 from accessaudit.streaming import delivery
+from accessaudit.streaming import job as streaming_job
 from accessaudit.streaming.job import (
     AuditJob,
     compact_user_map,
@@ -99,16 +101,59 @@ def test_restart_continues_without_repeats(spark, records, refs, expected, tmp_p
     assert sorted(r["pid"] for r in out.collect()) == list(range(1, sum(expected.values()) + 1))
 
 
-def test_replayed_batch_gives_the_same_tables(spark, records, refs, tmp_path):
-    audit = job(refs, tmp_path, base_pid=100)
+TABLES = ("results", "alarms", "user_map", "corrupt", "ledger")
+
+
+def down(tables, batch_id):
+    raise RuntimeError("sink down")
+
+
+def test_batch_run_again_keeps_rows_ids_and_clock(spark, records, refs, expected, tmp_path):
+    """The second try has other rules, the default clock and its rows in other tasks."""
     even, odd = records.where("event_id % 2 = 0"), records.where("event_id % 2 = 1")
+    audit = AuditJob(lambda _: refs, str(tmp_path / "out"), ("event_id",), base_pid=100)
     audit.write_verdicts(even, 0)
-    audit.write_verdicts(odd, 1)
-    tables = ("results", "alarms", "user_map", "corrupt", "ledger")
-    before = [rows(spark.read.parquet(audit.folder(t))) for t in tables]
-    audit.write_verdicts(odd.repartition(5), 1)
-    assert [rows(spark.read.parquet(audit.folder(t))) for t in tables] == before
-    assert spark.read.parquet(audit.folder("results")).agg(F.min("pid")).first()[0] == 101
+    audit.on_batch = down
+    with pytest.raises(RuntimeError):
+        audit.write_verdicts(odd, 1)
+    before = [rows(spark.read.parquet(audit.folder(t))) for t in TABLES[:4]]
+    fewer = dataclasses.replace(refs, whitelist=refs.whitelist.__class__(refs.whitelist.values[:1], False))
+    again = AuditJob(lambda _: fewer, str(tmp_path / "out"), ("event_id",), base_pid=7)
+    again.write_verdicts(odd.repartition(5), 1)
+    assert [rows(spark.read.parquet(audit.folder(t))) for t in TABLES[:4]] == before
+    out = spark.read.parquet(audit.folder("results"))
+    assert rows(out, *KEEP) == expected
+    assert sorted(r["pid"] for r in out.collect()) == list(range(101, 101 + sum(expected.values())))
+    again.on_batch = down  # a batch with a ledger entry is done
+    again.write_verdicts(odd, 1)
+    assert not [p for t in ("stage", "staged") if (tmp_path / "out" / t).exists() for p in (tmp_path / "out" / t).iterdir()]
+
+
+def test_unfinished_stage_is_made_anew(spark, records, refs, expected, tmp_path):
+    audit = job(refs, tmp_path)
+    records.limit(3).write.parquet(f"{audit.folder('stage')}/batch_id=0")
+    audit.write_verdicts(records, 0)
+    assert rows(spark.read.parquet(audit.folder("results")), *KEEP) == expected
+
+
+def test_output_belongs_to_one_checkpoint(spark, refs, topic, tmp_path):
+    audit = job(refs, tmp_path)
+    run(audit, stream(spark, topic), tmp_path)
+    before = rows(spark.read.parquet(audit.folder("results")))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        audit.start(stream(spark, topic), str(tmp_path / "other"), ONCE)
+    with pytest.raises(ValueError, match="belongs to another folder"):
+        AuditJob(lambda _: refs, str(tmp_path / "new"), ("event_id",)).next_pid(spark, 3)
+    run(audit, stream(spark, topic), tmp_path)  # its own checkpoint goes on
+    assert rows(spark.read.parquet(audit.folder("results"))) == before
+
+
+def test_ids_of_many_tasks(spark, refs, records, monkeypatch, tmp_path):
+    monkeypatch.setattr(streaming_job, "MOST_LITERALS", 1)
+    audit = job(refs, tmp_path)
+    audit.write_verdicts(records.repartition(6), 0)
+    pids = [r["pid"] for r in spark.read.parquet(audit.folder("results")).collect()]
+    assert sorted(pids) == list(range(1, len(pids) + 1))
 
 
 def test_batch_without_verdicts_and_dead_letters(spark, refs, tmp_path):
@@ -127,10 +172,7 @@ def test_job_without_dead_letters(spark, records, refs, expected, tmp_path):
 
 
 def test_failures_fail_the_batch(spark, refs, tmp_path):
-    def broken(tables, batch_id):
-        raise RuntimeError("sink down")
-
-    audit = job(refs, tmp_path, on_batch=broken)
+    audit = job(refs, tmp_path, on_batch=down)
     with pytest.raises(RuntimeError):
         audit.write_verdicts(spark.createDataFrame([(1, "{}")], "event_id long, value string"), 0)
     assert not (tmp_path / "out" / "ledger").exists()
@@ -207,6 +249,22 @@ def test_replayed_records_on_a_stream(spark, records, topic, tmp_path):
     assert out.count() == records.count() == out.select("event_id").distinct().count()
 
 
+def test_late_records_are_kept(spark, records, tmp_path):
+    """Records three hours behind the newest come in a batch of their own."""
+    text = records.orderBy("event_id").limit(3).collect()
+    times = ("2024-01-01T12:00:00Z", "2024-01-01T12:01:00Z", "2024-01-01T09:00:00Z")
+    for n, (row, stamp) in enumerate(zip(text, times, strict=True)):
+        packet = {**json.loads(row["value"]), "@timestamp": stamp}
+        line = spark.createDataFrame([(n, json.dumps(packet))], "event_id long, value string")
+        line.coalesce(1).write.json(str(tmp_path / "late" / str(n)))
+        source = packet_stream(spark, "json", str(tmp_path / "late" / "*"), "event_id long, value string")
+        flow = distinct_flow_stream(source, ["event_id"])
+        query = flow.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE)
+        query.start(str(tmp_path / "o")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "o"))
+    assert sorted(r["requestTime"] for r in out.collect()) == sorted(times)
+
+
 def test_stream_dedup_needs_a_bound(spark, topic):
     with pytest.raises(ValueError):
         dedup_replay(stream(spark, topic), ["event_id"])
@@ -226,32 +284,70 @@ def test_default_trigger_runs_until_stopped(spark, refs, expected, topic, tmp_pa
     assert rows(spark.read.parquet(audit.folder("results")), *KEEP) == expected
 
 
-def test_results_reach_a_database_once(spark, records, refs, tmp_path, monkeypatch):
-    """The database is played by a folder: reading and appending are the only things it does."""
+@pytest.fixture
+def database(spark, tmp_path, monkeypatch):
+    """A folder plays the database: reading and appending are the only things done to it. The first append breaks off."""
     table = str(tmp_path / "t_result")
     spark.createDataFrame([], RESULT_DDL).write.parquet(table)
-    monkeypatch.setattr(delivery.tables, "read_table", lambda s, source, name: s.read.parquet(name))
-    appends = []
+    asked, appends = [], []
 
-    def append(rows, name, connection, **tuning):
-        new = rows.collect()
+    def read(session, source, name, **split):
+        asked.append((source.options, split))
+        return session.read.parquet(name)
+
+    def append(new, name, connection, **tuning):
+        new = new.collect()
         appends.append(len(new))
         part = new[: len(new) // 2] if len(appends) == 1 else new
         spark.createDataFrame(part, RESULT_DDL).write.mode("append").parquet(name)
         if len(appends) == 1:
             raise RuntimeError("connection lost half way")
 
+    monkeypatch.setattr(delivery.tables, "read_table", read)
     monkeypatch.setattr(delivery.sinks, "append_jdbc", append)
+    return table, asked, appends
+
+
+def test_results_reach_a_database_once(spark, records, refs, tmp_path, database):
+    table, asked, appends = database
     seen = []
     hook = delivery.all_of(delivery.jdbc_results(table, {"url": "u"}), lambda tables, n: seen.append(n))
-    audit = job(refs, tmp_path, on_batch=hook)
+    audit = AuditJob(lambda _: refs, str(tmp_path / "out"), ("event_id",), on_batch=hook)
     with pytest.raises(RuntimeError):
         audit.write_verdicts(records, 0)
     audit.write_verdicts(records, 0)
     audit.write_verdicts(records, 0)
     assert rows(spark.read.parquet(table)) == rows(spark.read.parquet(audit.folder("results")).select(*RESULT_COLUMNS))
-    assert appends[0] > appends[1] > appends[2] == 0
-    assert seen == [0, 0]
+    assert appends[0] > appends[1] > 0 and len(appends) == 2
+    assert seen == [0]
+    assert asked[0][1] == {"split_on": "pid", "bounds": (1, appends[0] + 1), "partitions": 8}
+
+
+def test_new_checkpoint_on_a_filled_database(spark, records, refs, tmp_path, database):
+    table, _, appends = database
+    old = spark.createDataFrame([(p, "i", "u", "s", "t", "a", "1", 1, 1, 5, 1) for p in range(1, 30)], RESULT_DDL)
+    old.write.mode("append").parquet(table)
+    appends.append(0)  # no break
+    hook = delivery.jdbc_results(table, {"url": "u"})
+    careless = AuditJob(lambda _: refs, str(tmp_path / "a"), ("event_id",), on_batch=hook)
+    with pytest.raises(ValueError, match="other rows"):
+        careless.write_verdicts(records, 0)
+    audit = AuditJob(
+        lambda _: refs, str(tmp_path / "b"), ("event_id",), on_batch=hook, base_pid=delivery.greatest_pid(table, {"url": "u"})
+    )
+    audit.write_verdicts(records, 0)
+    new = spark.read.parquet(audit.folder("results")).select(*RESULT_COLUMNS)
+    assert rows(spark.read.parquet(table)) == rows(old.unionByName(new))
+    assert new.agg(F.min("pid")).first()[0] == 30
+
+
+def test_user_ips_reach_the_history(spark, records, refs, tmp_path, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(delivery.sinks, "append_jdbc", lambda df, name, *a, **k: kept.update({name: df.collect()}))
+    audit = job(refs, tmp_path, on_batch=delivery.jdbc_user_ips("t_usernameIp", {}))
+    audit.write_verdicts(records, 0)
+    users = spark.read.parquet(audit.folder("results")).where("type = '0' and length(user) < 8")
+    assert {(r["ip"], r["username"]) for r in kept["t_usernameIp"]} == {(r["ip"], r["user"]) for r in users.collect()}
 
 
 def test_alarms_and_map_reach_clients(spark, records, refs, tmp_path):
@@ -266,8 +362,8 @@ def test_alarms_and_map_reach_clients(spark, records, refs, tmp_path):
         return open(tempfile.mkstemp(dir=folder)[1], "w")
 
     hook = delivery.all_of(
-        delivery.client_alarms(lambda: opened(said_to), lambda out, text: out.write(text + "\n")),
-        delivery.client_user_map(lambda: opened(kept_in), lambda out, key, user: out.write(f"{key} {user}\n")),
+        delivery.client_alarms(lambda: opened(said_to), lambda out, texts: out.write("".join(t + "\n" for t in texts))),
+        delivery.client_user_map(lambda: opened(kept_in), lambda out, pairs: out.write("".join(f"{k} {u}\n" for k, u in pairs))),
     )
     audit = job(refs, tmp_path, on_batch=hook)
     audit.write_verdicts(records, 0)
