@@ -33,16 +33,19 @@ INLINE = frozenset(
     "span strike strong sub sup time tt u var wbr".split()
 )
 SPACE = frozenset("br wbr img".split())
-#: An open element of the first kind ends where one of the second begins.
-CLOSES = {
-    "li": frozenset(["li"]),
-    "dt": frozenset(["dt", "dd"]),
-    "dd": frozenset(["dt", "dd"]),
-    "tr": frozenset(["tr", "tbody", "thead", "tfoot"]),
-    "td": frozenset(["td", "th", "tr", "tbody", "thead", "tfoot"]),
-    "th": frozenset(["td", "th", "tr", "tbody", "thead", "tfoot"]),
-    "option": frozenset(["option", "optgroup"]),
+#: A new element of this kind ends an open one of these, unless one of those is opened in between.
+ENDS = {
+    "li": ("li", "ul ol menu"),
+    "dt": ("dt dd", "dl"),
+    "dd": ("dt dd", "dl"),
+    "tr": ("tr", "table"),
+    "td": ("td th", "table"),
+    "th": ("td th", "table"),
+    "tbody": ("tbody thead tfoot", "table"),
+    "tfoot": ("tbody thead tfoot", "table"),
+    "option": ("option", "select datalist"),
 }
+ENDS = {tag: (frozenset(ends.split()), frozenset(bounds.split())) for tag, (ends, bounds) in ENDS.items()}
 ENDS_P = frozenset(
     "address article aside blockquote body center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()
@@ -149,10 +152,13 @@ def parse(page: str) -> Node:
                 if stack[depth].tag not in INLINE:
                     break
             links = 0
-        ends = CLOSES.get(stack[-1].tag)
-        while ends and tag in ends:
-            stack.pop()
-            ends = CLOSES.get(stack[-1].tag)
+        if tag in ENDS:
+            ends, bounds = ENDS[tag]
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in ends:
+                    del stack[depth:]
+                if depth >= len(stack) or stack[depth].tag in bounds:
+                    break
         node = Node(tag, sign)
         stack[-1].children.append(node)
         stack[-1].items.append(node)
