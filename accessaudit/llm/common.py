@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +22,23 @@ MIN_CHUNKS = 256
 CHUNK_BYTES = 24 << 20
 
 
+def importable(run: Callable) -> Callable:
+    """Let the Python workers of a query's session find this package, also where the session was started elsewhere.
+
+    On a cluster the package is installed on every machine under the driver's path, or on its own path.
+    """
+
+    @wraps(run)
+    def started(spark, *args):
+        root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+        known = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+        if root not in [*known, *os.environ.get("PYTHONPATH", "").split(os.pathsep)]:
+            environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+        return run(spark, *args)
+
+    return started
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,47 +8,57 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from accessaudit.llm import classlm, contamination, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
-from accessaudit.llm.common import read_table
+from accessaudit.llm.common import importable, read_table
 
 
+@importable
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_passages(read_table(spark, sf_dir, "documents")).drop("kept", "kept_text")
 
 
+@importable
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return contamination.contamination(docs, items).drop("body")
 
 
+@importable
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@importable
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_table(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@importable
 def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.scored(read_table(spark, sf_dir, "documents"))
 
 
+@importable
 def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return urllists.judged(urllists.fetches(pages), urllists.dated_entries(pages))
 
 
+@importable
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+@importable
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(read_table(spark, sf_dir, "documents"))
 
 
+@importable
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(read_table(spark, sf_dir, "pages"))
 
 
+@importable
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 

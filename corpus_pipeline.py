@@ -11,26 +11,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from accessaudit.llm import contamination, pieces, repeats, simhash, toxicity
-from accessaudit.llm.common import read_table
+from accessaudit.llm.common import importable, read_table
 from accessaudit.session import fresh_folder, written
 
 
+@importable
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
+@importable
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_of_each(docs)
 
 
+@importable
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(docs)
 
 
+@importable
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return contamination.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@importable
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
