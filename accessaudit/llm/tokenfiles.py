@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,7 @@ from accessaudit.session import fresh_folder, written
 END_ID = 2
 BLOCK = 1024
 FRAME_IDS = 1 << 17
+MOST_WORDS = 3 << 18  # results kept in memory
 FILE_BYTES = 16 << 20  # of text in a file, about
 MIN_FILES = 128
 MAGIC = b"S8BF"
@@ -137,23 +139,28 @@ def frames(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
 
 
 class _Cache(dict):
-    """Results by key; emptied when full, so that memory stays bounded."""
+    """Results by key. When full, the older half goes; keys that come again stay."""
 
     def __init__(self, make, most: int):
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most // 2:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
 class Encoder:
     """Ids of texts by a tokenizer file whose words never reach across white space.
 
-    Words between white space are encoded once and kept. Words of Latin-1 characters are cut
-    by the file's own pattern first, so that their parts, too, are encoded once.
+    Words between white space are encoded once and kept. In texts of Latin-1 characters, whose
+    lower case and normal form are those of each character alone, runs of marks are set apart
+    first, so that a word is kept once, however it is written.
     """
 
     def __init__(self, path: str):
@@ -164,28 +171,47 @@ class Encoder:
             raise ValueError("a tokenizer that normalizes and splits in another way")
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.spell = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.parts = _Cache(self._part, 1 << 19)
-        self.words = _Cache(self._word, 1 << 18)
-        self.plain = re.compile(r"[!-~\xa1-\xac\xae-\xff]+").fullmatch
+        self.model = self.whole.model
+        self.lower = _Cache(self._lower, MOST_WORDS)
+        self.words = _Cache(self._ids, MOST_WORDS // 8)
+        # runs of marks; one with an apostrophe or underline is left to the tokenizer's pattern
+        self.marks = re.compile(r"(?<![^\w\s])(?<!_)[^\w\s']+(?![^\w\s]|_)").sub
+        self.double = re.compile(r"[^\w\s][^\w\s]|_").search
         self.odd = re.compile("[\x1c-\x1f]").search  # white space to Python, not to the pattern
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
-        spelled = self.spell.pre_tokenize_str(part)[0][0]
-        return np.array([t.id for t in self.whole.model.tokenize(spelled)], "<u4").tobytes()
+        """Ids of what the pattern takes as one; printable ASCII is spelled as it is, the rest by the library."""
+        spelled = part if part.isascii() and part.isprintable() else self.spell.pre_tokenize_str(part)[0][0]
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        if self.plain(word) and "<|" not in word:  # a special token's text is one token
-            return b"".join(map(self.parts.__getitem__, self.pattern.findall(word.lower())))
-        return self._ids(word)
+    def _lower(self, word: str) -> bytes:
+        return self._part(word) if word.isalpha() else b"".join(map(self._part, self.pattern.findall(word)))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if self.odd(text):
             return self._ids(text)
-        return b"".join(map(self.words.__getitem__, text.split()))
+        if "<|" in text or not _latin(text):  # a special token's text is one token
+            return b"".join(map(self.words.__getitem__, text.split()))
+        text = text.lower()
+        if self.double(text):
+            text = self.marks(r" \g<0> ", text)
+        else:
+            text = text.replace(",", " , ").replace(".", " . ")
+        return b"".join(map(self.lower.__getitem__, text.split()))
+
+
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @lru_cache(maxsize=2)
@@ -206,12 +232,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
     edges = np.unique(np.array(found or [], np.int64))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode, last = encoder(tokenizer).encode, np.uint32(end_id).tobytes()
         for batch in batches:
             ids = ids_column(pa.table([batch.column("doc_id")], names=["doc_id"]), "doc_id")
             made = []
             for text in batch.column("text"):
-                own = np.append(np.frombuffer(encode(text.as_py()), "<u4"), np.uint32(end_id))
+                own = np.frombuffer(encode(text.as_py()) + last, "<u4")
                 made.append(own.astype("<u2").tobytes() + b"2" if own.max() < 1 << 16 else own.tobytes() + b"4")
             file = pa.array(np.searchsorted(edges, ids, "right").astype(np.int32))
             yield pa.RecordBatch.from_arrays([file, pa.array(ids), pa.array(made, pa.binary())], names=["file", "doc_id", "ids"])
@@ -251,8 +277,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
     data.write.partitionBy("file").text(folder)
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start (ids before it in all files), n_tokens and ids (little-endian 32 bits, 64 where one needs them), from the files below `folder`."""
+def read_tokens(spark: SparkSession, folder: str, crc: bool = False) -> DataFrame:
+    """file, doc_id, start (ids before it in its file), n_tokens and ids, from the files below `folder`.
+
+    Ids are little-endian, 32 bits each, or 64 where one of a frame needs them. With `crc` their
+    ids_crc32 comes in their place, and no ids leave the task.
+    """
+
+    last = "ids_crc32" if crc else "ids"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,21 +293,23 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 for docs, counts, ids in frames(data):
                     kind = "<u4" if ids.max(initial=0) < 1 << 32 else "<u8"
                     ends = np.cumsum(counts)
-                    own = [ids[a:b].astype(kind).tobytes() for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+                    flat = ids.astype(kind)
+                    own = [flat[a:b].tobytes() for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+                    held = pa.array(map(zlib.crc32, own), pa.int64()) if crc else pa.array(own, pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(docs), file, np.int32)),
                             pa.array(docs, mask=docs == NO_ID),
                             pa.array(before + ends - counts),
                             pa.array(counts),
-                            pa.array(own, pa.binary()),
+                            held,
                         ],
-                        names=["file", "doc_id", "start", "n_tokens", "ids"],
+                        names=["file", "doc_id", "start", "n_tokens", last],
                     )
                     before += int(ends[-1]) if len(ends) else 0
 
     files = spark.read.format("binaryFile").load(folder).select(F.col("file").cast("int").alias("file"), "content")
-    return files.mapInArrow(scan, "file int, doc_id long, start long, n_tokens long, ids binary")
+    return files.mapInArrow(scan, f"file int, doc_id long, start long, n_tokens long, {last} {'long' if crc else 'binary'}")
 
 
 def token_table(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -291,12 +325,7 @@ def token_table(docs: DataFrame, tokenizer: str, folder: str | None = None, end_
     if docs.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = pa.array([zlib.crc32(x.as_py()) for x in batch.column("ids")], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], crc], names=["file", "doc_id", "start", "n_tokens", "ids_crc32"])
-
-    rows = read_tokens(spark, folder).mapInArrow(check, "file int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = read_tokens(spark, folder, crc=True)
     rows = written(rows, fresh_folder(spark, "token-index"))
     sizes = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     totals = sorted((r["file"], r["n"]) for r in sizes.collect())  # one row per file
