@@ -105,8 +105,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         fresh = F.greatest(F.lit(0), end - F.greatest(hit["start"], done["end"]))
         return F.struct(F.greatest(done["end"], end).alias("end"), (done["n"] + fresh).alias("n"))
 
-    checked = _documents(docs).withColumnsRenamed({"doc_id": "id", "body": "of"})
-    checked = checked.join(candidates, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("body")))
+    # texts are joined, not their words: they are smaller, and only those with candidates are split
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("of"), F.col("text").alias("whole")
+    )
+    checked = whole.join(candidates, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("body")))
+    checked = checked.select("doc_id", "body", words(F.col("whole")).alias("words"), "hits")
     checked = checked.select("doc_id", "body", F.sort_array(F.filter("hits", occurs)).alias("hits"))
     nothing = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     checked = checked.where(F.size("hits") > 0).select(
