@@ -22,7 +22,7 @@ GRAMS = (3, 4, 5)
 THRESHOLD = 0.7
 #: The weights are fitted on at most so many labelled rows of each class, those whose id hashes lowest.
 SAMPLE_TOXIC, SAMPLE_OTHER = 1000, 2000
-ROUNDS, RATE, DECAY = 60, 0.02, 1e-6
+ROUNDS, RATE, DECAY = 120, 0.02, 1e-6
 BLOCK = 1 << 14  # features counted in one row
 
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
