@@ -12,12 +12,12 @@ can ask the vocabulary, dealt into buckets, for each of its distinct words once.
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -219,7 +219,7 @@ def neighbours(docs: DataFrame, core: dict[bytes, int]) -> DataFrame:
 
 
 def _bucket(word, buckets: int):
-    return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
+    return (F.crc32(word) % buckets).cast("int")
 
 
 def place_words(seen: DataFrame, pairs: np.ndarray, buckets: int) -> DataFrame:
@@ -264,15 +264,18 @@ def _sequences(docs: DataFrame, vocabulary: DataFrame, buckets: int, base: tuple
     by_chunk = chunked(_marked(docs), chunk_count(size), (HELD,)).groupBy("chunk")
     message = "bucket int, chunk int, words binary, n binary, class binary"
 
-    def distinct_words(table) -> tuple[list[list[bytes]], list[bytes], np.ndarray, np.ndarray]:
-        tokens = [words(t.as_py()) for t in table.column("text")]
-        found = sorted(set().union(*tokens))
-        bucket = np.array([xxhash.xxh64_intdigest(w, 42) for w in found], np.uint64).view(np.int64) % buckets
-        order = np.argsort(bucket, kind="stable")
-        return tokens, found, bucket, order
+    def distinct_words(table) -> tuple[pa.Table, list[list[int]], list[bytes], np.ndarray, np.ndarray]:
+        """Documents in a fixed order, their tokens as places in the list of distinct words, and the buckets of those."""
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        number: defaultdict = defaultdict()
+        number.default_factory = number.__len__
+        tokens = [list(map(number.__getitem__, words(t.as_py()))) for t in table.column("text")]
+        found = list(number)
+        bucket = np.fromiter(map(zlib.crc32, found), np.int64, len(found)) % buckets
+        return table, tokens, found, bucket, np.argsort(bucket, kind="stable")
 
     def ask(key, table):
-        _, found, bucket, order = distinct_words(table)
+        _, _, found, bucket, order = distinct_words(table)
         edges = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
         out = {"bucket": [], "words": []}
         for low, high in zip(edges, np.r_[edges[1:], len(order)], strict=True):
@@ -296,7 +299,7 @@ def _sequences(docs: DataFrame, vocabulary: DataFrame, buckets: int, base: tuple
         return pa.table({"bucket": asked.column("bucket"), "chunk": asked.column("chunk"), "words": empty, "n": pa.array(ns, pa.binary()), "class": pa.array(classes, pa.binary())})
 
     def read(key, table, answers):
-        tokens, found, bucket, order = distinct_words(table)
+        table, tokens, found, bucket, order = distinct_words(table)
         count, of = np.zeros(len(found), np.int64), np.zeros(len(found), np.uint8)
         sorted_buckets = bucket[order]
         for b, n, classes in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "class")), strict=True):
@@ -307,10 +310,9 @@ def _sequences(docs: DataFrame, vocabulary: DataFrame, buckets: int, base: tuple
         log_base = np.log10((count + 0.5) / (n_all + 0.5 * (distinct + 1)))
         log_word = np.where(count > 0, np.log10(np.maximum(count, 1)) - emission[of], 0.0)
         marked = of | np.where(count == 1, ONCE, 0).astype(np.uint8)
-        number = dict(zip(found, range(len(found)), strict=True)).__getitem__
         out = {"n_tokens": [], "n_known": [], "base_score": [], "emitted": [], "classes": []}
         for doc in tokens:
-            at = np.fromiter(map(number, doc), np.int64, len(doc))
+            at = np.array(doc)
             values = len(at), int((count[at] > 0).sum()), float(log_base[at].sum()), float(log_word[at].sum()), marked[at].tobytes()
             for name, value in zip(out, values, strict=True):
                 out[name].append(value)
