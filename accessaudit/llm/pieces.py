@@ -23,8 +23,9 @@ from sentencepiece import SentencePieceProcessor
 SPACE = "▁"  # how pieces spell a space
 OWN = "\ud800"  # stands for that character in a text; no text holds it
 PENALTY = 10.0  # of a character without a piece, below the lowest score
-MOST_WORDS = 1 << 18
+MOST_WORDS, MOST_PARTS = 1 << 17, 1 << 19  # kept; the older half of the parts besides
 LONG_WORD = 64
+MISSING = object()
 
 
 class Pieces(dict):
@@ -48,6 +49,11 @@ class Pieces(dict):
         if len(self.byte) != 256:
             raise ValueError("a vocabulary without byte pieces")
         self.longest = max(map(len, self.score))
+        #: The score of every piece, and None for what some piece begins with.
+        self.prefix = {text[:n]: None for text in self.score for n in range(1, len(text))} | self.score
+        self.pairs = {text[i : i + 2] for text in self.score for i in range(len(text) - 1)}
+        self.old: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.least = min(self.score.values()) - PENALTY
         #: A space begins a new word unless a piece reaches over it.
         self.splits = not any(SPACE in text.lstrip(SPACE) for text in self.score)
@@ -60,36 +66,43 @@ class Pieces(dict):
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of the best path, in order, as soon as they are decided."""
-        score, longest = self.score, self.longest
-        base, best, back = 0, [0.0], [0]  # of the places from `base` on
+        find, longest, size = self.prefix.get, self.longest, len(text)
+        base, best, back = 0, [0.0], [0]  # of the places from `base` on; None: not reached yet
         check = 2 * longest
-        for end in range(1, len(text) + 1):
-            top, came = None, end - 1
-            for start in range(max(base, end - longest), end):  # the longest piece first
-                value = score.get(text[start:end])
-                if value is None:
-                    if start < end - 1:
-                        continue
-                    value = self.least
-                value += best[start - base]
-                if top is None or value > top:
-                    top, came = value, start
-            best.append(top)
-            back.append(came)
-            if end - base >= check:
-                met = self._meeting(base, back, end)
+        for start in range(size):
+            here, end, stop = best[start - base], start + 1, min(size, start + longest)
+            while len(best) <= stop - base:
+                best.append(None)
+                back.append(start)
+            value = find(text[start:end], MISSING)
+            if value is MISSING or value is None:  # the character has no piece of its own
+                at = end - base
+                if best[at] is None or here + self.least > best[at]:
+                    best[at], back[at] = here + self.least, start
+            while value is not MISSING:
+                if value is not None:
+                    at = end - base
+                    known = best[at]
+                    if known is None or here + value > known:  # an equal path came from further left
+                        best[at], back[at] = here + value, start
+                if end == stop:
+                    break
+                end += 1
+                value = find(text[start:end], MISSING)
+            if start + 1 - base >= check:
+                met = self._meeting(base, best, back, start + 1)
                 if met > base:
                     yield self._path(text, base, back, met)
                     drop = met - base
                     zero = best[drop]
-                    best, back = [x - zero for x in best[drop:]], back[drop:]
+                    best, back = [x if x is None else x - zero for x in best[drop:]], back[drop:]
                     base = met
-                check = end - base + longest
-        yield self._path(text, base, back, len(text))
+                check = start + 1 - base + longest
+        yield self._path(text, base, back, size)
 
-    def _meeting(self, base: int, back: list[int], end: int) -> int:
-        """The last place on the paths of all the places that a piece after `end` can start from."""
-        live = set(range(max(base, end - self.longest + 1), end + 1))
+    def _meeting(self, base: int, best: list, back: list[int], start: int) -> int:
+        """The last place on the paths of all places reached from `start` on."""
+        live = {base + i for i in range(start - base, len(best)) if best[i] is not None}
         while len(live) > 1:
             last = max(live)
             live.discard(last)
@@ -104,8 +117,27 @@ class Pieces(dict):
             end = start
         return [i for part in reversed(parts) for i in self._ids(part)]
 
-    def _solved(self, word: str) -> bytes:
-        return np.array([i for ids in self.stream(word) for i in ids], "<u4").tobytes()
+    def _solved(self, text: str) -> bytes:
+        """Ids of a text, part by part: between two characters that no piece has side by side, all paths meet."""
+        pairs, low, out = self.pairs, 0, []
+        for i in range(1, len(text)):
+            if text[i - 1 : i + 1] not in pairs:
+                out.append(self._part(text[low:i]))
+                low = i
+        out.append(self._part(text[low:]))
+        return b"".join(out)
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.old.get(part)
+            if ids is None:
+                ids = np.array([i for ids in self.stream(part) for i in ids], "<u4").tobytes()
+            if len(part) <= LONG_WORD:
+                if len(self.parts) >= MOST_PARTS:  # parts that come again move on from the old half
+                    self.old, self.parts = self.parts, {}
+                self.parts[part] = ids
+        return ids
 
     def __missing__(self, word: str) -> bytes:
         ids = self._solved(word if word[:1] == SPACE else SPACE + word)

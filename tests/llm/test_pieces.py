@@ -65,10 +65,11 @@ def test_vocabulary_whose_pieces_cross_words(monkeypatch):
 
 def test_memory_of_words_is_bounded(monkeypatch):
     monkeypatch.setattr(p, "MOST_WORDS", 10)
+    monkeypatch.setattr(p, "MOST_PARTS", 10)
     known = p.Pieces(PATH)
     text = " ".join(f"word{i}" for i in range(100))
     assert known.decode(np.frombuffer(known.encode(text), "<u4").tolist()) == text
-    assert len(known) <= 10
+    assert len(known) <= 10 and len(known.parts) <= 10 and len(known.old) <= 10
 
 
 def test_rows(spark):
