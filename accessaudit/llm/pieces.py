@@ -5,10 +5,14 @@ piece is longest. A window runs along the text: every place keeps its best score
 last piece began. When the paths of all places that a further piece can start from have
 met, what lies before is decided: its ids go out and the window moves on. Where no piece of the
 vocabulary crosses a place, all paths meet, so words that come again need not be solved again.
+
+The scores of a BPE model are merge ranks: there the best path is not what SentencePiece itself
+gives. The model's own ids come from its merges (`Merges`), in columns of their own.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -127,12 +131,15 @@ class Pieces(dict):
         out.append(self._part(text[low:]))
         return b"".join(out)
 
+    def _found(self, part: str) -> list[int]:
+        return [i for ids in self.stream(part) for i in ids]
+
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             ids = self.old.get(part)
             if ids is None:
-                ids = np.array([i for ids in self.stream(part) for i in ids], "<u4").tobytes()
+                ids = np.array(self._found(part), "<u4").tobytes()
             if len(part) <= LONG_WORD:
                 if len(self.parts) >= MOST_PARTS:  # parts that come again move on from the old half
                     self.old, self.parts = self.parts, {}
@@ -164,23 +171,68 @@ class Pieces(dict):
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
+class Merges(Pieces):
+    """The ids SentencePiece gives for a BPE model: of all neighbours that make a piece the best merge first, equals from the left."""
+
+    def _found(self, part: str) -> list[int]:
+        score, size = self.score, len(part)
+        known = self.number.get(part) if size == 1 else None
+        if known is not None:
+            return [known]
+        ends, last = list(range(1, size + 1)), list(range(-1, size - 1))  # of the symbol that begins at a place; where the one before begins
+        heap = [(-score[two], i, i + 2) for i in range(size - 1) if (two := part[i : i + 2]) in score]
+        heapq.heapify(heap)
+        while heap:
+            _, start, end = heapq.heappop(heap)
+            middle = ends[start]
+            if not start < middle < end or ends[middle] != end:  # one of the two is merged already
+                continue
+            ends[start], ends[middle] = end, 0
+            if end < size:
+                last[end] = start
+                both = part[start : ends[end]]
+                if both in score:
+                    heapq.heappush(heap, (-score[both], start, ends[end]))
+            before = last[start]
+            if before >= 0:
+                both = part[before:end]
+                if both in score:
+                    heapq.heappush(heap, (-score[both], before, end))
+        out, start = [], 0
+        while start < size:
+            out += self._ids(part[start : ends[start]])
+            start = ends[start]
+        return out
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+@lru_cache(maxsize=2)
+def merges(path: str) -> Merges:
+    return Merges(path)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    values = pa.array(np.concatenate(rows).astype(np.int32) if rows else [], pa.int32())
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(r) for r in rows])].astype(np.int32)), values)
+
+
 def encoded(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, ids (array of int), n_ids, ids_crc32 (of little-endian 32-bit ids) and round_trip of every row of `docs`.
+    """doc_id, ids (array of int), n_ids, ids_crc32 (of little-endian 32-bit ids), round_trip and bpe_ids of every row of `docs`.
 
-    round_trip tells whether decoding the ids gives the text back. Defined cases: null and empty
+    ids are the best path by score, bpe_ids those of the BPE model itself. round_trip tells
+    whether decoding the ids gives the text back. Defined cases: null and empty
     texts have no ids; characters without a piece, and the mark that spells spaces, are
     spelled in bytes; rows without a doc_id are encoded like others. Other columns are not read.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pieces(model)
+        known, own = pieces(model), merges(model)
         for batch in batches:
-            flat, sizes, crcs, same = [], [], [], []
+            flat, sizes, crcs, same, bpe = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 blob = known.encode(text)
                 ids = np.frombuffer(blob, "<u4")
@@ -188,13 +240,12 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
                 sizes.append(len(ids))
                 crcs.append(zlib.crc32(blob))
                 same.append(known.decode(ids.tolist()) == text)
-            values = pa.array(np.concatenate(flat).astype(np.int32) if flat else [], pa.int32())
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), values)
-            columns = [batch.column("doc_id"), lists, pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_ids", "ids_crc32", "round_trip"])
+                bpe.append(np.frombuffer(own.encode(text), "<u4"))
+            columns = [batch.column("doc_id"), _lists(flat), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_()), _lists(bpe)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_ids", "ids_crc32", "round_trip", "bpe_ids"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(scan, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, round_trip boolean")
+    return texts.mapInArrow(scan, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, round_trip boolean, bpe_ids array<int>")
 
 
 def decoded(rows: DataFrame, model: str) -> DataFrame:

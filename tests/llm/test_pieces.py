@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from sentencepiece import SentencePieceProcessor
 
 from accessaudit.llm import pieces as p
 
@@ -90,3 +91,21 @@ def test_rows(spark):
 def test_other_models_are_refused(tmp_path):
     with pytest.raises((OSError, RuntimeError)):
         p.Pieces(str(tmp_path / "none.model"))
+
+
+def test_bpe_ids_are_those_of_the_library(spark):
+    library = SentencePieceProcessor(model_file=PATH)
+    texts = ["Ach", "  The theatres' unlikelihood, Straße \n\t x", "a" * 300 + " ", "é ﬁ Ⅳ 🎉   naïveté", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in p.encoded(rows, PATH).collect()}
+    assert {i: r["bpe_ids"] for i, r in got.items()} == {i: library.encode(t or "") for i, t in enumerate(texts)}
+    assert got[0]["ids"] != got[0]["bpe_ids"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(TEXTS)
+def test_merges_are_those_of_the_library(text):
+    text = text.replace(p.SPACE, "")  # the library reads it as a space
+    ids = np.frombuffer(p.merges(PATH).encode(text), "<u4").tolist()
+    assert ids == SentencePieceProcessor(model_file=PATH).encode(text)
+    assert p.merges(PATH).decode(ids) == text
