@@ -2,8 +2,8 @@
 
 A page is parsed into a tree of block elements; siblings alike are folded into one. Pages of a
 host are aligned by simple tree matching and merged into the host's wrapper, a tree of slots.
-All pages then vote, per slot, with the hash of the text they hold there: slots whose text stays
-the same while the pages differ are template, slots that vary are content. Menus, forms, notices
+All different pages then vote, per slot, with the hash of the text they hold there: slots whose
+text most of the host's different pages share are template, slots that vary are content. Menus, forms, notices
 and the like also vary from page to page; they are told by their elements and class names.
 
 Merging and voting are grouped by host after a first grouping that shrinks equal rows, so a
@@ -74,7 +74,7 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"
 NAME = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
-CONSTANT, VARYING, LEAST_PAGES = 0.8, 0.3, 5
+CONSTANT, LEAST_PAGES = 0.8, 5
 LINKS = 0.6
 
 
@@ -253,13 +253,12 @@ class Wrapper:
             bad = hidden[up] or _boilerplate(self.signs[slot], inside[up])
             hidden.append(bad)
             inside.append(inside[up] or not bad and self.signs[slot].split(".")[0] in ROOTS)
-        pages, modal = seen.get(-1, (0, 0))[:2]
-        differ = pages >= LEAST_PAGES and modal <= VARYING * pages
+        different = seen.get(-1, (0,))[0]
         self.template = set()
         for slot, (pages, modal, chars, links) in seen.items():
-            if slot >= 0 and differ and pages >= LEAST_PAGES:
-                linked = not inside[slot] and links > LINKS * max(1, chars)
-                if modal >= CONSTANT * pages or linked:
+            if slot >= 0 and different >= LEAST_PAGES:
+                linked = not inside[slot] and pages >= LEAST_PAGES and links > LINKS * max(1, chars)
+                if modal >= CONSTANT * different or linked:
                     self.template.add(slot)
         self.hidden, self.inside = hidden, inside
 
@@ -358,16 +357,20 @@ def wrappers(pages: DataFrame) -> DataFrame:
     return some.groupBy("host").applyInArrow(induce, "host string, tree string")
 
 
+def _hash(texts: list[tuple]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(t for t, _ in texts)) - (1 << 63)
+
+
 def votes(pages: DataFrame) -> DataFrame:
     """host and, per slot, (slot, pages, pages with the commonest text, characters, of them in links).
 
-    Slot -1 is the whole page.
+    Slot -1 is the whole page. Pages of a host with the same text vote once.
     """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
         for batch in batches:
-            out = {"host": [], "slot": [], "held": [], "chars": [], "links": []}
+            out = {"host": [], "page": [], "slot": [], "held": [], "chars": [], "links": []}
             for host, page, tree in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "tree")), strict=True):
                 if host not in known:
                     known[host] = Wrapper(json.loads(tree))
@@ -377,16 +380,19 @@ def votes(pages: DataFrame) -> DataFrame:
                 for node, text in _texts(root, lambda n, w=wrapper: n.slot >= 0 and w.hidden[n.slot]):
                     held.setdefault(node.slot, []).append((text, node.links))
                 held[-1] = [x for texts in held.values() for x in texts]
+                whole = _hash(held[-1])
                 for slot, texts in held.items():
                     out["host"].append(host)
+                    out["page"].append(whole)
                     out["slot"].append(slot)
-                    out["held"].append(xxhash.xxh64_intdigest(" ".join(t for t, _ in texts)) - (1 << 63))
+                    out["held"].append(_hash(texts))
                     out["chars"].append(sum(len(t) for t, _ in texts))
                     out["links"].append(sum(n for _, n in texts))
-            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=list(out))
 
-    rows = pages.mapInArrow(vote, "host string, slot int, held long, chars long, links long")
+    rows = pages.mapInArrow(vote, "host string, page long, slot int, held long, chars long, links long")
+    rows = rows.groupBy("host", "page", "slot").agg(F.min(F.struct("held", "chars", "links")).alias("one")).select("host", "slot", "one.*")
     rows = rows.groupBy("host", "slot", "held").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     slots = rows.groupBy("host", "slot").agg(F.sum("n").alias("pages"), F.max("n").alias("modal"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     return slots.groupBy("host").agg(F.collect_list(F.struct("slot", "pages", "modal", "chars", "links")).alias("votes"))
@@ -396,8 +402,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of `pages`.
 
     Defined cases: null and empty html has an empty text; pages without a url or host form a host
-    of their own; rows that share a page_id are extracted one by one; a page whose host has no
-    other is told by its elements alone. Broken markup is read as far as it goes. Other columns
+    of their own; rows that share a page_id are extracted one by one; pages of
+    a host with 1 to 4 different texts are told by their elements and names alone. Broken markup is read as far as it goes. Other columns
     are not read.
     """
     folder = fresh_folder(pages.sparkSession, "wrappers")

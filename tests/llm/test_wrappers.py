@@ -129,3 +129,27 @@ def test_headers_inside_an_article_stay():
     wrapper = w.Wrapper(["", w.fold(root.children)])
     wrapper.place(root)
     assert w.extract(root, wrapper) == "Title x"
+
+
+def test_copies_vote_once(spark):
+    rng = random.Random(5)
+    plain = lambda text: f"<div><p>{text}</p></div>"
+    copy = "<div><p>Copied text.</p></div><blockquote>Quoted in all copies.</blockquote>"
+    rows = [(i, "http://q.org/", plain(say(rng, 9))) for i in range(20)] + [(100 + i, "http://q.org/", copy) for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in w.main_text(frame(spark, rows)).collect()}
+    assert {got[100 + i] for i in range(5)} == {"Copied text. Quoted in all copies."}
+
+
+def test_template_of_a_host_with_many_copies(spark):
+    rng = random.Random(6)
+    html = lambda text: f"<p>{text}</p><h6>We love news.</h6>"
+    rows = [(i, "http://q.org/", html(say(rng, 9))) for i in range(10)] + [(100 + i, "http://q.org/", html("Copied.")) for i in range(10)]
+    got = [r["text"] for r in w.main_text(frame(spark, rows)).collect()]
+    assert not any("news" in t for t in got) and got.count("Copied.") == 10
+
+
+def test_heading_of_few_pages_stays(spark):
+    rng = random.Random(7)
+    rows = [(i, "http://q.org/", f"<p>{say(rng, 9)}</p>" + "<h2>Summary</h2>" * (i < 8)) for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in w.main_text(frame(spark, rows)).collect()}
+    assert all(got[i].endswith(" Summary") for i in range(8))
