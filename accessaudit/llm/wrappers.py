@@ -2,8 +2,9 @@
 
 A page is parsed into a tree of block elements; siblings alike are folded into one. Pages of a
 host are aligned by simple tree matching and merged into the host's wrapper, a tree of slots.
-All different pages then vote, per slot, with the hash of the text they hold there: slots whose
-text most of the host's different pages share are template, slots that vary are content. Menus, forms, notices
+All different pages then vote, per slot, with the hashes of the texts they hold there: a text that
+most of the host's different pages have in one slot is template, what varies is content. So a constant
+cell is told from the varying one beside it, though both are folded into one slot. Menus, forms, notices
 and the like also vary from page to page; they are told by their elements and class names.
 
 Merging and voting are grouped by host after a first grouping that shrinks equal rows, so a
@@ -254,11 +255,11 @@ class Wrapper:
             hidden.append(bad)
             inside.append(inside[up] or not bad and self.signs[slot].split(".")[0] in ROOTS)
         different = seen.get(-1, (0,))[0]
-        self.template = set()
-        for slot, (pages, modal, chars, links) in seen.items():
+        self.template, self.constant = set(), set()
+        for slot, (pages, constant, chars, links) in seen.items():
             if slot >= 0 and different >= LEAST_PAGES:
-                linked = not inside[slot] and pages >= LEAST_PAGES and links > LINKS * max(1, chars)
-                if modal >= CONSTANT * different or linked:
+                self.constant.update((slot, text) for text in constant)
+                if not inside[slot] and pages >= LEAST_PAGES and links > LINKS * max(1, chars):
                     self.template.add(slot)
         self.hidden, self.inside = hidden, inside
 
@@ -296,6 +297,10 @@ class Wrapper:
                 self._match(x, y, (*path, x[0]), slots, known)
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
 def _texts(root: Node, hidden) -> Iterator[tuple[Node, str]]:
     """(node, text) of every block in page order, white space folded; `hidden` nodes are skipped with all below."""
     stack, words, owner = [(root, 0)], [], None
@@ -324,7 +329,7 @@ def extract(root: Node, wrapper: Wrapper) -> str:
     """The blocks of content slots: inside the article where the page has one, else everywhere."""
     kept, article = [], []
     for node, text in _texts(root, lambda n: n.slot >= 0 and wrapper.hidden[n.slot]):
-        if node.slot in wrapper.template:
+        if node.slot in wrapper.template or wrapper.constant and (node.slot, _hash(text)) in wrapper.constant:
             continue
         kept.append(text)
         if node.slot >= 0 and wrapper.inside[node.slot]:
@@ -357,14 +362,11 @@ def wrappers(pages: DataFrame) -> DataFrame:
     return some.groupBy("host").applyInArrow(induce, "host string, tree string")
 
 
-def _hash(texts: list[tuple]) -> int:
-    return xxhash.xxh64_intdigest(" ".join(t for t, _ in texts)) - (1 << 63)
-
-
 def votes(pages: DataFrame) -> DataFrame:
-    """host and, per slot, (slot, pages, pages with the commonest text, characters, of them in links).
+    """host and, per slot, (slot, pages, hashes of the texts most pages of the host have there, characters, of them in links).
 
-    Slot -1 is the whole page. Pages of a host with the same text vote once.
+    Slot -1 is the whole page. Pages of a host with the same text vote once, and once for a text
+    that they hold repeatedly.
     """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,22 +382,28 @@ def votes(pages: DataFrame) -> DataFrame:
                 for node, text in _texts(root, lambda n, w=wrapper: n.slot >= 0 and w.hidden[n.slot]):
                     held.setdefault(node.slot, []).append((text, node.links))
                 held[-1] = [x for texts in held.values() for x in texts]
-                whole = _hash(held[-1])
+                whole = _hash(" ".join(t for t, _ in held[-1]))
                 for slot, texts in held.items():
                     out["host"].append(host)
                     out["page"].append(whole)
                     out["slot"].append(slot)
-                    out["held"].append(_hash(texts))
+                    out["held"].append(sorted({_hash(t) for t, _ in texts}) if slot >= 0 else [])
                     out["chars"].append(sum(len(t) for t, _ in texts))
                     out["links"].append(sum(n for _, n in texts))
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=list(out))
 
-    rows = pages.mapInArrow(vote, "host string, page long, slot int, held long, chars long, links long")
+    folder = fresh_folder(pages.sparkSession, "ballots")
+    rows = pages.mapInArrow(vote, "host string, page long, slot int, held array<long>, chars long, links long")
     rows = rows.groupBy("host", "page", "slot").agg(F.min(F.struct("held", "chars", "links")).alias("one")).select("host", "slot", "one.*")
-    rows = rows.groupBy("host", "slot", "held").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    slots = rows.groupBy("host", "slot").agg(F.sum("n").alias("pages"), F.max("n").alias("modal"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    return slots.groupBy("host").agg(F.collect_list(F.struct("slot", "pages", "modal", "chars", "links")).alias("votes"))
+    rows = written(rows, folder)
+    slots = rows.groupBy("host", "slot").agg(F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    different = slots.where("slot = -1").select("host", F.col("pages").alias("different"))
+    texts = rows.select("host", "slot", F.explode("held").alias("held")).groupBy("host", "slot", "held").count()
+    texts = texts.join(hinted(different), "host").where(F.col("count") >= CONSTANT * F.col("different"))
+    constant = texts.groupBy("host", "slot").agg(F.collect_list("held").alias("constant"))
+    slots = slots.join(hinted(constant), ["host", "slot"], "left").withColumn("constant", F.coalesce("constant", F.array().cast("array<bigint>")))
+    return slots.groupBy("host").agg(F.collect_list(F.struct("slot", "pages", "constant", "chars", "links")).alias("votes"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -153,3 +153,19 @@ def test_heading_of_few_pages_stays(spark):
     rows = [(i, "http://q.org/", f"<p>{say(rng, 9)}</p>" + "<h2>Summary</h2>" * (i < 8)) for i in range(20)]
     got = {r["page_id"]: r["text"] for r in w.main_text(frame(spark, rows)).collect()}
     assert all(got[i].endswith(" Summary") for i in range(8))
+
+
+def test_constant_siblings_of_one_sign(spark):
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i in range(12):
+        text = say(rng, 9)
+        if i % 2:
+            html = f"<table><tr><td>menu<td>{text}</table>"
+            url = "http://t.org/"
+        else:
+            html = f"<div>notice</div><div>{text}</div>"
+            url = "http://d.org/"
+        rows.append((i, url, html))
+        want[i] = text
+    assert {r["page_id"]: r["text"] for r in w.main_text(frame(spark, rows)).collect()} == want
