@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.llm.common import texts
+from accessaudit.llm.common import hinted, texts
 from accessaudit.session import fresh_folder, written
 
 DISTANCE = 4
@@ -51,15 +51,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and fingerprint (a long with the 64 bits) of every row."""
+    """doc_id, fingerprint (a long with the 64 bits) and MD5 of the text (null: as if empty) of every row."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [fingerprint(t.as_py(), shingle, seed) for t in batch.column("text")]
             bits = pa.array(np.array(made, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), bits], names=["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), bits, batch.column("text_md5")], names=["doc_id", "bits", "text_md5"])
 
-    return texts(docs).mapInArrow(scan, "doc_id long, bits long")
+    return texts(docs).withColumn("text_md5", F.md5("text")).mapInArrow(scan, "doc_id long, bits long, text_md5 string")
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -256,6 +256,14 @@ def near_copies(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGL
     (null where no row of a component has an id); rows that share a doc_id are linked by their
     texts alone. Other columns are not read. An empty table gives no rows.
     """
+    rows, named = _named(docs, distance, shingle)
+    return rows.join(named.select("bits", "component_id"), "bits").select(
+        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _named(docs: DataFrame, distance: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """`fingerprints`, and bits, root (the component, one for all its bits) and component_id of every distinct one."""
     spark = docs.sparkSession
     rows = written(fingerprints(docs, shingle), fresh_folder(spark, "fingerprints"))
     distinct = written(rows.groupBy("bits").agg(F.min("doc_id").alias("first")), fresh_folder(spark, "distinct"))
@@ -263,17 +271,24 @@ def near_copies(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGL
     named = distinct.join(tree.withColumnRenamed("node", "bits"), "bits", "left")
     named = named.select("bits", "first", F.coalesce("root", "bits").alias("root"))
     roots = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(roots, "root").select("bits", "component_id")
-    return rows.join(named, "bits").select(
-        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return rows, named.join(roots, "root").select("bits", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of `docs` that stay when each component keeps the document with its smallest doc_id.
+    """The rows of `docs` that stay when each component keeps one row, that with its smallest doc_id.
 
-    Of rows that share that doc_id one stays. Rows without a doc_id all stay: nothing names them.
+    Of rows that share that doc_id the one of smallest fingerprint, then MD5 of its text stays. Rows
+    without a doc_id are no copies of named ones, but of those in one component one stays. Of
+    rows with the same doc_id and text any one may be it: they differ in other columns at most.
     """
-    kept = near_copies(docs, distance, shingle).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    rows, named = _named(docs, distance, shingle)
+    unnamed = F.col("doc_id").isNull().alias("unnamed")
+    best = F.min(F.struct("doc_id", "bits", "text_md5"))
+    first = rows.groupBy("bits", unnamed).agg(best.alias("one"))  # equal fingerprints shrink before they meet the components
+    first = first.join(named.select("bits", "root"), "bits").groupBy("root", "unnamed").agg(F.min("one").alias("one"))
+    kept = first.select(F.col("one.doc_id").alias("kept_id"), F.col("one.text_md5").alias("kept_md5"))
+    kept = hinted(written(kept, fresh_folder(docs.sparkSession, "kept")))
+    md5 = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col("text_md5") == F.col("kept_md5"))
+    found = docs.withColumn("text_md5", md5).join(kept, same, "left_semi")
+    return found.dropDuplicates(["doc_id", "text_md5"]).drop("text_md5")

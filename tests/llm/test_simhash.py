@@ -120,3 +120,17 @@ def test_chains_become_one_component(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
     assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
+
+
+def test_one_of_each_keeps_every_text(spark):
+    a, b = "a b c d e f g h", "quite different words stand in here now"
+    rows = [(3, a), (5, a), (5, b), (None, "x y z u v w"), (None, "x y z u v w"), (7, None), (8, "")]
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == [(0, "x y z u v w"), (3, a), (5, b), (7, "")]
+
+
+def test_one_id_in_two_components_stays_in_both(spark):
+    a, b = "a b c d e f g h", "quite different words stand in here now"
+    rows = [(5, a), (5, b), (6, a), (6, b)]
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(5, a), (5, b)]
