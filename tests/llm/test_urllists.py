@@ -77,3 +77,10 @@ def test_many_bins_and_no_broadcasts(spark, monkeypatch):
 def test_empty_tables(spark):
     check(spark, [], [("host", "x.org", "block", DAY)])
     check(spark, [(1, "http://x.org", DAY)], [])
+
+
+def test_domains_of_one_label_when_asked(spark):
+    c = spark.createDataFrame([(i, x, DAY) for i, x in enumerate(["http://a.b.com/", "http://localhost/", "http://x.org/"])], "page_id long, url string, fetched date")
+    e = spark.createDataFrame([("domain", v, "block", DAY) for v in ("com", "localhost")], "kind string, value string, action string, dated date")
+    assert sorted((r["page_id"], r["list_value"]) for r in u.judged(c, e, least=1).collect()) == [(0, "com"), (1, "localhost"), (2, None)]
+    assert not any(r["blocked"] for r in u.judged(c, e).collect())
