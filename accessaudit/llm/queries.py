@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from accessaudit.llm import classlm, contamination, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
+from accessaudit.llm import classlm, contamination, packing, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
 from accessaudit.llm.common import importable, read_table
 
 
@@ -63,6 +64,12 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@importable
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -74,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_main_text": op9_main_text,
     "op10_pieces": op10_pieces,
+    "op13_packing": op13_packing,
 }
 
 SQL: dict[str, str] = {
