@@ -87,8 +87,9 @@ def _longest_run(text: str) -> int:
     """An upper bound for the bytes of a word or of a run of white space."""
     if len(text) * 4 <= LONGEST_RUN:
         return 0
-    edges = np.flatnonzero(np.diff(np.frombuffer(text.encode(), np.uint8) <= 32, prepend=False, append=False))
-    return int(np.diff(edges, prepend=0, append=4 * len(text)).max(initial=0)) if len(edges) else 4 * len(text)
+    data = np.frombuffer(text.encode(), np.uint8)
+    turns = np.flatnonzero((data[1:] <= 32) != (data[:-1] <= 32)) + 1
+    return int(np.diff(turns, prepend=0, append=len(data)).max())
 
 
 @lru_cache(maxsize=2)
