@@ -135,14 +135,11 @@ def bitmaps(rows: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.table(batch)
-            names = table.column("source").combine_chunks().dictionary_encode()
-            if isinstance(names, pa.ChunkedArray):
-                names = names.chunk(0) if names.num_chunks else pa.array([], pa.string()).dictionary_encode()
+            names = batch.column("source").dictionary_encode()
             code = names.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            null = table.column("doc_id").is_null().to_numpy()
-            ids = table.column("doc_id").fill_null(0).to_numpy()
-            n = table.column("n").to_numpy()
+            null = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id").fill_null(0).to_numpy()
+            n = batch.column("n").to_numpy()
             high = ids >> LOW_BITS
             order = np.lexsort((high, null, code))
             edge = np.flatnonzero((np.diff(code[order]) != 0) | (np.diff(high[order]) != 0) | (np.diff(null[order]) != 0)) + 1
@@ -167,6 +164,13 @@ def bitmaps(rows: DataFrame) -> DataFrame:
     return parts.groupBy("source", "high").applyInArrow(merge, BITMAP)
 
 
+def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """`left` joined with a measured `right` by equal or both null `on`, whose columns are kept once."""
+    other = hinted(right).withColumnsRenamed({c: f"_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]
+    return left.join(other, same, how).drop(*[f"_{c}" for c in on])
+
+
 def _before(counts: DataFrame, within: list[str], by: str) -> DataFrame:
     """`counts` with the sum of n over smaller `by` (nulls last) among rows that share `within`."""
     earlier = Window.partitionBy(*within).orderBy(F.asc_nulls_last(by)).rowsBetween(Window.unboundedPreceding, -1)
@@ -182,10 +186,10 @@ def directory(maps: DataFrame) -> DataFrame:
     low = _before(maps.select("source", "high", "n", one.alias("one"), two.alias("two")), ["source", "one"], "high")
     middle = _before(low.groupBy("source", "one", "two").agg(F.sum("n").alias("n")), ["source", "two"], "one")
     high = _before(middle.groupBy("source", "two").agg(F.sum("n").alias("n")), ["source"], "two")
-    same = lambda a, b, *on: [a[c].eqNullSafe(b[c]) for c in on]
-    joined = low.join(hinted(middle), same(low, middle, "source", "one")).join(hinted(high), same(low, high, "source", "two"))
-    base = joined.select(low["source"], low["high"], (low["before"] + middle["before"] + high["before"]).alias("base"))
-    return maps.join(hinted(base), same(maps, base, "source", "high")).select(maps["*"], base["base"])
+    upper = _joined(middle.drop("n").withColumnRenamed("before", "b1"), high.select("source", "two", F.col("before").alias("b2")), ["source", "two"])
+    base = _joined(low.select("source", "one", "high", "before"), upper.drop("two"), ["source", "one"])
+    base = base.select("source", "high", (F.col("before") + F.col("b1") + F.col("b2")).alias("base"))
+    return _joined(maps, base, ["source", "high"])
 
 
 PLACED = "source string, doc_id long, leaf binary, found binary, n long, pos long, several boolean"
@@ -199,9 +203,7 @@ def placed(rows: DataFrame) -> DataFrame:
     maps = written(directory(written(bitmaps(rows), fresh_folder(rows.sparkSession, "bitmaps"))), fresh_folder(rows.sparkSession, "directory"))
     # one id may hold any share of the rows: its rows are dealt over several tasks, each with the bitmap
     hot = maps.where(F.col("n") > DEALT).select("source", "high", F.ceil(F.col("n") / DEALT).cast("int").alias("deals"))
-    hot = hinted(hot).withColumnsRenamed({"source": "hot_source", "high": "hot_high"})
-    keyed = rows.withColumn("high", F.shiftright("doc_id", LOW_BITS))
-    keyed = keyed.join(hot, F.col("source").eqNullSafe(F.col("hot_source")) & F.col("high").eqNullSafe(F.col("hot_high")), "left")
+    keyed = _joined(rows.withColumn("high", F.shiftright("doc_id", LOW_BITS)), hot, ["source", "high"], "left")
     deal = F.pmod(F.xxhash64("leaf"), F.coalesce("deals", F.lit(1))).cast("int")
     keyed = keyed.select("source", "high", deal.alias("deal"), "doc_id", "leaf", "found", "n")
     deals = F.greatest(F.lit(1), F.ceil(F.col("n") / DEALT)).cast("int")
@@ -239,8 +241,7 @@ def _among_equals(rows: DataFrame) -> DataFrame:
     last = Window.partitionBy(*key, "d1", "d2").orderBy("leaf", "found").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("b3", F.coalesce(F.sum("n").over(last), F.lit(0)))
     for other, on in ((one, [*key, "d1"]), (two, [*key, "d1", "d2"])):
-        mine = other.drop("n").withColumnsRenamed({c: f"_{c}" for c in on})
-        rows = rows.join(mine, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]).drop(*[f"_{c}" for c in on])
+        rows = _joined(rows, other.drop("n"), on)
     part = 1 << 16
     rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(part).cast("long"))))
     turn = F.explode(F.sequence(F.col("part"), F.least(F.col("part") + part, F.col("n")) - 1)).alias("turn")
@@ -306,8 +307,7 @@ def arrays(nodes: DataFrame, sizes: DataFrame, round_: int) -> DataFrame:
     `nodes`: source, pos, node, carried (bytes kept beside it); `sizes`: source, total (levels of its tree).
     """
     steps = F.least(F.lit(LEVELS), F.col("total") - LEVELS * round_).cast("int")
-    sizes = sizes.select(F.col("source").alias("of"), steps.alias("steps"))
-    rows = nodes.join(hinted(sizes), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    rows = _joined(nodes, sizes.select("source", steps.alias("steps")), ["source"])
     rows = rows.select("source", F.floor(F.col("pos") / BLOCK).alias("block"), (F.col("pos") % BLOCK).cast("int").alias("slot"), "steps", "node", "carried")
 
     def reduce(key, table):
@@ -341,11 +341,10 @@ def trees(nodes: DataFrame, sizes: DataFrame, highest: int, label: str) -> tuple
         here = sizes.where(F.col("total") > LEVELS * k) if k else sizes
         rounds.append(written(arrays(nodes, here, k), fresh_folder(spark, f"{label}-{k}")))
         tops = rounds[-1].select("source", F.col("block").alias("pos"), F.col("top").alias("node"), F.lit(b"").alias("carried"))
-        over = sizes.where(F.col("total") <= LEVELS * (k + 1)).select(F.col("source").alias("of"))
-        ready = F.col("source").eqNullSafe(F.col("of"))
-        finished = tops.join(hinted(over), ready, "left_semi").select("source", "node")
-        done = finished if done is None else done.unionByName(finished.join(rounds[-1].select(F.col("source").alias("of")).distinct(), ready, "left_semi"))
-        nodes = tops.join(hinted(over), ready, "left_anti")
+        tops = _joined(tops, sizes.select("source", "total"), ["source"])
+        finished = tops.where(F.col("total") <= LEVELS * (k + 1)).select("source", "node")
+        done = finished if done is None else done.unionByName(finished)
+        nodes = tops.where(F.col("total") > LEVELS * (k + 1)).drop("total")
     return rounds, done
 
 
@@ -354,8 +353,8 @@ PATHS = "source string, pos long, node binary, carried binary, path binary"
 
 def paths(table: DataFrame, above: DataFrame) -> DataFrame:
     """Every node of a round's arrays with the siblings up to the root; `above` has the rest of the way for each array."""
-    above = above.select(F.col("source").alias("of"), F.col("pos").alias("at"), F.col("path").alias("rest"))
-    rows = table.join(hinted(above), F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")), "left")
+    above = above.select("source", F.col("pos").alias("block"), F.col("path").alias("rest"))
+    rows = _joined(table, above, ["source", "block"], "left")
     rows = rows.select("source", "block", "steps", "nodes", "carried", F.coalesce("rest", F.lit(b"")).alias("rest"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,8 +377,8 @@ def _ways(rounds: list[DataFrame], top: DataFrame) -> DataFrame:
     for table in reversed(rounds):
         # a tree that ends below this round has its own way on at place 0 still
         found = paths(table, way).select("source", "pos", "path")
-        lower = table.select(F.col("source").alias("of")).distinct()
-        rest = way.select("source", "pos", "path").join(hinted(lower), F.col("source").eqNullSafe(F.col("of")), "left_anti")
+        here = table.select("source").distinct().withColumn("here", F.lit(True))
+        rest = _joined(way.select("source", "pos", "path"), here, ["source"], "left").where("here is null").drop("here")
         way = found.unionByName(rest)
     return way
 
@@ -405,7 +404,7 @@ def manifest(docs: DataFrame, changed: Column | None = None, text: Column | None
     rounds, subroots = trees(nodes, totals, levels(most[0] or 0), "tree")
 
     # the trees' roots are the leaves of one more tree
-    subroots = written(dense_ids(subroots.withColumnRenamed("node", "subroot"), ["source"], 0).withColumnRenamed("pid", "pos"), fresh_folder(spark, "subroots"))
+    subroots = written(dense_ids(subroots.withColumnRenamed("node", "subroot"), ["source"], -1).withColumnRenamed("pid", "pos"), fresh_folder(spark, "subroots"))
     whole = spark.range(1 if most[1] else 0).select(F.lit(None).cast("string").alias("source"), F.lit(levels(most[1])).alias("total"))
     upper, root = trees(subroots.select(F.lit(None).cast("string").alias("source"), "pos", F.col("subroot").alias("node"), F.lit(b"").alias("carried")), whole, levels(most[1]), "root")
     end = whole.select("source", F.lit(b"").alias("path"))
@@ -416,7 +415,7 @@ def manifest(docs: DataFrame, changed: Column | None = None, text: Column | None
     if len(rounds) > 1:
         way = written(_ways(rounds[1:], ways), fresh_folder(spark, "paths"))
     found = _uncarried(paths(rounds[0], way))
-    known = subroots.join(hinted(sizes.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))).select("source", "n", "subroot")
+    known = _joined(subroots, sizes, ["source"]).select("source", "n", "subroot")
     return found, written(known.crossJoin(F.broadcast(root.select(F.col("node").alias("root")))), fresh_folder(spark, "roots"))
 
 
@@ -452,8 +451,7 @@ def verified(table: DataFrame, sources: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*kept, pa.array(proofs, pa.binary()), pa.array(roots, pa.binary())], names=["source", "pos", "doc_id", "leaf", "proof", "folded_root"])
 
     rows = table.mapInArrow(scan, "source string, pos long, doc_id long, leaf binary, " + VERDICT)
-    known = sources.select(F.col("source").alias("of"), "subroot", "root")
-    rows = rows.join(hinted(known), F.col("source").eqNullSafe(F.col("of")))
+    rows = _joined(rows, sources.select("source", "subroot", "root"), ["source"])
     text = lambda c: F.lower(F.hex(c))
     return rows.select(
         "doc_id",

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accessaudit.llm import classlm, contamination, packing, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
+from accessaudit.llm import classlm, contamination, manifest, packing, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
 from accessaudit.llm.common import importable, read_table
 
 
@@ -64,6 +64,14 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@importable
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every other document is found without its line ends later
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    rows = manifest.checked(read_table(spark, sf_dir, "documents"), changed, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 @importable
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -81,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_main_text": op9_main_text,
     "op10_pieces": op10_pieces,
+    "op12_manifest": op12_manifest,
     "op13_packing": op13_packing,
 }
 
