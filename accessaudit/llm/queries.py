@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accessaudit.llm import classlm, contamination, manifest, packing, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, wrappers
+from accessaudit.llm import classlm, contamination, manifest, packing, pieces, repeats, simhash, tokenfiles, topk, toxicity, urllists, whitening, wrappers
 from accessaudit.llm.common import importable, read_table
 
 
@@ -64,6 +64,11 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@importable
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 @importable
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every other document is found without its line ends later
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_main_text": op9_main_text,
     "op10_pieces": op10_pieces,
+    "op11_whitening": op11_whitening,
     "op12_manifest": op12_manifest,
     "op13_packing": op13_packing,
 }
