@@ -12,9 +12,11 @@ from accessaudit.operators import identity, packets, results, rules, verdicts, v
 from accessaudit.operators.lookup import value_lists
 from accessaudit.plans import testbed as tb
 from accessaudit.plans.audit import References, audit_flow, audit_records, references_from_documents
+from accessaudit.schemas import LOGIN_SUCCEEDED
 from accessaudit.session import fresh_folder
 from accessaudit.sources import records as record_sources
 from accessaudit.sources.tables import TableSource, read_table
+from accessaudit.streaming import summary, user_state
 from accessaudit.streaming.job import AuditJob, current_user_map, flow_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -387,6 +389,41 @@ def stream_user_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_user_map(spark, job.folder("user_map"), ["requestTime", "event_id"])
 
 
+def _delivered(spark: SparkSession, sf_dir: str, take: Callable[[DataFrame], None], weeks: int = 1) -> None:
+    """A topic that grows by so many weeks at a time; after each delivery `take` runs over what is new, as a query started again."""
+    out, whole = fresh_folder(spark, "topic"), tb.deliveries(spark, sf_dir)
+    whole = whole.withColumn("delivery", F.floor(F.col("delivery") / weeks))
+    for week in sorted(r["delivery"] for r in whole.select("delivery").distinct().collect()):  # at most six
+        whole.where(F.col("delivery") == week).drop("delivery").write.mode("append").parquet(out)
+        take(spark.readStream.schema("event_id bigint, value string").parquet(out))
+
+
+@query
+def keyed_user_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map as keyed state, kept over queries that end and start again, read from the state."""
+    checkpoint, refs = fresh_folder(spark, "user-state"), tb.references(spark, sf_dir)
+    order = ["requestTime", "event_id"]
+
+    def take(topic: DataFrame) -> None:
+        found = audit_records(topic, refs).where(F.col("type") == LOGIN_SUCCEEDED)
+        entries = user_state.login_entries(identity.login_users(found, "event_id"), order)
+        user_state.run_out(user_state.start_user_map(entries, checkpoint, trigger=ONCE))
+
+    _delivered(spark, sf_dir, take, weeks=3)
+    return user_state.state_of(spark, checkpoint)
+
+
+@query
+def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the days that are over, and of verdicts that came too late for them."""
+    out, refs = fresh_folder(spark, "summary"), tb.references(spark, sf_dir)
+    log = summary.VerdictLog(lambda _: refs, f"{out}/log", ("event_id",))
+    _delivered(spark, sf_dir, lambda topic: log.start(topic, f"{out}/taken", ONCE).awaitTermination())
+    summary.start_summary(log, spark, f"{out}/days", f"{out}/counted", ONCE).awaitTermination()
+    days = spark.read.schema("type string, request_day string, subsystem string, visits bigint").parquet(f"{out}/days")
+    return days.withColumn("arrival", F.lit(summary.ON_TIME)).unionByName(log.late_counts(spark))
+
+
 @query
 def classify_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules taken from their newest documents, then the audit."""

@@ -220,6 +220,20 @@ def oracles() -> dict[str, str]:
         "stream_alarms": audit("""
             SELECT event_id, subsystem, area, "user" AS username, level FROM results WHERE type = '3'"""),
         "stream_user_map": audit(user_map),
+        "keyed_user_map": audit(user_map),
+        "stream_summary": audit("""
+            , timed AS (
+              SELECT v.type, v.sysid AS subsystem, substr(v."requestTime", 1, 10) AS request_day,
+                epoch(CAST(replace(replace(v."requestTime", 'T', ' '), 'Z', '') AS TIMESTAMP)) AS sec,
+                CAST(floor((day(e.ts) - 1) / 7) AS INT) + CASE WHEN CAST(e.props->>'$.k' AS INT) % 7 = 0 THEN 1 ELSE 0 END AS delivery
+              FROM verdicts v JOIN events e USING (event_id)),
+            marks AS (SELECT d.delivery, (SELECT max(sec) FROM timed t WHERE t.delivery < d.delivery) - 86400 AS mark
+              FROM (SELECT DISTINCT delivery FROM timed) d),
+            marked AS (SELECT t.*, CASE WHEN (floor(sec / 86400) + 1) * 86400 <= mark THEN 'late' ELSE 'on time' END AS arrival
+              FROM timed t JOIN marks USING (delivery))
+            SELECT arrival, type, request_day, subsystem, count(*) AS visits FROM marked
+            WHERE arrival = 'late' OR (floor(sec / 86400) + 1) * 86400 <= (SELECT max(sec) FROM timed) - 86400
+            GROUP BY 1, 2, 3, 4"""),
         "classify_from_documents": audit("SELECT * FROM verdicts").replace(
             "SELECT concat('10.0.0.', CAST(c_custkey AS VARCHAR)) AS ip FROM customer WHERE c_mktsegment <> 'BUILDING'",
             "SELECT concat('10.0.0.', CAST(n_nationkey AS VARCHAR)) AS ip FROM nation",

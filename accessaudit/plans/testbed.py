@@ -78,7 +78,7 @@ def flow_of(events: DataFrame) -> DataFrame:
     return events.select("event_id", *[c.alias(n) for n, c in _event_columns().items()])
 
 
-def records_of(events: DataFrame) -> DataFrame:
+def records_of(events: DataFrame, *keep: str) -> DataFrame:
     """The same visits as record text: `event_id, value`. Ports and codes are JSON numbers;
     a request without an answer has no `http`."""
     c = _event_columns()
@@ -91,7 +91,7 @@ def records_of(events: DataFrame) -> DataFrame:
         F.struct(c["query"].alias("query")).alias("url"),
         F.when(status.isNotNull(), F.struct(F.struct(status.alias("status_code")).alias("response"))).alias("http"),
     )
-    return events.select("event_id", F.to_json(packet).alias("value"))
+    return events.select("event_id", *keep, F.to_json(packet).alias("value"))
 
 
 def flow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +110,16 @@ def record_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000)
     return records_of(reader.option("maxFilesPerTrigger", files_per_batch).parquet(path))
 
 
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records with `delivery`, the week they arrive in: that of the event, or the next one for
+    those whose connection was slow (`k` a multiple of seven)."""
+    events = table(spark, sf_dir, "events")
+    week = F.floor((F.dayofmonth("ts") - 1) / 7).cast("int")
+    slow = F.get_json_object("props", "$.k").cast("int") % 7 == 0
+    delivery = week + F.when(slow, 1).otherwise(0)
+    return records_of(events.withColumn("delivery", delivery), "delivery")
+
+
 def mixed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records among chat lines that are no JSON: `origin, id, part, value`."""
     good = records(spark, sf_dir).select(

@@ -65,6 +65,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def folder_done(spark: SparkSession, path: str) -> bool:
+    """Whether a job that wrote to this folder has ended well."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def rows_at(spark: SparkSession, path: str, schema: str) -> list | None:
     """The rows of a small table, or None where no such folder is."""
     try:
