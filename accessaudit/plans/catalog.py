@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accessaudit.functions import after_last_equals
-from accessaudit.operators import identity, packets, results, rules, verdicts, visits
+from accessaudit.operators import identity, inference, packets, results, rules, verdicts, visits
 from accessaudit.operators.lookup import value_lists
 from accessaudit.plans import testbed as tb
 from accessaudit.plans.audit import References, audit_flow, audit_records, references_from_documents
@@ -139,6 +139,41 @@ def column_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packets.project_flow(packets.column_gate(by_minute, "minute")).drop("packet_no")
 
 
+def _by_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = tb.records(spark, sf_dir)
+    return records.withColumn("minute", F.substring(F.get_json_object("value", "$.@timestamp"), 1, 16))
+
+
+@query
+def inferred_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the records of each day hold, by inference; chat lines among them give nothing."""
+    topic = tb.mixed_topic(spark, sf_dir)
+    records = inference.variant_records(topic.select(F.substring(F.get_json_object("value", "$.@timestamp"), 1, 10).alias("day"), "value"))
+    return inference.fields(records, "day")
+
+
+@query
+def inferred_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate on inferred columns: minutes without an answer have no column for one."""
+    return inference.inferred_gate(_by_minute(spark, sf_dir), "minute").select("event_id", "minute")
+
+
+@query
+def inferred_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with the columns found in them, as the audit needs them."""
+    p = inference.inferred_packets(tb.records(spark, sf_dir))
+    return p.select(
+        "event_id",
+        F.col("source.ip").alias("ip"),
+        F.col("destination.ip").alias("serviceIp"),
+        F.col("destination.port").alias("port"),
+        F.col("@timestamp").alias("requestTime"),
+        F.col("query").alias("url"),
+        F.col("url.query").alias("query"),
+        F.col("http.response.status_code").alias("status_code"),
+    )
+
+
 @query
 def monitored_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.monitored_service(tb.flow(spark, sf_dir), *_service_lists(spark, "port", "ip"))

@@ -153,6 +153,27 @@ def oracles() -> dict[str, str]:
             WHERE substr("requestTime", 1, 16) IN (
               SELECT substr("requestTime", 1, 16) FROM flow GROUP BY 1
               HAVING bool_or(url IS NOT NULL) AND bool_or(status_code IS NOT NULL) AND bool_or("serviceIp" IS NOT NULL))"""),
+        "inferred_fields": flow("""
+            , held AS (SELECT substr("requestTime", 1, 10) AS day, unnest([
+                {'path': '@timestamp', 'kind': 'STRING', 'n': "requestTime" IS NOT NULL},
+                {'path': 'source', 'kind': 'OBJECT', 'n': true}, {'path': 'source.ip', 'kind': 'STRING', 'n': ip IS NOT NULL},
+                {'path': 'destination', 'kind': 'OBJECT', 'n': true},
+                {'path': 'destination.ip', 'kind': 'STRING', 'n': "serviceIp" IS NOT NULL},
+                {'path': 'destination.port', 'kind': 'BIGINT', 'n': port IS NOT NULL},
+                {'path': 'query', 'kind': 'STRING', 'n': url IS NOT NULL}, {'path': 'url', 'kind': 'OBJECT', 'n': true},
+                {'path': 'url.query', 'kind': 'STRING', 'n': query IS NOT NULL},
+                {'path': 'http', 'kind': 'OBJECT', 'n': status_code IS NOT NULL},
+                {'path': 'http.response', 'kind': 'OBJECT', 'n': status_code IS NOT NULL},
+                {'path': 'http.response.status_code', 'kind': 'BIGINT', 'n': status_code IS NOT NULL}]) AS f FROM flow)
+            SELECT day, f.path AS path, f.kind AS kind, count(*) AS records, CAST(0 AS BIGINT) AS nulls
+            FROM held WHERE f.n GROUP BY 1, 2, 3"""),
+        "inferred_gate": flow("""
+            SELECT event_id, substr("requestTime", 1, 16) AS minute FROM flow
+            WHERE substr("requestTime", 1, 16) IN (
+              SELECT substr("requestTime", 1, 16) FROM flow GROUP BY 1
+              HAVING bool_or(url IS NOT NULL) AND bool_or(status_code IS NOT NULL) AND bool_or("serviceIp" IS NOT NULL))"""),
+        "inferred_packets": flow("""
+            SELECT * REPLACE (CAST(port AS BIGINT) AS port, CAST(status_code AS BIGINT) AS status_code) FROM flow"""),
         "monitored_service": audit("SELECT * FROM monitored"),
         "visit_flow": audit("SELECT * FROM visits"),
         "outside_whitelist": audit("SELECT * FROM outside"),

@@ -130,11 +130,11 @@ def start_user_map(
 def run_out(query: StreamingQuery, poll: float = 0.1) -> None:
     """Wait until the query has taken what its source had when it started.
 
-    State with a time to live makes batches without data for ever; the first of these ends it.
+    State with a time to live makes batches without data for ever. The second of these ends it: the
+    first may be one that an earlier run left unfinished, planned before the data now there.
     """
     while query.isActive:
-        last = query.lastProgress
-        if last is not None and last.numInputRows == 0:
+        if sum(p["numInputRows"] == 0 for p in query.recentProgress) > 1:
             query.stop()
         time.sleep(poll)
     if query.exception() is not None:

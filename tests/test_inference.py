@@ -1,0 +1,80 @@
+"""Fields and schemas of batches against Spark's own inference over the same records."""
+
+import json
+
+import pytest
+
+from accessaudit.operators import inference
+from tests.helpers import rows
+
+RAW = "n int, value string"
+MIXED = [
+    (1, '{"a":1,"b":{"c":"x","d":null}}'),
+    (1, '{"a":"s","b":{"c":"y","e":{"f":[1,2]}}}'),
+    (1, '[{"a":2},{"z":{"y":1.5}}]'),
+    (2, '{"query":"q","http":null,"destination":{"ip":"1"}}'),
+    (2, "no json"),
+    (2, None),
+    (2, '"text"'),
+    (2, "[]"),
+    (3, '[{"query":"q"},{"http":{"x":true},"destination":1}]'),
+    (4, '{"query":"q","destination":{"http":{}}}'),
+    (5, '{"query":[],"http":{"a":{"B":{}}},"destination":[{}],"z":[{"A":{}},{"A":{"b":null}}]}'),
+    (6, '{"query":[{}, 1],"http":{"a":{"B":{"C":[]}}},"destination":[[1]]}'),
+]
+
+
+@pytest.fixture
+def raw(spark):
+    return spark.createDataFrame(MIXED, RAW)
+
+
+def test_fields_of_each_batch(raw):
+    found = inference.fields(inference.variant_records(raw), "n")
+    got = {(r["n"], r["path"]): (r["kind"], r["records"], r["nulls"]) for r in found.collect()}
+    assert {k: v for k, v in got.items() if k[0] == 1} == {
+        (1, "a"): ("VARIANT", 3, 0),
+        (1, "b"): ("OBJECT", 2, 0),
+        (1, "b.c"): ("STRING", 2, 0),
+        (1, "b.d"): ("VOID", 1, 1),
+        (1, "b.e"): ("OBJECT", 1, 0),
+        (1, "b.e.f"): ("ARRAY", 1, 0),
+        (1, "z"): ("OBJECT", 1, 0),
+        (1, "z.y"): ("DECIMAL", 1, 0),
+    }
+    assert got[(2, "http")] == ("VOID", 1, 1)
+    assert {p for n, p in got if n == 4} == {"query", "destination", "destination.http"}
+    shallow = inference.fields(inference.variant_records(raw), depth=1)
+    assert "." not in "".join(r["path"] for r in shallow.collect())
+
+
+def test_columns_equal_spark_s_own_inference(spark, raw):
+    for n in (1, 2, 3, 4, 5, 6):
+        batch = raw.where(f"n = {n}")
+        texts = [r["value"] for r in batch.collect() if r["value"] and r["value"][0] in "{["]
+        own = spark.read.json(spark.createDataFrame([(t,) for t in texts], "value string").rdd.map(lambda r: r[0]))
+        assert {f.name for f in inference.inferred_schema(inference.variant_records(batch)).fields} == set(own.columns)
+
+
+def test_gate_asks_for_columns_not_values(raw):
+    passed = inference.inferred_gate(raw, "n")
+    assert {r["n"] for r in passed.collect()} == {2, 3, 6}
+    assert rows(passed) == rows(raw.where("n IN (2, 3, 6)"))
+    for n, kept in ((1, 0), (2, 5), (3, 1), (4, 0), (5, 0), (6, 1)):
+        assert inference.inferred_gate(raw.where(f"n = {n}")).count() == kept
+    assert inference.inferred_gate(raw.limit(0)).count() == 0
+
+
+def test_packets_have_the_columns_of_their_batch(spark):
+    values = [{"n": 7, "port": 1, "who": {"x": "a"}}, {"port": 2, "who": {"y": [1]}}]
+    raw = spark.createDataFrame([(1, json.dumps(values)), (2, '{"port":3}'), (3, "bad")], RAW)
+    found = inference.inferred_packets(raw)
+    assert sorted(found.columns) == ["n", "port", "record_n", "who"]
+    assert sorted((r["n"], r["record_n"], r["port"]) for r in found.collect() if r["n"] == 2) == [(2, None, 3)]
+    assert {r["port"]: (r["who"] and (r["who"]["x"], r["who"]["y"])) for r in found.collect()} == {1: ("a", None), 2: (None, [1]), 3: None}
+    assert inference.inferred_packets(raw.where("n = 3")).columns == ["n"]
+
+
+def test_one_aggregation_that_combines_before_the_shuffle(spark, raw):
+    plan = inference.fields(inference.variant_records(raw), "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_" in plan

@@ -25,7 +25,7 @@ def log(refs, tmp_path):
 
 def visit(spark, *times):
     """One monitored visit from outside the whitelist at each time."""
-    text = '{{"@timestamp":"{}","source":{{"ip":"1.1.1.1"}},"destination":{{"ip":"192.168.0.0","port":8080}},"query":"GET /","http":{{"response":{{"status_code":200}}}}}}'
+    text = '{{"@timestamp":"{}","source":{{"ip":"1.1.1.1"}},"destination":{{"ip":"192.168.0.0","port":8082}},"query":"GET /","http":{{"response":{{"status_code":200}}}}}}'
     return spark.createDataFrame([(i, text.format(t)) for i, t in enumerate(times)], "event_id long, value string")
 
 
