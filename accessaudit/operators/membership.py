@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from accessaudit.operators.bloom import can_filter, list_filter
 from accessaudit.operators.lookup import Measured, ShortList, Spread, as_list, join_measured
 
 NULL_POLICIES = ("sql", "ignore")
@@ -12,11 +13,17 @@ Values = DataFrame | Measured | ShortList
 
 
 def keep_members(df: DataFrame, column: str, values: Values, spread: Spread | None = None) -> DataFrame:
-    """Rows with `column IN values`; `values` has one column, repeats and NULLs allowed."""
+    """Rows with `column IN values`; `values` has one column, repeats and NULLs allowed.
+
+    Beyond a broadcast, rows that a Bloom filter of the list rules out are not shuffled.
+    """
     values = as_list(values)
     if isinstance(values, ShortList):
         return df.where(F.col(column).isin(*values.values))
     known = values.map(lambda v: v.toDF(column).where(F.col(column).isNotNull()))
+    if not values.fits and not df.isStreaming and can_filter(df.schema[column].dataType, known.frame.schema[column].dataType):
+        bits = list_filter(known.frame, known.rows)
+        df = df if bits is None else df.where(bits.might_hold(column))
     return join_measured(df, known, column, "left_semi", spread)
 
 

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accessaudit.functions import after_last_equals
-from accessaudit.operators import identity, inference, packets, results, rules, verdicts, visits
-from accessaudit.operators.lookup import value_lists
+from accessaudit.operators import identity, inference, membership, packets, results, rules, verdicts, visits
+from accessaudit.operators.lookup import measure, value_lists
 from accessaudit.plans import testbed as tb
 from accessaudit.plans.audit import References, audit_flow, audit_records, references_from_documents
-from accessaudit.schemas import LOGIN_SUCCEEDED
+from accessaudit.schemas import LOGIN_SUCCEEDED, OUTSIDE_WHITELIST
 from accessaudit.session import fresh_folder
 from accessaudit.sources import records as record_sources
+from accessaudit.sources import two_phase
 from accessaudit.sources.tables import TableSource, read_table
 from accessaudit.streaming import summary, user_state
 from accessaudit.streaming.job import AuditJob, current_user_map, flow_stream
@@ -196,6 +197,13 @@ def inside_whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched(verdicts.inside_whitelist(seen, refs.whitelist), refs)
 
 
+@query
+def inside_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits from the addresses of customers who wait for an order, a list taken to be beyond a broadcast."""
+    known = tb.buyers(spark, sf_dir)
+    return membership.keep_members(tb.flow(spark, sf_dir), "ip", measure(known, max_rows=0)[0])
+
+
 @query
 def auth_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _logins(spark, sf_dir, False)
@@ -354,6 +362,17 @@ def alarms_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.alarms_since(_numbered_results(spark, sf_dir, now=clock), tb.SINCE_MS)
 
 
+@query
+def two_phase_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results written as two batches that are seen whole; the second one is written twice."""
+    out = fresh_folder(spark, "two-phase")
+    rows = results.result_rows(_verdicts(spark, sf_dir), "event_id", now=tb.CLOCK_MS)
+    violation = F.col("type") == OUTSIDE_WHITELIST
+    for batch, part in ((0, violation), (1, ~violation), (1, ~violation)):
+        two_phase.write_committed(rows.where(part), out, batch)
+    return two_phase.read_committed(spark, out, rows.schema)
+
+
 @query
 def ip_user_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.ip_user_map(_users(spark, sf_dir), ["requestTime", "event_id"])

@@ -178,6 +178,8 @@ def oracles() -> dict[str, str]:
         "visit_flow": audit("SELECT * FROM visits"),
         "outside_whitelist": audit("SELECT * FROM outside"),
         "inside_whitelist": audit("SELECT * FROM inside"),
+        "inside_long_list": flow("""
+            SELECT * FROM flow WHERE ip IN (SELECT concat('10.0.0.', CAST(o_custkey AS VARCHAR)) FROM orders WHERE o_orderstatus = 'P')"""),
         "auth_failure": audit("SELECT * FROM failed"),
         "auth_success": audit("SELECT * FROM succeeded"),
         "auth_failure_users": audit(f"SELECT {identity} FROM failed"),
@@ -241,6 +243,7 @@ def oracles() -> dict[str, str]:
         "stream_alarms": audit("""
             SELECT event_id, subsystem, area, "user" AS username, level FROM results WHERE type = '3'"""),
         "stream_user_map": audit(user_map),
+        "two_phase_results": audit(f"SELECT {plain} FROM results"),
         "keyed_user_map": audit(user_map),
         "stream_summary": audit("""
             , timed AS (

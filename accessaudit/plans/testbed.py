@@ -168,6 +168,11 @@ def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.select(_client_ip("c_custkey").alias("ip"))
 
 
+def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of customers with an order that is partly shipped, as often as they have one."""
+    return table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(_client_ip("o_custkey").alias("ip"))
+
+
 def model_levels(spark: SparkSession) -> DataFrame:
     rows = ", ".join(f"({i}, {level})" for i, level in MODEL_LEVELS)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(id, mleve)")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from accessaudit.operators.identity import short_user_pairs, user_ip_rows
 from accessaudit.schemas import LOGIN_SUCCEEDED, RESULT_COLUMNS
 from accessaudit.sources import sinks, tables
+from accessaudit.sources.two_phase import write_committed
 
 Hook = Callable[[dict[str, DataFrame], int], None]
 
@@ -109,3 +110,8 @@ def client_user_map(connect: Callable, put_many: Callable, clients: int = 16) ->
         sinks.send_partitions(batch["user_map"].select("key", "user").coalesce(clients), connect, send)
 
     return deliver
+
+
+def committed_results(path: str) -> Callable[[dict[str, DataFrame], int], None]:
+    """An `on_batch` hook that adds each batch's results to a two-phase table, whole and once."""
+    return lambda tables, batch_id: write_committed(tables["results"], path, batch_id)

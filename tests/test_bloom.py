@@ -1,0 +1,62 @@
+"""The Bloom filter of a long list: loses no member, drops nearly all others before the shuffle."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from accessaudit.operators import bloom
+from accessaudit.operators.lookup import measure
+from accessaudit.operators.membership import keep_members
+from tests.helpers import plan_of, rows, values
+
+
+def addresses(spark, low, high, step=1):
+    return spark.range(low, high, step).select(F.concat(F.lit("10."), "id").alias("ip"))
+
+
+def test_two_million_values(spark):
+    listed = addresses(spark, 0, 2_000_000)
+    bits = bloom.list_filter(listed, 2_000_000)
+    assert bits.bits <= 1 << 25
+    assert listed.where(~bits.might_hold("ip")).isEmpty()
+    others = addresses(spark, 5_000_000, 5_400_000)
+    assert others.where(bits.might_hold("ip")).count() < 400_000 / 100
+
+
+def test_rows_are_dropped_before_the_exchange(spark):
+    traffic = addresses(spark, 0, 200_000).withColumn("n", F.length("ip"))
+    side = measure(addresses(spark, 0, 300_000, 100), max_rows=0)[0]
+    kept = keep_members(traffic, "ip", side)
+    assert rows(kept) == rows(traffic.where(F.substring("ip", 4, 20).cast("int") % 100 == 0))
+    plan = plan_of(kept)
+    text = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
+    exchange = text.index("Exchange hashpartitioning(ip")
+    assert "getbit" in text[exchange:] and "getbit" not in text[:exchange]
+    sent = traffic.where(bloom.list_filter(side.frame, side.rows).might_hold("ip")).count()
+    assert 2000 <= sent < 2000 + 198_000 / 100
+
+
+def test_false_hits_go_in_the_join(spark, monkeypatch):
+    monkeypatch.setattr(bloom, "BITS_PER_VALUE", 1)
+    monkeypatch.setattr(bloom, "LEAST_BITS_PER_VALUE", 1)
+    traffic = addresses(spark, 0, 3000)
+    side = measure(addresses(spark, 0, 1000), max_rows=0)[0]
+    passed = traffic.where(bloom.list_filter(side.frame, 1000).might_hold("ip")).count()
+    assert passed > 1200
+    assert rows(keep_members(traffic, "ip", side)) == rows(addresses(spark, 0, 1000))
+
+
+def test_nulls_empty_lists_and_repeats(spark):
+    traffic = values(spark, "ip", "a", None, "b", "b")
+    assert rows(keep_members(traffic, "ip", measure(values(spark, "v", "b", None, "b"), max_rows=0)[0])) == rows(values(spark, "ip", "b", "b"))
+    none = measure(values(spark, "v"), max_rows=0, max_bytes=-1)[0]
+    assert keep_members(traffic, "ip", none).isEmpty()
+
+
+@pytest.mark.parametrize(("kind", "other", "good"), [("string", "string", True), ("bigint", "bigint", True), ("int", "string", False), ("double", "double", False)])
+def test_types_that_hash_alike(spark, kind, other, good):
+    a, b = (spark.createDataFrame([], f"x {k}").schema["x"].dataType for k in (kind, other))
+    assert bloom.can_filter(a, b) is good
+
+
+def test_lists_beyond_any_filter(spark):
+    assert bloom.list_filter(values(spark, "v", "a"), bloom.MOST_BITS) is None
