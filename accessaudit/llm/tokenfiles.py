@@ -122,9 +122,9 @@ def frame(docs: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     return MAGIC + b"".join(p.tobytes() for p in parts)
 
 
-def frames(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def frames(data: bytes | pa.Buffer) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(doc_ids, their numbers of ids, all ids) of every frame of a file."""
-    at = 0
+    at, data = 0, memoryview(data)
     while at < len(data) and data[at : at + 1] != b"\n":
         if data[at : at + 4] != MAGIC:
             raise ValueError("no token file")
@@ -243,6 +243,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
             yield pa.RecordBatch.from_arrays([file, pa.array(ids), pa.array(made, pa.binary())], names=["file", "doc_id", "ids"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()  # what scans kept is not wanted beside whole files
         file, parts, done, size = None, [], [], 0
 
         def close() -> None:
@@ -256,7 +257,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
             return pa.RecordBatch.from_pydict({"file": pa.array([file], pa.int32()), "data": pa.array([b"".join(done)], pa.binary())})
 
         for batch in batches:
-            for f, doc, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for f, doc, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), map(pa.BinaryScalar.as_py, batch.column(2)), strict=True):
                 if f != file:
                     close()
                     if done:
@@ -287,10 +288,11 @@ def read_tokens(spark: SparkSession, folder: str, crc: bool = False) -> DataFram
     last = "ids_crc32" if crc else "ids"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()
         for batch in batches:
-            for file, data in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                before = 0
-                for docs, counts, ids in frames(data):
+            for file, data in zip(batch.column("file"), batch.column("content"), strict=True):
+                file, before = file.as_py(), 0
+                for docs, counts, ids in frames(data.as_buffer()):
                     kind = "<u4" if ids.max(initial=0) < 1 << 32 else "<u8"
                     ends = np.cumsum(counts)
                     flat = ids.astype(kind)
