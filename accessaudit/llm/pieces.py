@@ -7,7 +7,7 @@ met, what lies before is decided: its ids go out and the window moves on. Where
 vocabulary crosses a place, all paths meet, so words that come again need not be solved again.
 
 The scores of a BPE model are merge ranks: there the best path is not what SentencePiece itself
-gives. The model's own ids come from its merges (`Merges`), in columns of their own.
+gives. The model's own ids come from its merges (`Merges`), by a function of their own (`merged`).
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ OWN = "\ud800"  # stands for that character in a text; no text holds it
 PENALTY = 10.0  # of a character without a piece, below the lowest score
 MOST_WORDS, MOST_PARTS = 1 << 17, 1 << 19  # kept; the older half of the parts besides
 LONG_WORD = 64
+ROWS = 500  # of a batch given out
 MISSING = object()
 
 
@@ -221,31 +222,50 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
 
 
 def encoded(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, ids (array of int), n_ids, ids_crc32 (of little-endian 32-bit ids), round_trip and bpe_ids of every row of `docs`.
+    """doc_id, ids (array of int), n_ids, ids_crc32 (of little-endian 32-bit ids) and round_trip of every row of `docs`.
 
-    ids are the best path by score, bpe_ids those of the BPE model itself. round_trip tells
+    ids are the best path by score. round_trip tells
     whether decoding the ids gives the text back. Defined cases: null and empty
     texts have no ids; characters without a piece, and the mark that spells spaces, are
     spelled in bytes; rows without a doc_id are encoded like others. Other columns are not read.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own = pieces(model), merges(model)
+        known = pieces(model)
+        for batch in batches:
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                flat, sizes, crcs, same = [], [], [], []
+                for value in part.column("text"):
+                    text = value.as_py()
+                    blob = known.encode(text)
+                    ids = np.frombuffer(blob, "<u4")
+                    flat.append(ids)
+                    sizes.append(len(ids))
+                    crcs.append(zlib.crc32(blob))
+                    same.append(known.decode(ids.tolist()) == text)
+                columns = [part.column("doc_id"), _lists(flat), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_ids", "ids_crc32", "round_trip"])
+
+    return _texts(docs).mapInArrow(scan, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, round_trip boolean")
+
+
+def merged(docs: DataFrame, model: str) -> DataFrame:
+    """doc_id and ids of every row of `docs` by the merges of a BPE model: what its library gives."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = merges(model)
         for batch in batches:
-            flat, sizes, crcs, same, bpe = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                blob = known.encode(text)
-                ids = np.frombuffer(blob, "<u4")
-                flat.append(ids)
-                sizes.append(len(ids))
-                crcs.append(zlib.crc32(blob))
-                same.append(known.decode(ids.tolist()) == text)
-                bpe.append(np.frombuffer(own.encode(text), "<u4"))
-            columns = [batch.column("doc_id"), _lists(flat), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_()), _lists(bpe)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_ids", "ids_crc32", "round_trip", "bpe_ids"])
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(scan, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, round_trip boolean, bpe_ids array<int>")
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                ids = _lists([np.frombuffer(known.encode(text.as_py()), "<u4") for text in part.column("text")])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
+
+    return _texts(docs).mapInArrow(scan, "doc_id long, ids array<int>")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def decoded(rows: DataFrame, model: str) -> DataFrame:

@@ -97,9 +97,9 @@ def test_bpe_ids_are_those_of_the_library(spark):
     library = SentencePieceProcessor(model_file=PATH)
     texts = ["Ach", "  The theatres' unlikelihood, Straße \n\t x", "a" * 300 + " ", "é ﬁ Ⅳ 🎉   naïveté", "", None]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: r for r in p.encoded(rows, PATH).collect()}
-    assert {i: r["bpe_ids"] for i, r in got.items()} == {i: library.encode(t or "") for i, t in enumerate(texts)}
-    assert got[0]["ids"] != got[0]["bpe_ids"]
+    got = {r["doc_id"]: r["ids"] for r in p.merged(rows, PATH).collect()}
+    assert got == {i: library.encode(t or "") for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["ids"] for r in p.encoded(rows, PATH).collect()}[0] != got[0]
 
 
 @settings(max_examples=150, deadline=None)
