@@ -64,6 +64,14 @@ def hinted(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTE
     return F.broadcast(df) if found[0] <= rows and (found[1] or 0) <= size else df
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that `df` has no column of, whatever the case of its letters."""
+    held = {c.lower() for c in df.columns}
+    while name in held:
+        name += "_"
+    return name
+
+
 def power_of_two(least: float) -> int:
     n = 1
     while n < least:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.llm.common import hinted
+from accessaudit.llm.common import hinted, unused
 from accessaudit.session import fresh_folder, written
 
 WINDOW = 13
@@ -142,10 +142,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs` that are not contaminated, with all their columns."""
-    dirty = contamination(docs, items, window).where("contaminated").select(
-        F.col("doc_id").alias("dirty_id"), F.col("body").alias("dirty_body")
-    )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("dirty_id"))
-    body = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("dirty_body")
+    """The rows of `docs` that are not contaminated, with all their columns.
+
+    Defined cases are those of `contamination`; rows that share a doc_id are judged each by its own text; columns may have any names.
+    """
+    id_, body_ = unused(docs, "dirty_id"), unused(docs, "dirty_body")
+    dirty = contamination(docs, items, window).where("contaminated").select(F.col("doc_id").alias(id_), F.col("body").alias(body_))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_))
+    body = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col(body_)
     return docs.join(dirty, same & body, "left_anti")

@@ -14,7 +14,8 @@ from accessaudit.llm.common import importable, read_table
 
 @importable
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.repeated_passages(read_table(spark, sf_dir, "documents")).drop("kept", "kept_text")
+    wanted = tuple(c for c in repeats.FOUND if c not in ("kept", "kept_text"))
+    return repeats.repeated_passages(read_table(spark, sf_dir, "documents"), wanted=wanted)
 
 
 @importable

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.llm.common import hinted, texts
+from accessaudit.llm.common import hinted, texts, unused
 from accessaudit.session import fresh_folder, written
 
 DISTANCE = 4
@@ -286,9 +286,9 @@ def one_of_each(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGL
     best = F.min(F.struct("doc_id", "bits", "text_md5"))
     first = rows.groupBy("bits", unnamed).agg(best.alias("one"))  # equal fingerprints shrink before they meet the components
     first = first.join(named.select("bits", "root"), "bits").groupBy("root", "unnamed").agg(F.min("one").alias("one"))
-    kept = first.select(F.col("one.doc_id").alias("kept_id"), F.col("one.text_md5").alias("kept_md5"))
+    id_, of, md5 = (unused(docs, n) for n in ("kept_id", "kept_md5", "text_md5"))
+    kept = first.select(F.col("one.doc_id").alias(id_), F.col("one.text_md5").alias(of))
     kept = hinted(written(kept, fresh_folder(docs.sparkSession, "kept")))
-    md5 = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col("text_md5") == F.col("kept_md5"))
-    found = docs.withColumn("text_md5", md5).join(kept, same, "left_semi")
-    return found.dropDuplicates(["doc_id", "text_md5"]).drop("text_md5")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(md5) == F.col(of))
+    found = docs.withColumn(md5, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).join(kept, same, "left_semi")
+    return found.dropDuplicates(["doc_id", md5]).drop(md5)

@@ -14,6 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import arrow_udf
 
 from accessaudit.llm.common import hinted
 
@@ -183,12 +184,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs` below the threshold, with all their columns. Learns from `docs` and `labels`."""
+    """The rows of `docs` below the threshold, with all their columns. Learns from `docs` and `labels`.
+
+    Defined cases are those of `toxicity`; columns may have any names.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield batch.filter(pa.array([shared.value.score(x or "") < threshold for x in texts], pa.bool_()))
+    @arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:  # only the text leaves the JVM, only the score comes back
+        return pa.array([shared.value.score(x.as_py() or "") for x in texts], pa.float64())
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.where(score("text") < threshold)

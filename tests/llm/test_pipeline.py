@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from accessaudit.llm import pieces, toxicity
@@ -47,3 +49,18 @@ def test_stages_keep_the_columns(spark, data):
 def test_repeats_are_those_of_the_operator():
     rows = [(1, "a" * 60), (2, "b" + "a" * 55)]
     assert [r[2] for r in test_repeats.brute(rows)] == [0, 55]
+
+
+NAMES = ("text_md5", "kept_md5", "KEPT_ID", "kept", "n_bytes", "kept_text", "kept_sha256", "carried_0", "chunk", "dirty_id", "dirty_body", "body", "score", "bits")
+
+
+@pytest.mark.parametrize("name", ["toxicity", "simhash", "suffix_dedup", "decontaminate"])
+def test_stages_keep_columns_of_any_name(spark, data, name):
+    docs = spark.read.parquet(f"{data}/documents.parquet").where("doc_id < 60")
+    stage = dict(corpus_pipeline.STAGES)[name]
+    plain = stage(spark, docs, data)
+    own = stage(spark, docs.withColumns({c: F.concat(F.lit(f"{c} "), "doc_id") for c in NAMES}), data)
+    assert own.columns == [*docs.columns, *NAMES]
+    rows = own.collect()
+    assert all(r[c] == f"{c} {r['doc_id']}" for r in rows for c in NAMES)
+    assert sorted(tuple(r[c] for c in docs.columns) for r in rows) == sorted(tuple(r) for r in plain.collect())
