@@ -13,11 +13,13 @@ from accessaudit.operators.lookup import measure, value_lists
 from accessaudit.plans import testbed as tb
 from accessaudit.plans.audit import References, audit_flow, audit_records, references_from_documents
 from accessaudit.schemas import LOGIN_SUCCEEDED, OUTSIDE_WHITELIST
-from accessaudit.session import fresh_folder
+from accessaudit.session import fresh_folder, written
 from accessaudit.sources import records as record_sources
 from accessaudit.sources import two_phase
+from accessaudit.sources.sinks import write_batch
 from accessaudit.sources.tables import TableSource, read_table
 from accessaudit.streaming import summary, user_state
+from accessaudit.streaming.alarm_scan import AlarmScan
 from accessaudit.streaming.job import AuditJob, current_user_map, flow_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -373,6 +375,19 @@ def two_phase_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return two_phase.read_committed(spark, out, rows.schema)
 
 
+@query
+def alarm_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarms of a result table that grows: a scan after each part, all of their alarms together."""
+    out = fresh_folder(spark, "alarm-scans")
+    clock = F.unix_millis(F.to_timestamp(F.concat(F.substring("requestTime", 1, 19), F.lit("+00:00"))))
+    numbered = written(_numbered_results(spark, sf_dir, now=clock), f"{out}/numbered")
+    scan = AlarmScan(f"{out}/results", numbered.schema, f"{out}/scans", tb.SINCE_MS)
+    for batch, part in enumerate(("level = 2", "level <> 2")):
+        write_batch(numbered.where(part), scan.results, batch)
+        scan.scan(spark)
+    return scan.all_alarms(spark)
+
+
 @query
 def ip_user_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.ip_user_map(_users(spark, sf_dir), ["requestTime", "event_id"])

@@ -228,6 +228,10 @@ def oracles() -> dict[str, str]:
             SELECT {alarm} FROM results
             WHERE status = 1 AND "user" <> 'null'
               AND epoch_ms(CAST(replace(replace("requestTime", 'T', ' '), 'Z', '') AS TIMESTAMP)) > {SINCE_MS}"""),
+        "alarm_scans": audit(f"""
+            SELECT {alarm} FROM results
+            WHERE status = 1 AND "user" <> 'null'
+              AND epoch_ms(CAST(replace(replace("requestTime", 'T', ' '), 'Z', '') AS TIMESTAMP)) > {SINCE_MS}"""),
         "ip_user_map": audit(user_map),
         "short_user_pairs": audit("SELECT DISTINCT ip, \"user\" FROM success_users WHERE length(\"user\") < 8"),
         "user_ip_rows": audit(f"""

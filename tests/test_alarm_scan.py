@@ -1,0 +1,65 @@
+"""Scans that give each alarm once, and together all of them."""
+
+import pytest
+
+from accessaudit.operators.results import alarms_since
+from accessaudit.schemas import RESULT_DDL
+from accessaudit.sources.sinks import write_batch
+from accessaudit.streaming.alarm_scan import MARK, AlarmScan
+from tests.helpers import rows
+
+
+def result(pid, status, at, user="u"):
+    return (pid, "1.1.1.1", f"{user}{pid}" if user else "null", "s", "2024-01-01T00:00:00Z", "a", "3", 2, status, at, status)
+
+
+BATCHES = [
+    [result(1, 1, 100), result(2, 0, 110), result(3, 1, 50), result(4, 1, None)],
+    [result(5, 1, 120), result(6, 1, 90), result(7, 1, 130, None)],
+    [],
+    [result(8, 1, 60), result(9, 1, 200), result(10, 1, 10)],
+]
+
+
+@pytest.fixture
+def frames(spark):
+    return [spark.createDataFrame(b, RESULT_DDL) for b in BATCHES]
+
+
+@pytest.fixture
+def scan(spark, frames, tmp_path):
+    return AlarmScan(str(tmp_path / "results"), frames[0].schema, str(tmp_path / "scan"), since_ms=50)
+
+
+def test_each_alarm_once_and_all_of_them(spark, frames, scan):
+    given = []
+    for n, frame in enumerate(frames):
+        write_batch(frame, scan.results, n)
+        scan.scan(spark)
+        new = rows(scan.all_alarms(spark).select("pid"))
+        given.append({p for (p,) in new} - set().union(*given) if given else {p for (p,) in new})
+        assert max(new.values(), default=0) <= 1
+    assert given == [{1}, {5, 6}, set(), {8, 9}]
+    whole = frames[0].unionAll(frames[1]).unionAll(frames[2]).unionAll(frames[3])
+    assert rows(scan.all_alarms(spark)) == rows(alarms_since(whole, 50))
+    scan.scan(spark)  # nothing new
+    assert scan.all_alarms(spark).count() == 5
+
+
+def test_marks_grow(spark, frames, scan):
+    for n, frame in enumerate(frames):
+        scan.take(frame, n)
+    marks = spark.read.parquet(scan.marks).orderBy("batch_id").select("since_ms", "alarms").collect()
+    assert [tuple(m) for m in marks] == [(110, 1), (130, 2), (130, 0), (200, 2)]
+    assert spark.read.schema(MARK).parquet(scan.marks).count() == 4
+
+
+def test_a_scan_that_is_run_again_gives_nothing_twice(spark, frames, scan):
+    scan.take(frames[0], 0)
+    scan.take(frames[1], 0)
+    assert {r["pid"] for r in scan.all_alarms(spark).collect()} == {1}
+
+
+def test_a_lost_scan_is_an_error(spark, frames, scan):
+    with pytest.raises(ValueError):
+        scan.take(frames[0], 2)
