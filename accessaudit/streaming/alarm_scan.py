@@ -72,6 +72,6 @@ class AlarmScan:
         query.awaitTermination()
 
     def all_alarms(self, spark: SparkSession) -> DataFrame:
-        """`pid, username, level, message` of all scans together; `alarms` also tells the scan, as `batch_id`."""
+        """`pid, username, level, message` of all scans together. The table at `alarms` also tells the scan, as `batch_id`."""
         schema = "pid bigint, username string, level int, message string"
-        return spark.read.schema(schema).parquet(self.alarms)
+        return spark.read.schema(schema).parquet(self.alarms).drop("batch_id")
