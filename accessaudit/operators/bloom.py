@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, IntegralType, StringType
 
+from accessaudit.session import fresh_folder, written
+
 BITS_PER_VALUE = 12  # about one false hit in 200 with HASHES bits a value
 HASHES = 5
 MOST_BITS = 1 << 26
@@ -61,4 +63,5 @@ def list_filter(values: DataFrame, rows: int) -> ListFilter | None:
     every = values.sparkSession.range(bits // 64).withColumnRenamed("id", "word")
     whole = every.join(held, "word", "left").select(F.struct("word", F.coalesce("set", F.lit(0).cast("bigint")).alias("set")).alias("w"))
     words = whole.agg(F.array_sort(F.collect_list("w")).alias("w")).select(F.col("w.set").alias("words"))
-    return ListFilter(words, bits)
+    # One row of at most MOST_BITS, made once, however often it is asked.
+    return ListFilter(written(words, fresh_folder(values.sparkSession, "list-filter")), bits)
