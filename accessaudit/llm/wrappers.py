@@ -2,10 +2,15 @@
 
 A page is parsed into a tree of block elements; siblings alike are folded into one. Pages of a
 host are aligned by simple tree matching and merged into the host's wrapper, a tree of slots.
-All different pages then vote, per slot, with the hashes of the texts they hold there: a text that
+All different pages then vote, per slot, with the hashes and sizes of the texts they hold there: a text that
 most of the host's different pages have in one slot is template, what varies is content. So a constant
-cell is told from the varying one beside it, though both are folded into one slot. Menus, forms, notices
-and the like also vary from page to page; they are told by their elements and class names.
+cell is told from the varying one beside it, though both are folded into one slot.
+
+The slot that holds the article is found from the same votes: from the top, the way goes down to the slot
+below that has most of the running text (text outside links), as long as that slot has blocks of its own. Slots reached by
+the same elements on all hosts share their evidence, so that a host with one page is judged by what its
+layout holds elsewhere. Elements and names only decide what is left open: they hide blocks inside and beside the
+article, but none that holds most of the text.
 
 Merging and voting are grouped by host after a first grouping that shrinks equal rows, so a
 host may have any share of the pages.
@@ -16,7 +21,9 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
@@ -33,7 +40,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
-SPACE = frozenset("br wbr img".split())
+SPACE = frozenset("br img".split())
 #: A new element of this kind ends an open one of these, unless one of those is opened in between.
 ENDS = {
     "li": ("li", "ul ol menu"),
@@ -51,10 +58,13 @@ ENDS_P = frozenset(
     "address article aside blockquote body center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()
 )
-HIDDEN = frozenset(
-    "head script style title textarea noscript template iframe object svg math canvas audio video form button select input "
-    "nav footer aside menu dialog noembed noframes xmp datalist".split()
+#: Their texts are never read.
+SILENT = frozenset(
+    "head script style title textarea noscript template iframe object svg math canvas audio video button select input "
+    "noembed noframes xmp datalist".split()
 )
+#: Elements beside an article.
+ASIDE = frozenset("nav footer aside menu dialog".split())
 #: Words in class names, ids and roles of what is not the article.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar "
@@ -63,20 +73,34 @@ BOILERPLATE = frozenset(
     "recommended comment comments respond reply replies disqus widget pagination pager toolbar skip copyright form".split()
 )
 HEADERS = frozenset("header topbar".split())
+#: Words that go with those above; a name that holds any other word ("share-price-analysis", "has-sidebar") says nothing.
+AROUND = frozenset(
+    "site page main top bottom left right box area block list wrapper wrap container section bar panel inner outer links link "
+    "button buttons item items text title message slot unit region module group thread body post posts article articles stories "
+    "icon icons primary secondary global inline floating sticky google media".split()
+)
 ROOTS = frozenset(["article", "main"])
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
+OPEN_END = re.compile(r"<!--(?:.*)\Z|<!\[CDATA\[.*\Z|<[!?][^>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
 CONSTANT, LEAST_PAGES = 0.8, 5
 LINKS = 0.6
+#: Share of the running text that leads on to a slot, and that no name can hide.
+MOST = 0.6
+#: A slot beside it with this much of its text, on the pages that have both, may belong to the article.
+BESIDE = 0.4
+#: Different pages that the evidence of all hosts weighs beside a host's own.
+SHARED = 5
+HEADINGS = frozenset("h1 h2 h3 hgroup".split())
 
 
 class Node:
@@ -107,9 +131,17 @@ def parse(page: str) -> Node:
     """The tree of block elements; texts of inline elements belong to the block around them."""
     root = Node("", "")
     stack, at, links = [root], 0, 0
-    size = len(page)
+    opened: Counter = Counter()
+    size, last = len(page), page.rfind(">")
+
+    def close(depth: int) -> None:
+        for node in stack[depth:]:
+            opened[node.tag] -= 1
+        del stack[depth:]
+
     while at < size:
-        found = TOKEN.search(page, at)
+        # past the last > only comments and the like can start
+        found = (TOKEN if at <= last else OPEN_END).search(page, at)
         upto = found.start() if found else size
         if upto > at:
             text = page[at:upto]
@@ -121,7 +153,7 @@ def parse(page: str) -> Node:
         if not found:
             break
         at = found.end()
-        tag = found[2] or found[5]
+        tag = found[2] or found[5] if found.re is TOKEN else None
         if not tag:
             if found[0].startswith("<![CDATA["):
                 stack[-1].items.append(found[0][9:].removesuffix("]]>"))
@@ -132,14 +164,15 @@ def parse(page: str) -> Node:
                 links = max(0, links - 1)
             if tag in SPACE:
                 stack[-1].items.append(" ")
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if opened[tag] > 0:
+                depth = len(stack) - 1
+                while stack[depth].tag != tag:
+                    depth -= 1
+                close(depth)
             continue
         attributes = found[3] or found[6] or ""
         sign = _sign(tag, attributes)
-        if tag in INLINE and (sign == tag or not _boilerplate(sign)):
+        if tag in INLINE and (sign == tag or not (_silent(sign) or _named(sign))):
             if tag == "a":
                 links += 1
             if tag in SPACE:
@@ -148,17 +181,18 @@ def parse(page: str) -> Node:
         if tag in ENDS_P:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
-                    del stack[depth:]
+                    close(depth)
                     break
                 if stack[depth].tag not in INLINE:
                     break
             links = 0
-        if tag in ENDS:
+        if tag in ENDS and any(opened[t] > 0 for t in ENDS[tag][0]):
             ends, bounds = ENDS[tag]
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in ends:
-                    del stack[depth:]
-                if depth >= len(stack) or stack[depth].tag in bounds:
+                    close(depth)
+                    break
+                if stack[depth].tag in bounds:
                     break
         node = Node(tag, sign)
         stack[-1].children.append(node)
@@ -170,131 +204,221 @@ def parse(page: str) -> Node:
             at = end.end() if end else size
             continue
         stack.append(node)
+        opened[tag] += 1
     return root
 
 
-def _boilerplate(sign: str, inside: bool = False) -> bool:
-    """Whether an element is no part of an article; `inside` one, a header is."""
+def _silent(sign: str) -> bool:
+    tag, *names = sign.split(".")
+    return tag in SILENT or "!" in names
+
+
+def _named(sign: str, inside: bool = False) -> bool:
+    """Whether names say that an element is no part of an article; `inside` one, a header is."""
     tag, *names = sign.split(".")
-    if tag in HIDDEN or "!" in names:
-        return True
     if tag in ("", "html", "body"):
         return False
-    words = {w for n in names for w in NAME.findall(n)}
-    if not inside and (tag == "header" or words & HEADERS and tag not in ROOTS):
+    if not inside and tag == "header" or tag == "form":
         return True
-    return bool(words & BOILERPLATE)
-
-
-def fold(nodes: list[Node]) -> list:
-    """The folded trees [sign, children] of siblings: alike ones become one, in the order of their first."""
-    groups: dict[str, list[Node]] = {}
-    for node in nodes:
-        groups.setdefault(node.sign, []).append(node)
-    return [[sign, fold([c for n in alike for c in n.children])] for sign, alike in groups.items()]
-
-
-def _weight(a: list, b: list, known: dict) -> int:
-    """Simple tree matching: nodes that two trees share, in order."""
-    if a[0] != b[0]:
-        return 0
-    key = (id(a), id(b))
-    if key not in known:
-        known[key] = 1 + _rows(a[1], b[1], known)[-1][-1]
-    return known[key]
-
-
-def _rows(left: list, right: list, known: dict) -> list[list[int]]:
-    rows = [[0] * (len(right) + 1)]
-    for x in left:
-        row, above = [0], rows[-1]
-        for j, y in enumerate(right):
-            row.append(max(above[j + 1], row[j], above[j] + _weight(x, y, known)))
-        rows.append(row)
-    return rows
-
-
-def aligned(left: list, right: list, known: dict) -> list[tuple]:
-    """Children side by side, in order; None where one side has no partner."""
-    rows, out = _rows(left, right, known), []
-    i, j = len(left), len(right)
-    while i or j:
-        both = _weight(left[i - 1], right[j - 1], known) if i and j else 0
-        if both and rows[i][j] == rows[i - 1][j - 1] + both:
-            i, j = i - 1, j - 1
-            out.append((left[i], right[j]))
-        elif j and rows[i][j] == rows[i][j - 1]:
-            j -= 1
-            out.append((None, right[j]))
-        else:
-            i -= 1
-            out.append((left[i], None))
-    return out[::-1]
-
-
-def merge(a: list, b: list, known: dict | None = None) -> list:
+    wanted = BOILERPLATE if inside or tag in ROOTS else BOILERPLATE | HEADERS
+    said = []
+    for name in names:
+        words = set(NAME.findall(name))
+        said.append(bool(words & wanted) and words <= wanted | AROUND)
+    return bool(said) and all(said) if tag in ROOTS else any(said)
+
+
+Tree = tuple[list[str], list[int]]  # signs and parents of folded nodes, level by level from the root
+
+
+def fold(root: Node) -> Tree:
+    """The folded tree of a page: siblings alike become one, in the order of their first. Sets their numbers as slots."""
+    signs, parents, groups = [root.sign], [-1], [[root]]
+    for at, alike in enumerate(groups):  # grows on the way
+        below: dict[str, list[Node]] = {}
+        for node in alike:
+            node.slot = at
+            for child in node.children:
+                below.setdefault(child.sign, []).append(child)
+        signs += below
+        parents += [at] * len(below)
+        groups += below.values()
+    return signs, parents
+
+
+def _below(tree: Tree) -> list[list[int]]:
+    below: list[list[int]] = [[] for _ in tree[0]]
+    for node, parent in enumerate(tree[1]):
+        if parent >= 0:
+            below[parent].append(node)
+    return below
+
+
+def _heaviest(matches: list[tuple]) -> tuple[int, list[tuple]]:
+    """The heaviest chain of (i, j, weight) that rises in i and j, and its weight; matches come ordered by i."""
+    if all(x[0] < y[0] and x[1] < y[1] for x, y in pairwise(matches)):
+        return sum(m[2] for m in matches), matches
+    places = {j: n for n, j in enumerate(sorted({m[1] for m in matches}), 1)}
+    best: list = [(0, -1)] * (len(places) + 1)  # Fenwick tree of (weight, last match)
+    before = []
+    order = sorted(range(len(matches)), key=lambda n: (matches[n][0], -matches[n][1]))
+    for n in order:
+        at, found = places[matches[n][1]] - 1, (0, -1)
+        while at > 0:
+            found = max(found, best[at])
+            at &= at - 1
+        before.append((n, found[1]))
+        at, own = places[matches[n][1]], (found[0] + matches[n][2], n)
+        while at < len(best):
+            best[at] = max(best[at], own)
+            at += at & -at
+    weight, n = max(best)
+    back, chain = dict(before), []
+    while n >= 0:
+        chain.append(matches[n])
+        n = back[n]
+    return weight, chain[::-1]
+
+
+def matched(a: Tree, b: Tree) -> tuple[int, dict[int, list[tuple[int, int]]]]:
+    """Simple tree matching: the number of nodes that two trees share in order, and per node of `a` the pairs of children."""
+    if a[0][0] != b[0][0]:
+        return 0, {}
+    left, right = _below(a), _below(b)
+    pairs, tries = [(0, 0)], []
+    for x, y in pairs:  # grows on the way
+        named: dict[str, list[int]] = {}
+        for j in right[y]:
+            named.setdefault(b[0][j], []).append(j)
+        first = len(pairs)
+        pairs += [(i, j) for i in left[x] for j in named.get(a[0][i], ())]
+        tries.append(range(first, len(pairs)))
+    weights, chains = [0] * len(pairs), [None] * len(pairs)
+    for n in range(len(pairs) - 1, -1, -1):
+        weight, chains[n] = _heaviest([(*pairs[m], weights[m], m) for m in tries[n]])
+        weights[n] = weight + 1
+    partners, todo = {}, [0]
+    while todo:
+        n = todo.pop()
+        partners[pairs[n][0]] = [(i, j) for i, j, *_ in chains[n]]
+        todo += [m for *_, m in chains[n]]
+    return weights[0], partners
+
+
+def merge(a: Tree, b: Tree) -> Tree:
     """One tree with the nodes of both."""
-    known = {} if known is None else known
     if a == b:
         return a
-    return [a[0], [x if y is None else y if x is None else merge(x, y, known) for x, y in aligned(a[1], b[1], known)]]
+    partners, left, right = matched(a, b)[1], _below(a), _below(b)
+    signs, parents, made = [a[0][0]], [-1], [(0, 0)]
+    for at, (x, y) in enumerate(made):  # grows on the way
+        xs, ys = left[x] if x is not None else [], right[y] if y is not None else []
+        i = j = 0
+        rows: list[tuple] = []
+        for p, q in partners.get(x, ()) if x is not None and y is not None else ():
+            while xs[i] != p:
+                rows.append((xs[i], None))
+                i += 1
+            while ys[j] != q:
+                rows.append((None, ys[j]))
+                j += 1
+            rows.append((p, q))
+            i, j = i + 1, j + 1
+        rows += [(p, None) for p in xs[i:]] + [(None, q) for q in ys[j:]]
+        signs += [b[0][q] if p is None else a[0][p] for p, q in rows]
+        parents += [at] * len(rows)
+        made += rows
+    return signs, parents
 
 
 class Wrapper:
-    """A host's slots, numbered from the top, and what the votes say of them."""
+    """A host's slots, and what the votes say of them.
 
-    def __init__(self, tree: list, votes: list[tuple] = ()):
+    `lists` lets elements and names hide blocks, `articles` prefers article and main elements; without both
+    only the votes decide.
+    """
+
+    def __init__(self, tree: Tree, votes: list[dict] = (), lists: bool = True, articles: bool = True):
         self.tree, self.maps = tree, {}
-        self.signs, self.parents, self.number = [], [], {}
-        self._count(tree, -1)
-        seen = {v[0]: v[1:] for v in votes}
+        self.signs, self.parents = tree
+        seen = {v["slot"]: v for v in votes}
+        different = seen.get(-1, {"pages": 0})["pages"]
+        own, mass, held = self._masses(seen, different)
         inside, hidden = [False], [False]
         for slot in range(1, len(self.signs)):
-            up = self.parents[slot]
-            bad = hidden[up] or _boilerplate(self.signs[slot], inside[up])
+            up, tag = self.parents[slot], self.signs[slot].split(".")[0]
+            bad = hidden[up] or _silent(self.signs[slot])
+            if lists and not bad:
+                named = _named(self.signs[slot], inside[up]) and not (mass[0] and mass[slot] >= MOST * mass[0])
+                bad = tag in ASIDE or named
             hidden.append(bad)
-            inside.append(inside[up] or not bad and self.signs[slot].split(".")[0] in ROOTS)
-        different = seen.get(-1, (0,))[0]
-        self.template, self.constant = set(), set()
-        for slot, (pages, constant, chars, links) in seen.items():
-            if slot >= 0 and different >= LEAST_PAGES:
-                self.constant.update((slot, text) for text in constant)
-                if not inside[slot] and pages >= LEAST_PAGES and links > LINKS * max(1, chars):
-                    self.template.add(slot)
+            inside.append(inside[up] or articles and not bad and tag in ROOTS)
         self.hidden, self.inside = hidden, inside
-
-    def _count(self, tree: list, parent: int) -> None:
-        slot = len(self.signs)
-        self.number[id(tree)] = slot
-        self.signs.append(tree[0])
-        self.parents.append(parent)
-        for child in tree[1]:
-            self._count(child, slot)
+        self.template, self.constant = set(), set()
+        for slot, vote in seen.items():
+            if slot < 0:
+                continue
+            if different >= LEAST_PAGES:
+                self.constant.update((slot, text) for text in vote["constant"])
+            if not inside[slot] and vote["holders"] >= LEAST_PAGES and vote["all_links"] > LINKS * max(1, vote["all_chars"]):
+                self.template.add(slot)
+        self.under = self._under(own, mass, held)
+
+    def _masses(self, seen: dict, different: int) -> tuple[list[float], list[float], list[float]]:
+        """Running text a page, of every slot and with all below, and that of pages that have any there.
+
+        The host's own pages count, and as many as SHARED pages of all hosts.
+        """
+        own, share = [0.0] * len(self.signs), [0.0] * len(self.signs)
+        for slot, v in seen.items():
+            if slot >= 0 and different:
+                shared = (v["all_chars"] - v["all_links"]) / v["all_pages"]
+                own[slot] = (v["chars"] - v["links"] + SHARED * shared) / (different + SHARED)
+                share[slot] = (v["pages"] + SHARED * v["holders"] / v["all_pages"]) / (different + SHARED)
+        mass = own.copy()
+        for slot in range(len(mass) - 1, 0, -1):
+            mass[self.parents[slot]] += mass[slot]
+            share[self.parents[slot]] = max(share[self.parents[slot]], share[slot])
+        return own, mass, [m / s if s else 0.0 for m, s in zip(mass, share, strict=True)]
+
+    def _under(self, own: list[float], mass: list[float], held: list[float]) -> list[bool]:
+        """Which slots are in the article, as the votes have it."""
+        below, top = _below(self.tree), 0
+        while True:
+            down = [s for s in below[top] if not self.hidden[s]]
+            # a heading with the text it stands above
+            if any(self.signs[s].split(".")[0] in HEADINGS and own[s] and s not in {c for c, _ in self.constant} for s in down):
+                break
+            best = max(down, key=lambda s: mass[s], default=None)
+            if best is None or not mass[best] or mass[best] < MOST * mass[top] or own[best] > mass[best] / 2:
+                break
+            if any(held[s] >= BESIDE * held[best] for s in down if s != best):
+                break
+            top = best
+        under = [False] * len(self.signs)
+        under[top] = True
+        for slot in range(top + 1, len(under)):
+            under[slot] = slot == top or under[self.parents[slot]]
+        return under
 
     def place(self, root: Node) -> None:
-        """Give every node of a page its slot."""
-        folded = ["", fold(root.children)]
+        """Give every node of a page its slot; -2 without one."""
+        folded = fold(root)
         key = json.dumps(folded)
         slots = self.maps.get(key)
         if slots is None:
-            slots = {}
-            self._match(folded, self.tree, (), slots, {})
+            slots = [-2] * len(folded[0])
+            slots[0] = 0
+            for pairs in matched(folded, self.tree)[1].values():
+                for x, y in pairs:
+                    slots[x] = y
             if len(self.maps) < 10_000:  # only spares work
                 self.maps[key] = slots
-        root.slot = 0
-        todo = [(root, ())]
+        todo = [root]
         while todo:
-            node, path = todo.pop()
-            for child in node.children:
-                own = (*path, child.sign)
-                child.slot = slots.get(own, -2)
-                todo.append((child, own))
-
-    def _match(self, tree: list, slot: list, path: tuple, slots: dict, known: dict) -> None:
-        slots[path] = self.number[id(slot)]
-        for x, y in aligned(tree[1], slot[1], known):
-            if x is not None and y is not None:
-                self._match(x, y, (*path, x[0]), slots, known)
+            node = todo.pop()
+            node.slot = slots[node.slot]
+            todo += node.children
 
 
 def _hash(text: str) -> int:
@@ -326,15 +450,25 @@ def _texts(root: Node, hidden) -> Iterator[tuple[Node, str]]:
 
 
 def extract(root: Node, wrapper: Wrapper) -> str:
-    """The blocks of content slots: inside the article where the page has one, else everywhere."""
-    kept, article = [], []
+    """The blocks of content slots: of article elements where the page has one, else where the votes see the article, else of all."""
+    kept, article, under = [], [], []
     for node, text in _texts(root, lambda n: n.slot >= 0 and wrapper.hidden[n.slot]):
         if node.slot in wrapper.template or wrapper.constant and (node.slot, _hash(text)) in wrapper.constant:
             continue
         kept.append(text)
         if node.slot >= 0 and wrapper.inside[node.slot]:
             article.append(text)
-    return " ".join(article or kept)
+        if node.slot >= 0 and wrapper.under[node.slot]:
+            under.append(text)
+    return " ".join(article or under or kept)
+
+
+def _paths(tree: Tree) -> list[int]:
+    """A number per slot for the elements on the way to it."""
+    paths: list[int] = []
+    for sign, parent in zip(*tree, strict=True):
+        paths.append(xxhash.xxh64_intdigest(sign, seed=paths[parent] if parent >= 0 else 0))
+    return [p - (1 << 63) for p in paths]
 
 
 def _host(url: str):
@@ -346,13 +480,13 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trees = [json.dumps(["", fold(parse(x.as_py()).children)]) for x in batch.column("html")]
+            trees = [json.dumps(fold(parse(x.as_py()))) for x in batch.column("html")]
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(trees, pa.string())], names=["host", "tree"])
 
     def induce(key, table):
         tree = None
         for text in sorted(table.column("tree").to_pylist()):
-            other = json.loads(text)
+            other = tuple(json.loads(text))
             tree = other if tree is None else merge(tree, other)
         return pa.table({"host": [key[0].as_py()], "tree": [json.dumps(tree)]})
 
@@ -363,56 +497,73 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """host and, per slot, (slot, pages, hashes of the texts most pages of the host have there, characters, of them in links).
+    """host and, per slot, how many different pages have text there, characters, of them in links, and hashes of texts most pages have there.
 
     Slot -1 is the whole page. Pages of a host with the same text vote once, and once for a text
-    that they hold repeatedly.
+    that they hold repeatedly. `all_chars`, `all_links`, `holders` (pages with text) and `all_pages` sum the slots that the
+    same elements lead to on all hosts.
     """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
         for batch in batches:
-            out = {"host": [], "page": [], "slot": [], "held": [], "chars": [], "links": []}
-            for host, page, tree in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "tree")), strict=True):
+            out = {"host": [], "page": [], "slot": [], "path": [], "held": [], "chars": [], "links": []}
+            for host, page, tree in zip(*(batch.column(c) for c in ("host", "html", "tree")), strict=True):
+                host = host.as_py()
                 if host not in known:
-                    known[host] = Wrapper(json.loads(tree))
-                root, wrapper = parse(page), known[host]
+                    tree = tuple(json.loads(tree.as_py()))
+                    known[host] = Wrapper(tree), _paths(tree)
+                root, (wrapper, paths) = parse(page.as_py()), known[host]
                 wrapper.place(root)
-                held: dict = {}
-                for node, text in _texts(root, lambda n, w=wrapper: n.slot >= 0 and w.hidden[n.slot]):
+                held, shown, every = {}, [], []
+                for node, text in _texts(root, lambda n: _silent(n.sign)):
                     held.setdefault(node.slot, []).append((text, node.links))
-                held[-1] = [x for texts in held.values() for x in texts]
-                whole = _hash(" ".join(t for t, _ in held[-1]))
+                    every.append(text)
+                    if node.slot < 0 or not wrapper.hidden[node.slot]:
+                        shown.append(text)
+                whole = _hash(" ".join(shown or every))
+                held = {-1: [], **{slot: texts for slot, texts in held.items() if slot >= 0}}
                 for slot, texts in held.items():
                     out["host"].append(host)
                     out["page"].append(whole)
                     out["slot"].append(slot)
-                    out["held"].append(sorted({_hash(t) for t, _ in texts}) if slot >= 0 else [])
-                    out["chars"].append(sum(len(t) for t, _ in texts))
-                    out["links"].append(sum(n for _, n in texts))
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64())
+                    out["path"].append(paths[slot] if slot >= 0 else 0)
+                    out["held"].append(sorted({_hash(t) for t, _ in texts}))
+                    chars = sum(len(t) for t, _ in texts)
+                    out["chars"].append(chars)
+                    out["links"].append(min(chars, sum(n for _, n in texts)))
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=list(out))
 
     folder = fresh_folder(pages.sparkSession, "ballots")
-    rows = pages.mapInArrow(vote, "host string, page long, slot int, held array<long>, chars long, links long")
-    rows = rows.groupBy("host", "page", "slot").agg(F.min(F.struct("held", "chars", "links")).alias("one")).select("host", "slot", "one.*")
-    rows = written(rows, folder)
-    slots = rows.groupBy("host", "slot").agg(F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    different = slots.where("slot = -1").select("host", F.col("pages").alias("different"))
-    texts = rows.select("host", "slot", F.explode("held").alias("held")).groupBy("host", "slot", "held").count()
-    texts = texts.join(hinted(different), "host").where(F.col("count") >= CONSTANT * F.col("different"))
+    rows = pages.mapInArrow(vote, "host string, page long, slot int, path long, held array<long>, chars long, links long")
+    rows = rows.groupBy("host", "page", "slot", "path").agg(F.min(F.struct("held", "chars", "links")).alias("one"))
+    rows = written(rows.select("host", "page", "slot", "path", "one.*"), folder)
+    slots = rows.groupBy("host", "slot", "path").agg(F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    slots = written(slots, f"{folder}-slots")
+    different = hinted(slots.where("slot = -1").select("host", F.col("pages").alias("different")))
+    alike = slots.where("slot >= 0").join(different, "host").groupBy("path").agg(
+        F.sum("chars").alias("all_chars"), F.sum("links").alias("all_links"), F.sum("pages").alias("holders"), F.sum("different").alias("all_pages")
+    )
+    texts = rows.where("slot >= 0").select("host", "slot", F.explode("held").alias("held")).groupBy("host", "slot", "held").count()
+    texts = texts.join(different, "host").where(F.col("count") >= CONSTANT * F.col("different"))
     constant = texts.groupBy("host", "slot").agg(F.collect_list("held").alias("constant"))
     slots = slots.join(hinted(constant), ["host", "slot"], "left").withColumn("constant", F.coalesce("constant", F.array().cast("array<bigint>")))
-    return slots.groupBy("host").agg(F.collect_list(F.struct("slot", "pages", "constant", "chars", "links")).alias("votes"))
+    slots = slots.join(hinted(alike), "path", "left")
+    fields = ("slot", "pages", "constant", "chars", "links", "all_chars", "all_links", "holders", "all_pages")
+    return slots.groupBy("host").agg(F.collect_list(F.struct(*fields)).alias("votes"))
 
 
-def main_text(pages: DataFrame) -> DataFrame:
+def main_text(pages: DataFrame, lists: bool = True, articles: bool = True) -> DataFrame:
     """page_id, url, text and n_chars of every row of `pages`.
 
+    Without `lists` no element or name hides a block, without `articles` article and main elements are like others: then the
+    votes alone find the text.
+
     Defined cases: null and empty html has an empty text; pages without a url or host form a host
-    of their own; rows that share a page_id are extracted one by one; pages of
-    a host with 1 to 4 different texts are told by their elements and names alone. Broken markup is read as far as it goes. Other columns
-    are not read.
+    of their own; rows that share a page_id are extracted one by one; constant texts are
+    looked for on hosts with 5 and more different texts, the article's slot on all. Broken markup is read as far as it goes, nested to
+    any depth. Other columns are not read.
     """
     folder = fresh_folder(pages.sparkSession, "wrappers")
     rows = pages.select(F.col("page_id"), F.col("url"), _host("url").alias("host"), F.coalesce("html", F.lit("")).alias("html"))
@@ -423,10 +574,11 @@ def main_text(pages: DataFrame) -> DataFrame:
         known: dict = {}
         for batch in batches:
             texts = []
-            for host, page, tree, voted in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "tree", "votes")), strict=True):
+            for host, page, tree, voted in zip(*(batch.column(c) for c in ("host", "html", "tree", "votes")), strict=True):
+                host = host.as_py()
                 if host not in known:
-                    known[host] = Wrapper(json.loads(tree), [tuple(v.values()) for v in voted or ()])
-                root = parse(page)
+                    known[host] = Wrapper(tuple(json.loads(tree.as_py())), voted.as_py() or (), lists, articles)
+                root = parse(page.as_py())
                 known[host].place(root)
                 texts.append(extract(root, known[host]))
             counts = pa.array([len(t) for t in texts], pa.int64())

@@ -1,6 +1,7 @@
 """Main text of pages built from known articles, and the parts of the method by brute force."""
 
 import random
+import time
 
 import pytest
 
@@ -114,19 +115,36 @@ def tree(rng, depth):
     return [rng.choice("ab") if depth < 3 else "r", [tree(rng, depth - 1) for _ in range(rng.randint(0, 3))] if depth else []]
 
 
+def flat(tree):
+    signs, parents, todo = [tree[0]], [-1], [(0, tree)]
+    for at, (_, children) in todo:
+        for child in children:
+            todo.append((len(signs), child))
+            signs.append(child[0])
+            parents.append(at)
+    return signs, parents
+
+
+def nested(tree):
+    nodes = [[sign, []] for sign in tree[0]]
+    for node, parent in zip(nodes[1:], tree[1][1:], strict=True):
+        nodes[parent][1].append(node)
+    return nodes[0]
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_matching_and_merging(seed):
     rng = random.Random(seed)
     a, b = tree(rng, 3), tree(rng, 3)
-    assert w._weight(a, b, {}) == best(a, b)
-    merged = w.merge(a, b)
+    assert w.matched(flat(a), flat(b))[0] == best(a, b)
+    merged = nested(w.merge(flat(a), flat(b)))
     assert size(merged) <= size(a) + size(b) - best(a, b)
     assert best(merged, a) == size(a)
 
 
 def test_headers_inside_an_article_stay():
     root = w.parse("<header>site</header><article><header><h1>Title</h1></header><p>x</p><footer>by</footer></article>")
-    wrapper = w.Wrapper(["", w.fold(root.children)])
+    wrapper = w.Wrapper(w.fold(root))
     wrapper.place(root)
     assert w.extract(root, wrapper) == "Title x"
 
@@ -169,3 +187,61 @@ def test_constant_siblings_of_one_sign(spark):
         rows.append((i, url, html))
         want[i] = text
     assert {r["page_id"]: r["text"] for r in w.main_text(frame(spark, rows)).collect()} == want
+
+
+def test_deep_pages(spark):
+    rows = [
+        (1, "http://a.org/", "<div>" * 5_000 + "deep" + "</div>" * 4_999),
+        (2, "http://a.org/", "".join(f"<div class=c{'ab'[i % 2]}>" for i in range(6_000)) + "deeper"),
+        (3, "http://a.org/", "<ul><li>" * 3_000 + "list"),
+    ]
+    assert {r["page_id"]: r["text"] for r in w.main_text(frame(spark, rows)).collect()} == {1: "deep", 2: "deeper", 3: "list"}
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ('<div class="content has-sidebar">', "</div>"),
+        ('<main class="post comments-open">', "</main>"),
+        ('<article class="social-science">', "</article>"),
+        ('<article><section id="share-price-analysis">', "</section></article>"),
+        ('<form id="aspnet">', "</form>"),
+        ('<div class="widget">', "</div>"),
+    ],
+)
+def test_names_hide_no_article(spark, start, end):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for i in range(3):
+        blocks = [say(rng, 12) for _ in range(4)]
+        rows.append((i, f"http://h{i}.org/", f'<nav><a href="/">home</a></nav>{start}{"".join(f"<p>{b}</p>" for b in blocks)}{end}<div class="ad-box">Buy.</div>'))
+        want[i] = " ".join(blocks)
+    assert {r["page_id"]: r["text"] for r in w.main_text(frame(spark, rows)).collect()} == want
+
+
+def test_article_of_single_pages_by_votes_alone(spark):
+    """One page a host: the layout's evidence comes from all hosts, without lists and article elements."""
+    rng = random.Random(12)
+    rows, want = [], {}
+    for i in range(20):
+        blocks = [say(rng, rng.randint(8, 30)) for _ in range(4)]
+        menu = "".join(f'<li><a href="/{n}">{say(rng, 1)}</a>' for n in range(6))
+        body = f'<div class="x"><ul>{menu}</ul></div><div class="y"><h1>{blocks[0]}</h1>{"".join(f"<p>{b}" for b in blocks[1:])}</div><div class="z">{say(rng, 4)}</div>'
+        rows.append((i, f"http://h{i}.org/", f"<html><body>{body}</body></html>"))
+        want[i] = " ".join(blocks)
+    got = w.main_text(frame(spark, rows), lists=False, articles=False).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_marks_inside_words_and_empty_comments():
+    root = w.parse("<p>Donau<wbr>dampf<!-->schiff<!---> fahrt<!-- x --!>en")
+    wrapper = w.Wrapper(w.fold(root))
+    wrapper.place(root)
+    assert w.extract(root, wrapper) == "Donaudampfschiff fahrten"
+
+
+def test_open_tags_take_linear_time():
+    begun = time.process_time()
+    for page in ("<a " * 100_000, "<p>x" + "</i>" * 100_000, "<div>" * 20_000 + "</b>" * 20_000, "<p " * 50_000 + "<!-- x"):
+        w.parse(page)
+    assert time.process_time() - begun < 5
