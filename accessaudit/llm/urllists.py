@@ -66,20 +66,18 @@ def _binned(spans: DataFrame, last: int) -> DataFrame:
     return spans.where(F.col("since") <= end).withColumn("bin", F.explode(bins))
 
 
-def _domains(host: Column, least: int = 2) -> Column:
-    """The host's suffixes of `least` and more labels, the longest first; none of a host with fewer."""
+def _domains(host: Column) -> Column:
+    """The host's suffixes, the longest first: itself to its last label."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    suffix = lambda i: F.array_join(F.slice(labels, i, n), ".")
-    return F.when(n >= least, F.transform(F.sequence(F.lit(1), n - (least - 1)), suffix)).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
 
 
-def judged(captures: DataFrame, entries: DataFrame, least: int = 2) -> DataFrame:
+def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """One row per row of `captures` (page_id, url, fetched): page_id, url, fetched, list_kind, list_value, since, action, blocked.
 
     `entries` have kind (url, host, domain: itself and all below), value, action and dated.
-    Domains of fewer than `least` labels match nothing: by default, as in the SQL, top-level
-    domains and names without a dot. With 1 they hold for themselves and all below.
+    A domain of one label ("com", "localhost") holds for itself and all below like any other.
     Defined cases: a capture without a url, host or date, or without an active entry, has null
     list columns and is not blocked; entries of other kinds or actions, without a value or a date
     are not read; repeated entries count once. Other columns are not read. Captures on the
@@ -97,7 +95,7 @@ def judged(captures: DataFrame, entries: DataFrame, least: int = 2) -> DataFrame
         return spans.where(F.col("kind").isin(*kinds)).withColumnsRenamed(names)
 
     hosts = rows.where("host <> '' and day is not null").select("host", "day", "bin").distinct()
-    levels = F.transform(_domains(F.col("host"), least), lambda v: F.struct(F.lit("domain").alias("kind"), v.alias("value")))
+    levels = F.transform(_domains(F.col("host")), lambda v: F.struct(F.lit("domain").alias("kind"), v.alias("value")))
     levels = F.concat(F.array(F.struct(F.lit("host").alias("kind"), F.col("host").alias("value"))), levels)
     asked = hosts.select("host", "day", "bin", F.posexplode(levels).alias("rank", "level"))
     asked = asked.select("host", "day", "bin", "rank", F.col("level.kind").alias("asked_kind"), F.col("level.value").alias("asked"))
@@ -167,7 +165,7 @@ asked as (
   select rid, f, 'url' as kind, key as value, 0 as rank from p
   union all select rid, f, 'host', host, 1 from p
   union all select rid, f, 'domain', array_to_string(labels[i :], '.'), 1 + i
-            from (select rid, f, labels, unnest(generate_series(1, len(labels) - 1)) as i from p)),
+            from (select rid, f, labels, unnest(generate_series(1, len(labels))) as i from p)),
 best as (
   select rid, min_by(span, rank) as s from asked join span
     on asked.kind = span.kind and asked.value = span.value and since <= f and (until is null or f < until) and n > 1

@@ -23,7 +23,7 @@ def brute(captures, entries):
         if url and "://" in url and fetched is not None:
             host, key = parts(url)
             labels = host.split(".")
-            asked = [("url", key), ("host", host)] + [("domain", ".".join(labels[i:])) for i in range(len(labels) - 1)]
+            asked = [("url", key), ("host", host)] + [("domain", ".".join(labels[i:])) for i in range(len(labels))]
             for kind, value in asked:
                 mine = []
                 for k, v, a, d in entries:
@@ -79,8 +79,8 @@ def test_empty_tables(spark):
     check(spark, [(1, "http://x.org", DAY)], [])
 
 
-def test_domains_of_one_label_when_asked(spark):
-    c = spark.createDataFrame([(i, x, DAY) for i, x in enumerate(["http://a.b.com/", "http://localhost/", "http://x.org/"])], "page_id long, url string, fetched date")
-    e = spark.createDataFrame([("domain", v, "block", DAY) for v in ("com", "localhost")], "kind string, value string, action string, dated date")
-    assert sorted((r["page_id"], r["list_value"]) for r in u.judged(c, e, least=1).collect()) == [(0, "com"), (1, "localhost"), (2, None)]
-    assert not any(r["blocked"] for r in u.judged(c, e).collect())
+def test_domains_of_one_label(spark):
+    urls = ["http://a.b.com/", "http://localhost/", "http://x.org/", "http://com/"]
+    entries = [("domain", v, "block", DAY) for v in ("com", "localhost")] + [("domain", "b.com", "allow", DAY)]
+    got = check(spark, [(i, x, DAY) for i, x in enumerate(urls)], entries)
+    assert sorted((r[0], r[4], r[7]) for r in got) == [(0, "b.com", False), (1, "localhost", True), (2, None, False), (3, "com", True)]
