@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from accessaudit.functions import after_last_equals
 from accessaudit.operators import identity, inference, membership, packets, results, rules, verdicts, visits
+from accessaudit.operators.laid_out import join_laid_out, lay_out
 from accessaudit.operators.lookup import measure, value_lists
 from accessaudit.plans import testbed as tb
 from accessaudit.plans.audit import References, audit_flow, audit_records, references_from_documents
@@ -18,9 +19,11 @@ from accessaudit.sources import records as record_sources
 from accessaudit.sources import two_phase
 from accessaudit.sources.sinks import write_batch
 from accessaudit.sources.tables import TableSource, read_table
+from accessaudit.sources.topic_log import TopicLog
 from accessaudit.streaming import summary, user_state
 from accessaudit.streaming.alarm_scan import AlarmScan
 from accessaudit.streaming.job import AuditJob, current_user_map, flow_stream
+from accessaudit.streaming.levels import Levels, greatest, latest_by
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,6 +103,16 @@ def resume_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_sources.resume_offsets(*tb.offsets(spark, sf_dir))
 
 
+@query
+def resumed_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow from the resume offsets on, out of a topic kept as files; partitions are users, offsets event ids."""
+    topic = tb.topic(spark, sf_dir)
+    log = TopicLog(fresh_folder(spark, "topic-log"), topic.schema)
+    log.append(topic, 0)
+    found = log.read_from(spark, record_sources.resume_offsets(*tb.offsets(spark, sf_dir)))
+    return packets.project_flow(packets.parse_packets(found)).drop("packet_no", "part").withColumnRenamed("off", "event_id")
+
+
 @query
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, TableSource(folder=sf_dir), "customer")
@@ -246,6 +259,13 @@ def enrich_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.enrich_area(tb.flow(spark, sf_dir), tb.area(spark, sf_dir))
 
 
+@query
+def enrich_area_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas from a table laid out in buckets by ip, taken to be beyond a broadcast."""
+    known = tb.area(spark, sf_dir).select(F.col("c_ip").alias("ip"), "c_area")
+    return join_laid_out(tb.flow(spark, sf_dir), lay_out(known, "ip"), "left")
+
+
 @query
 def enrich_system(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.enrich_system(tb.flow(spark, sf_dir), tb.systems(spark, sf_dir))
@@ -274,6 +294,16 @@ def max_pid_per_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.max_pid_per_ip(tb.user_ip(spark, sf_dir))
 
 
+@query
+def max_pid_in_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The greatest row number per ip, kept current over a history that comes in weeks."""
+    weeks = tb.user_ip_weeks(spark, sf_dir)
+    kept = Levels(fresh_folder(spark, "levels"), weeks.select("ip", "pid").schema, greatest("ip", "pid"), fanout=2)
+    for week in range(5):  # of a month
+        kept.add(weeks.where(F.col("week") == week), week)
+    return kept.current(spark)
+
+
 @query
 def explode_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rules(spark, sf_dir)
@@ -393,6 +423,18 @@ def ip_user_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.ip_user_map(_users(spark, sf_dir), ["requestTime", "event_id"])
 
 
+@query
+def user_map_in_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map kept current batch by batch: one of each day of the week, merged in levels."""
+    order = ["requestTime", "event_id"]
+    users = written(_users(spark, sf_dir), fresh_folder(spark, "logins"))
+    kept = Levels(fresh_folder(spark, "levels"), identity.ip_user_map(users, order).schema, latest_by(*order), fanout=3)
+    for day in range(7):
+        some = users.where(F.weekday(F.to_date(F.substring("requestTime", 1, 10))) == day)
+        kept.add(identity.ip_user_map(some, order), day)
+    return kept.current(spark)
+
+
 @query
 def short_user_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.short_user_pairs(_users(spark, sf_dir))

@@ -139,6 +139,11 @@ def oracles() -> dict[str, str]:
                 FROM events WHERE event_type = 'purchase' AND value > 100 GROUP BY 1)
             SELECT e.part, CASE WHEN s.off >= e.off THEN s.off ELSE e.off END AS off
             FROM earliest e LEFT JOIN stored s ON e.part = s.part""",
+        "resumed_flow": flow("""
+            , earliest AS (SELECT user_id, min(event_id) AS off FROM events WHERE event_type = 'click' AND value > 30 GROUP BY 1),
+            stored AS (SELECT user_id, min(event_id) AS off FROM events WHERE event_type = 'purchase' AND value > 100 GROUP BY 1)
+            SELECT f.* FROM flow f JOIN events e USING (event_id) JOIN earliest a ON a.user_id = e.user_id
+            LEFT JOIN stored s ON s.user_id = e.user_id WHERE event_id >= greatest(a.off, coalesce(s.off, a.off))"""),
         "table_scan": "SELECT * FROM customer",
         "parse_packets": flow("""
             SELECT event_id, CAST(0 AS INT) AS packet_no, "requestTime" AS stamp, ip AS source_ip,
@@ -187,11 +192,13 @@ def oracles() -> dict[str, str]:
         "success_not_401": audit("SELECT * FROM inside WHERE status_code NOT IN ('401')"),
         "classify_flow": audit("SELECT * FROM verdicts"),
         "enrich_area": audit("SELECT f.*, a.c_area FROM flow f LEFT JOIN area a ON f.ip = a.c_ip"),
+        "enrich_area_laid_out": audit("SELECT f.*, a.c_area FROM flow f LEFT JOIN area a ON f.ip = a.c_ip"),
         "enrich_system": audit("SELECT f.*, s.id AS sysid FROM flow f LEFT JOIN sys s ON f.port = s.port"),
         "model_rules": rules("SELECT * FROM newest"),
         "latest_user_semijoin": _sql("SELECT * FROM latest", USER_IP),
         "attach_known_user": users("SELECT n.*, u.username FROM success_users n LEFT JOIN latest u ON n.ip = u.ip"),
         "max_pid_per_ip": _sql("SELECT ip, max(pid) AS pid FROM user_ip GROUP BY ip", USER_IP),
+        "max_pid_in_levels": _sql("SELECT ip, max(pid) AS pid FROM user_ip GROUP BY ip", USER_IP),
         "explode_rules": rules("SELECT * FROM rules"),
         "missing_rules": rules("""
             SELECT * FROM newest WHERE jsonstr IS NULL OR NOT json_valid(jsonstr)
@@ -233,6 +240,7 @@ def oracles() -> dict[str, str]:
             WHERE status = 1 AND "user" <> 'null'
               AND epoch_ms(CAST(replace(replace("requestTime", 'T', ' '), 'Z', '') AS TIMESTAMP)) > {SINCE_MS}"""),
         "ip_user_map": audit(user_map),
+        "user_map_in_levels": audit(user_map),
         "short_user_pairs": audit("SELECT DISTINCT ip, \"user\" FROM success_users WHERE length(\"user\") < 8"),
         "user_ip_rows": audit(f"""
             SELECT ip, "user" AS username, CAST({CLOCK_MS} AS BIGINT) AS update_time

@@ -249,6 +249,19 @@ def user_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signups.select(F.col("event_id").alias("pid"), _client_ip("user_id").alias("ip"), name.alias("username"))
 
 
+def user_ip_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of `user_ip` with the week of the month each row is from: `ip, pid, week`."""
+    signups = table(spark, sf_dir, "events").where("event_type = 'signup'")
+    week = F.floor((F.dayofmonth("ts") - 1) / 7).cast("int")
+    return signups.select(_client_ip("user_id").alias("ip"), F.col("event_id").alias("pid"), week.alias("week"))
+
+
+def topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as a topic with a partition per user: `part, off, value`."""
+    events = table(spark, sf_dir, "events").withColumn("part", F.col("user_id").cast("int"))
+    return records_of(events, "part").select("part", F.col("event_id").alias("off"), "value")
+
+
 def offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Earliest and stored offsets, one topic partition per user: the first larger click and
     the first large purchase, which may come earlier, later, or not at all."""
