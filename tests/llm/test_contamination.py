@@ -1,6 +1,7 @@
 """Benchmark passages against a brute-force version."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -88,3 +89,57 @@ def test_no_python_in_the_plan(spark):
     docs, items = made()
     df = c.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def brute_near(docs, items, window, span, share):
+    """Every window of every item against every span of every document."""
+    out = set()
+    for doc, text in docs:
+        held = tokens(text)
+        for item, passage in items:
+            want = tokens(passage)
+            n, best = min(window, len(want)), None
+            for i in range(len(want) - n + 1) if want and item is not None else ():
+                terms = set(want[i : i + n])
+                for p in range(len(held)):
+                    found = len(terms & set(held[p : p + span]))
+                    if found >= max(1, math.ceil(len(terms) * share)):
+                        best = max(best or (0,), (found, -i, -p, len(terms)))
+            if best:
+                out.add((doc, text or "", str(item), -best[1], -best[2], best[0], best[3]))
+    return sorted(((d, *r) for d, _, *r in out), key=key)
+
+
+def check_near(spark, docs, items, window=13, span=26, share=0.8):
+    d = spark.createDataFrame([(*r, 1) for r in docs], "doc_id long, text string, place int")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    got = [tuple(r[c] for c in ("doc_id", "item_id", "place", "start", "n_found", "n_terms")) for r in c.near_passages(d, i, window, span, share).collect()]
+    want = brute_near(docs, items, window, span, share)
+    assert sorted(got, key=key) == want
+    return want
+
+
+@pytest.mark.parametrize("window,span,share", [(13, 26, 0.8), (5, 7, 0.6), (4, 4, 1.0), (6, 20, 0.5)])
+def test_near_passages_against_brute_force(spark, window, span, share):
+    docs, items = made()
+    assert check_near(spark, docs[:3] + docs[4:24] + docs[-3:], items[3:14] + items[-7:], window, span, share)
+
+
+def test_reworded_passages(spark, monkeypatch):
+    monkeypatch.setattr(c, "hinted", lambda df: df)
+    rng = random.Random(9)
+    plain = [f"w{i}" for i in range(400)]
+    item = [f"t{i}" for i in range(60)]
+    changed = [w if i % 12 else "other" for i, w in enumerate(item)]
+    longer = [x for i, w in enumerate(item) for x in ([w] if i % 12 else [w, "more"])]
+    shorter = [w for i, w in enumerate(item) if i % 12]
+    docs = [(n, " ".join(rng.sample(plain, 90) + text + rng.sample(plain, 90))) for n, text in enumerate([changed, longer, shorter, item[::-1], item[::6], []])]
+    items = [(7, " ".join(item)), (8, " ".join(plain[:5]) + " never seen words here at all")]
+    assert {r[0] for r in check_near(spark, docs, items) if r[1] == "7"} == {0, 1, 2, 3}
+    exact = c.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert not exact.where("n_hit > 0 and doc_id in (0, 1, 2)").count()
+
+
+@pytest.mark.parametrize("docs,items", [([], [(1, "a b")]), ([(1, "a b")], []), ([(1, None)], [(1, None)])])
+def test_near_passages_of_empty_tables(spark, docs, items):
+    check_near(spark, docs, items)
