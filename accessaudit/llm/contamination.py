@@ -128,7 +128,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         return F.struct(F.greatest(done["end"], end).alias("end"), (done["n"] + fresh).alias("n"))
 
     # texts are joined, not their words: they are smaller, and only those with candidates are split
-    checked = _texts_of(docs, candidates).join(candidates, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("body")))
+    # hits repeat their passages, so their files are far smaller than they: not for Spark to broadcast by file size
+    checked = _texts_of(docs, candidates).join(candidates.hint("merge"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("body")))
     checked = checked.select("doc_id", "body", words(F.col("whole")).alias("words"), "hits")
     checked = checked.select("doc_id", "body", F.sort_array(F.filter("hits", occurs)).alias("hits"))
     nothing = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
