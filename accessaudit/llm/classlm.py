@@ -1,19 +1,22 @@
 """Brown class-based bigrams: words in classes, classes in sequence.
 
-The CORE most frequent words are clustered by exchange: from the counts of their bigrams over
-all training text, each word moves to the class that raises the likelihood most, round after
-round. Every other word joins the class that explains its neighbours best, once. The model then
-is P(class | class before) times P(word | class); words unseen in training form a class of
-their own, whose transitions are learned from the words seen once.
-
-Texts are read where they lie. Only the scoring pass deals documents into chunks, so that a chunk
-can ask the vocabulary, dealt into buckets, for each of its distinct words once.
+The most frequent words are clustered by exchange one by one, from the counts of their bigrams.
+Every other word then joins the class that explains its neighbours best, and from there on all
+words of the vocabulary are exchanged, round after round: a round counts the classes beside every word,
+scores all classes for each, moves each to its best, and is undone if the likelihood of the
+class bigrams fell. The model then is P(class | class before) times P(word | class); words
+unseen in training form a class of their own, whose transitions are learned from the words seen once.
+
+Texts are read once and not shuffled: each task codes its documents into chunks, rows of word numbers with a
+list of the chunk's distinct words. The vocabulary lies in buckets by hash. Chunks get the classes of
+their words from the buckets and send back how often each word stood beside each class.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,20 +25,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.llm.common import chunk_count, chunked, ids_column, power_of_two, texts, total_bytes
+from accessaudit.llm.common import NO_ID, power_of_two, texts
 from accessaudit.session import fresh_folder, written
 
-CORE = 2048  # words that are exchanged, the rest as one
+CORE = 2048  # words that are exchanged one by one, to start from
 CLASSES = 64
-ROUNDS = 8
+CORE_ROUNDS = 8
+ROUNDS = 3  # over the whole vocabulary; the first places the words outside the core
 PRIOR = 50.0  # weight of a class's share in its transitions
 HELD = "held out of training"
 END = b""  # closes a text; no word is empty
+REST, CLOSE = 0, 1  # classes of words not yet placed and of the end
 UNKNOWN, ONCE = 127, 128  # in class sequences: no class, and a mark on words seen once
-MOST_WORDS = 1 << 18  # in memory before counts go out
+CHUNK_TEXT = 8 << 20
 MIN_BUCKETS = 256
-WORDS_PER_BUCKET = 200_000
-MANY = 2 * CLASSES  # occurrences from which neighbours go out as counts
+WORDS_PER_BUCKET = 32_768
+SAMPLED = 4096  # one distinct word in so many is counted to size the buckets
+ENTRIES = 1 << 21  # counts added up at a time
 
 
 def words(text: bytes) -> list[bytes]:
@@ -45,36 +51,156 @@ def words(text: bytes) -> list[bytes]:
     return found
 
 
-def _training(docs: DataFrame) -> DataFrame:
-    return texts(_marked(docs), (HELD,)).where("not carried_0").select("text")
-
-
 def _marked(docs: DataFrame) -> DataFrame:
     """Rows without a doc_id are not held out."""
     remainder = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 5
     return docs.withColumn(HELD, F.coalesce(remainder == 1, F.lit(False)))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word and n over all training texts."""
+def _packed(x: np.ndarray) -> bytes:
+    return zstandard.compress(x.tobytes(), 1)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Counter = Counter()
+
+def _numbers(blob: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(blob), kind)
+
+
+def _crcs(found: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, found), np.int64, len(found))
+
+
+CODED = "ids binary, flags binary, lengths binary, tokens binary, words binary, sample array<binary>"
+
+
+def coded(docs: DataFrame) -> DataFrame:
+    """Documents in rows of about CHUNK_TEXT bytes of text; a longer text has a row of its own.
+
+    ids, flags (1: held out, 2: no id) and lengths have a number per document, `tokens` one per token: its
+    place in `words`, the distinct words ordered by crc32, one a line. `sample` holds one in SAMPLED of those.
+    """
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: defaultdict = defaultdict()
+        number.default_factory = number.__len__
+        ids, flags, lengths, tokens, size = [], bytearray(), [], array("I"), 0
         for batch in batches:
-            for text in batch.column("text"):
-                known.update(words(text.as_py()))
-                if len(known) > MOST_WORDS:
-                    yield out(known)
-                    known.clear()
-        if known:
-            yield out(known)
+            for doc, text, held in zip(batch.column("doc_id"), batch.column("text"), batch.column("carried_0"), strict=True):
+                doc, text = doc.as_py(), text.as_py()
+                if size and size + len(text) > CHUNK_TEXT:
+                    yield out(number, ids, flags, lengths, tokens)
+                    number.clear()
+                    ids, flags, lengths, tokens, size = [], bytearray(), [], array("I"), 0
+                before = len(tokens)
+                tokens.extend(map(number.__getitem__, words(text)))
+                ids.append(NO_ID if doc is None else doc)
+                flags.append(held.as_py() | (doc is None) << 1)
+                lengths.append(len(tokens) - before)
+                size += len(text) + 1
+        if ids:
+            yield out(number, ids, flags, lengths, tokens)
+
+    def out(number, ids, flags, lengths, tokens) -> pa.RecordBatch:
+        found = list(number)
+        crcs = _crcs(found)
+        order = np.argsort(crcs, kind="stable")
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
+        row = {
+            "ids": _packed(np.array(ids, np.int64)),
+            "flags": bytes(flags),
+            "lengths": _packed(np.array(lengths, np.int64)),
+            "tokens": _packed(place[np.frombuffer(tokens, np.uint32)]),
+            "words": zstandard.compress(b"\n".join(found[i] for i in order), 1),
+        }
+        columns = [pa.array([v], pa.binary()) for v in row.values()]
+        columns.append(pa.array([[found[i] for i in np.flatnonzero(crcs % SAMPLED == 0)]], pa.list_(pa.binary())))
+        return pa.RecordBatch.from_arrays(columns, names=[*row, "sample"])
+
+    return texts(_marked(docs), (HELD,)).mapInArrow(code, CODED).withColumn("chunk", F.monotonically_increasing_id())
+
+
+def _training(tokens: bytes, lengths: bytes, flags: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens of a chunk, and which are of training documents."""
+    train = np.frombuffer(flags, np.uint8) & 1 == 0
+    return _numbers(tokens, np.uint32), np.repeat(train, _numbers(lengths, np.int64))
+
+
+def _each(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """Values of the rows, one row at a time."""
+    for batch in batches:
+        columns = [batch.column(n) for n in names]
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in columns)
+
+
+def vocabulary(chunks: DataFrame, buckets: int) -> DataFrame:
+    """Two kinds of rows: a bucket's words and counts (chunk -1), and each chunk's words as places in the bucket's list.
+
+    bucket, chunk, places; words, n, n_all (all counts) and distinct (words with a count). Words of held-out
+    texts alone have count 0.
+    """
+    shift = 32 - (buckets.bit_length() - 1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, blob, *coded_text in _each(batches, "chunk", "words", "tokens", "lengths", "flags"):
+            found = zstandard.decompress(blob).split(b"\n")
+            tokens, train = _training(*coded_text)
+            n = np.bincount(tokens[train], minlength=len(found))
+            bucket = _crcs(found) >> shift
+            edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            spans = list(zip(edges, np.r_[edges[1:], len(found)], strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bucket[edges].astype(np.int32)),
+                    pa.array([chunk] * len(edges), pa.int64()),
+                    pa.array([zstandard.compress(b"\n".join(found[a:b]), 1) for a, b in spans], pa.binary()),
+                    pa.array([_packed(n[a:b]) for a, b in spans], pa.binary()),
+                ],
+                names=["bucket", "chunk", "words", "n"],
+            )
+
+    def merge(key, asked):
+        number: defaultdict = defaultdict()
+        number.default_factory = number.__len__
+        places, total = [], np.zeros(1 << 10, np.int64)
+        for words_blob, n_blob in zip(asked.column("words"), asked.column("n"), strict=True):
+            found = zstandard.decompress(words_blob.as_py()).split(b"\n")
+            at = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+            if len(number) > len(total):
+                total = np.append(total, np.zeros(max(len(total), len(number)), np.int64))
+            total[at] += _numbers(n_blob.as_py(), np.int64)  # a chunk asks for a word once
+            places.append(_packed(at.astype(np.uint32)))
+        total, rows = total[: len(number)], len(places)
+        none = [None] * rows
+        return pa.table(
+            {
+                "bucket": pa.array([key[0].as_py()] * (rows + 1), pa.int32()),
+                "chunk": pa.array([*asked.column("chunk").to_pylist(), -1], pa.int64()),
+                "places": pa.array([*places, None], pa.binary()),
+                "words": pa.array([*none, zstandard.compress(b"\n".join(number), 1)], pa.binary()),
+                "n": pa.array([*none, _packed(total)], pa.binary()),
+                "n_all": pa.array([*none, int(total.sum())], pa.int64()),
+                "distinct": pa.array([*none, int((total > 0).sum())], pa.int64()),
+            }
+        )
+
+    asked = chunks.select("chunk", "words", "tokens", "lengths", "flags").mapInArrow(ask, "bucket int, chunk long, words binary, n binary")
+    schema = "bucket int, chunk long, places binary, words binary, n binary, n_all long, distinct long"
+    return asked.groupBy("bucket").applyInArrow(merge, schema)
+
 
-    def out(known: Counter) -> pa.RecordBatch:
-        columns = [pa.array(list(known), pa.binary()), pa.array(list(known.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+def most_frequent(lists: DataFrame, k: int) -> list[bytes]:
+    """The k most frequent words but the end; ties by bytes."""
 
-    rows = _training(docs).mapInArrow(count, "word binary, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blob, n in _each(batches, "words", "n"):
+            found, n = zstandard.decompress(blob).split(b"\n"), _numbers(n, np.int64)
+            least = np.partition(n, len(n) - k)[len(n) - k] if len(n) > k else 0
+            at = [i for i in np.flatnonzero(n >= max(1, least)) if found[i] != END]
+            yield pa.RecordBatch.from_arrays([pa.array([found[i] for i in at], pa.binary()), pa.array(n[at], pa.int64())], names=["word", "n"])
+
+    top = lists.select("words", "n").mapInArrow(tops, "word binary, n long").orderBy(F.desc("n"), "word").limit(k)
+    return [bytes(r["word"]) for r in top.collect()]
 
 
 def _summed(rows: DataFrame, size: int) -> np.ndarray:
@@ -102,36 +228,31 @@ def _blocks(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([low // BLOCK], pa.int32()), blob], names=["block", "counts"])
 
 
-def core_bigrams(docs: DataFrame, core: dict[bytes, int]) -> np.ndarray:
+def core_bigrams(chunks: DataFrame, core: dict[bytes, int]) -> np.ndarray:
     """How often each of the core's words (1, 2, ...) and the rest (0) follow each other; a text starts after an end."""
     size = len(core) + 1
-    shared = docs.sparkSession.sparkContext.broadcast(core)  # of CORE words at most
+    shared = chunks.sparkSession.sparkContext.broadcast(core)  # of CORE words at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get, end = shared.value.get, shared.value[END]
         total = np.zeros(size * size, np.int64)
-        for batch in batches:
-            sequence = [end]
-            for text in batch.column("text"):
-                sequence += [get(w, 0) for w in words(text.as_py())]
-                if len(sequence) > 1 << 18:
-                    total += pairs(sequence)
-                    sequence = [end]
-            total += pairs(sequence)
+        for blob, *coded_text in _each(batches, "words", "tokens", "lengths", "flags"):
+            found = zstandard.decompress(blob).split(b"\n")
+            of = np.fromiter((get(w, 0) for w in found), np.int64, len(found))
+            tokens, train = _training(*coded_text)
+            x = np.r_[end, of[tokens[train]]]
+            total += np.bincount(x[:-1] * size + x[1:], minlength=size * size)
         yield from _blocks(total)
 
-    def pairs(sequence: list[int]) -> np.ndarray:
-        x = np.array(sequence)
-        return np.bincount(x[:-1] * size + x[1:], minlength=size * size)
-
-    return _summed(_training(docs).mapInArrow(count, "block int, counts binary"), size * size).reshape(size, size)
+    rows = chunks.select("words", "tokens", "lengths", "flags").mapInArrow(count, "block int, counts binary")
+    return _summed(rows, size * size).reshape(size, size)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(bigrams: np.ndarray, fixed: int, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
+def exchange(bigrams: np.ndarray, fixed: int, classes: int = CLASSES, rounds: int = CORE_ROUNDS) -> np.ndarray:
     """A class for every word of a bigram table, by exchange.
 
     Words are in order of frequency. The first `fixed` keep a class of their own; the others start in
@@ -177,154 +298,175 @@ def exchange(bigrams: np.ndarray, fixed: int, classes: int = CLASSES, rounds: in
     return of
 
 
-def neighbours(docs: DataFrame, core: dict[bytes, int]) -> DataFrame:
-    """word and seen for all words outside `core` (word: class): the classes (0: none) before and after each occurrence.
+def likelihood(pairs: np.ndarray) -> float:
+    """Of the class bigrams, but for a term that no exchange changes."""
+    return float(_xlogx(pairs).sum() - _xlogx(pairs.sum(axis=0)).sum() - _xlogx(pairs.sum(axis=1)).sum())
+
+
+CLASSED = "bucket int, n binary, class binary"
+
+
+def first_classes(lists: DataFrame, core_class: dict[bytes, int]) -> DataFrame:
+    """bucket, n and class (a byte per word of the bucket): the core's, UNKNOWN without a count, else REST."""
+    shared = lists.sparkSession.sparkContext.broadcast(core_class)  # of CORE words at most
 
-    `seen` holds a byte for each, in pairs, or, from MANY occurrences in a task on, counts.
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = shared.value.get
+        for bucket, blob, n in _each(batches, "bucket", "words", "n"):
+            found = zstandard.decompress(blob).split(b"\n")
+            of = np.fromiter((get(w, REST) for w in found), np.uint8, len(found))
+            of[_numbers(n, np.int64) == 0] = UNKNOWN
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([n], pa.binary()), pa.array([of.tobytes()], pa.binary())], names=["bucket", "n", "class"])
+
+    return lists.select("bucket", "words", "n").mapInArrow(start, CLASSED)
+
+
+def answers(links: DataFrame, classed: DataFrame, counts: bool = False) -> DataFrame:
+    """chunk, bucket, class and (if asked) n of the chunk's words in that bucket."""
+
+    def answer(key, links, known):
+        of, n = np.frombuffer(known.column("class")[0].as_py(), np.uint8), _numbers(known.column("n")[0].as_py(), np.int64)
+        classes, ns = [], []
+        for blob in links.column("places"):
+            at = _numbers(blob.as_py(), np.uint32)
+            classes.append(of[at].tobytes())
+            ns.append(_packed(n[at]) if counts else None)
+        made = {"chunk": links.column("chunk"), "bucket": links.column("bucket"), "class": pa.array(classes, pa.binary()), "n": pa.array(ns, pa.binary())}
+        return pa.table(made)
+
+    return links.groupBy("bucket").cogroup(classed.groupBy("bucket")).applyInArrow(answer, "chunk long, bucket int, class binary, n binary")
+
+
+def beside(chunks: DataFrame, answered: DataFrame) -> DataFrame:
+    """How often words stand beside classes: bucket, chunk, keys and counts; and with bucket -1 a chunk's class bigrams.
+
+    A key is 256 times the word's place in the chunk's list for the bucket, plus the class before or 128 plus that after.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(core)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, end = shared.value.get, shared.value[END]
-        seen: dict[bytes, bytearray] = {}
-        for batch in batches:
-            for text in batch.column("text"):
-                tokens = words(text.as_py())
-                classes = bytes([end, *[get(w, 0) for w in tokens]])
-                for i, word in enumerate(tokens):
-                    if not classes[i + 1]:
-                        pair = classes[i], classes[i + 2]
-                        try:
-                            seen[word].extend(pair)
-                        except KeyError:
-                            seen[word] = bytearray(pair)
-                if len(seen) > MOST_WORDS:
-                    yield out(seen)
-                    seen.clear()
-        if seen:
-            yield out(seen)
-
-    def out(seen: dict[bytes, bytearray]) -> pa.RecordBatch:
-        blobs = []
-        for x in seen.values():
-            if len(x) >= 2 * MANY:
-                y = np.frombuffer(x, np.uint8)
-                counts = np.append(np.bincount(y[::2], minlength=256), np.bincount(y[1::2], minlength=256))
-                blobs.append(counts.astype("<u4").tobytes() + b"c")
-            else:
-                blobs.append(bytes(x))
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(blobs, pa.binary())], names=["word", "seen"])
-
-    return _training(docs).mapInArrow(scan, "word binary, seen binary")
-
-
-def _bucket(word, buckets: int):
-    return (F.crc32(word) % buckets).cast("int")
-
-
-def place_words(seen: DataFrame, pairs: np.ndarray, buckets: int) -> DataFrame:
-    """word, n, class for the words of `neighbours`: the class that makes them and what stands around them likeliest.
-
-    `pairs` counts how often classes follow each other, the words outside the core as class 0.
+    def tell(key, row, answers):
+        answers = answers.sort_by("bucket")
+        parts = answers.column("class").to_pylist()
+        starts = np.cumsum([0, *map(len, parts)])
+        of = np.frombuffer(b"".join(parts), np.uint8)
+        tokens, train = _training(*(row.column(c)[0].as_py() for c in ("tokens", "lengths", "flags")))
+        tokens = tokens[train]
+        classes = of[tokens]
+        # every text closes with an end, so the one before it closes what precedes a text's first word
+        before, after = np.r_[np.uint8(CLOSE), classes[:-1]], np.r_[classes[1:], np.uint8(CLOSE)]
+        pairs = np.bincount(before[: len(tokens)].astype(np.int32) << 7 | classes, minlength=1 << 14)
+        inner = classes != CLOSE
+        at = tokens[inner].astype(np.uint32 if len(of) < 1 << 24 else np.uint64) << 8
+        keys, counts = np.unique(np.concatenate([at | before[: len(tokens)][inner], at | after[: len(tokens)][inner] | 128]), return_counts=True)
+        cuts = np.searchsorted(keys, starts.astype(np.uint64) << np.uint64(8))
+        out = {"bucket": [-1], "keys": [None], "counts": [_packed(pairs.astype(np.int64))]}
+        for bucket, first, low, high in zip(answers.column("bucket").to_pylist(), starts, cuts, cuts[1:], strict=False):
+            if low < high:
+                steps = np.diff(keys[low:high].astype(np.int64), prepend=int(first) << 8)
+                out["bucket"].append(bucket)
+                out["keys"].append(_packed(steps.astype(np.uint32)))
+                out["counts"].append(_packed(counts[low:high].astype(np.uint32)))
+        chunk = pa.array([key[0].as_py()] * len(out["bucket"]), pa.int64())
+        return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "chunk": chunk, "keys": pa.array(out["keys"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
+
+    rows = chunks.select("chunk", "tokens", "lengths", "flags").groupBy("chunk")
+    return rows.cogroup(answered.select("chunk", "bucket", "class").groupBy("chunk")).applyInArrow(tell, "bucket int, chunk long, keys binary, counts binary")
+
+
+def moved(links: DataFrame, classed: DataFrame, told: DataFrame, pairs: np.ndarray, unplaced: bool) -> DataFrame:
+    """`classed` after every word went to the class that makes it and what stands beside it likeliest.
+
+    `pairs` are the class bigrams so far. All words move at once, as if their neighbours stayed. With `unplaced` only
+    words of the class REST move. The end stays.
     """
+    size = len(pairs)
     smooth = pairs + 0.1
-    before = np.log(smooth / smooth.sum(axis=1, keepdims=True))  # of the class, after the one before
-    after = before.T
+    from_class = np.log(smooth / smooth.sum(axis=1, keepdims=True))
+    weights = np.concatenate([from_class, from_class.T])  # of the classes before, then of those after
     share = -np.log(np.maximum(pairs.sum(axis=0), 1.0))
-    size = len(pairs)
 
-    def place(key, table):
-        rows = table.column("word").combine_chunks().dictionary_encode()
-        at, names = rows.indices.to_numpy(zero_copy_only=False).astype(np.int64), rows.dictionary
-        left, right = np.zeros((len(names), size)), np.zeros((len(names), size))
-        blobs = table.column("seen").to_pylist()
-        short = np.array([len(b) % 2 == 0 for b in blobs], bool)
-        flat = np.frombuffer(b"".join(b for b, s in zip(blobs, short, strict=True) if s), np.uint8).reshape(-1, 2).astype(np.int64)
-        owner = np.repeat(at[short], [len(b) // 2 for b, s in zip(blobs, short, strict=True) if s])
-        for side, column in ((left, 0), (right, 1)):
-            side += np.bincount(owner * size + flat[:, column], minlength=side.size).reshape(side.shape)
-        for i in np.flatnonzero(~short):
-            counts = np.frombuffer(blobs[i][:-1], "<u4")
-            left[at[i]] += counts[:size]
-            right[at[i]] += counts[256 : 256 + size]
-        n = left.sum(axis=1)
-        value = left @ before + right @ after.T + n[:, None] * share[None, :]
-        value[:, :2] = -np.inf  # those of the rest and of the end
+    def move(key, held, told):
+        chunk, places, of, n = (held.column(c).to_pylist() for c in ("chunk", "places", "class", "n"))
+        state = chunk.index(-1)
+        of, n, places = np.frombuffer(of[state], np.uint8), n[state], dict(zip(chunk, places, strict=True))
+        table = np.zeros(len(of) * 2 * size)
+        waiting, held_back = [], 0
+
+        def add():
+            at, counts = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            table[:] += np.bincount(at, counts, minlength=len(table))
+            waiting.clear()
+
+        for c, keys, counts in zip(told.column("chunk").to_pylist(), told.column("keys"), told.column("counts"), strict=True):
+            keys = np.cumsum(_numbers(keys.as_py(), np.uint32).astype(np.int64))
+            word = _numbers(places[c], np.uint32)[keys >> 8].astype(np.int64)
+            waiting.append((word * (2 * size) + (keys >> 7 & 1) * size + (keys & 127), _numbers(counts.as_py(), np.uint32).astype(float)))
+            held_back += len(keys)
+            if held_back > ENTRIES:
+                add()
+                held_back = 0
+        if waiting:
+            add()
+        seen = table.reshape(len(of), 2 * size)
+        value = seen @ weights + seen[:, :size].sum(axis=1)[:, None] * share[None, :]
+        value[:, : CLOSE + 1] = -np.inf
         best = np.argmax(value, axis=1)
-        return pa.table({"bucket": pa.array(np.full(len(names), key[0].as_py()), pa.int32()), "word": names, "n": pa.array(n.astype(np.int64)), "class": pa.array(best.astype(np.int32))})
+        row = np.arange(len(of))
+        free = of == REST if unplaced else (of != CLOSE) & (of != UNKNOWN)
+        old = np.where(of < size, of, REST)
+        new = np.where(free & (value[row, best] > value[row, old] + 1e-9), best, of).astype(np.uint8)
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([n], pa.binary()), "class": pa.array([new.tobytes()], pa.binary())})
+
+    none = F.lit(None).cast("binary")
+    held = links.select("bucket", "chunk", "places", none.alias("n"), none.alias("class")).unionByName(
+        classed.select("bucket", F.lit(-1).cast("long").alias("chunk"), none.alias("places"), "n", "class")
+    )
+    return held.groupBy("bucket").cogroup(told.where("bucket >= 0").groupBy("bucket")).applyInArrow(move, CLASSED)
 
-    rows = seen.withColumn("bucket", _bucket("word", buckets))
-    return rows.groupBy("bucket").applyInArrow(place, "bucket int, word binary, n long, class int")
 
+def _class_pairs(told: DataFrame, classes: int) -> np.ndarray:
+    """The class bigrams of all chunks, added up by at most 32 tasks."""
 
-def _sequences(docs: DataFrame, vocabulary: DataFrame, buckets: int, base: tuple[int, int], emission: np.ndarray) -> DataFrame:
+    def add(key, table):
+        total = sum(_numbers(x.as_py(), np.int64) for x in table.column("counts"))
+        return pa.table({"counts": pa.array([_packed(total)], pa.binary())})
+
+    rows = told.where("bucket = -1").select((F.pmod("chunk", F.lit(32))).alias("part"), "counts")
+    total = np.zeros((128, 128))
+    for row in rows.groupBy("part").applyInArrow(add, "counts binary").collect():
+        total += _numbers(row["counts"], np.int64).reshape(128, 128)
+    return total[:classes, :classes]
+
+
+def _sequences(chunks: DataFrame, answered: DataFrame, base: tuple[int, int]) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, base_score, emitted and classes (a byte per token) of every row."""
     n_all, distinct = base
-    size = total_bytes(docs)
-    by_chunk = chunked(_marked(docs), chunk_count(size), (HELD,)).groupBy("chunk")
-    message = "bucket int, chunk int, words binary, n binary, class binary"
 
-    def distinct_words(table) -> tuple[pa.Table, list[list[int]], list[bytes], np.ndarray, np.ndarray]:
-        """Documents in a fixed order, their tokens as places in the list of distinct words, and the buckets of those."""
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        number: defaultdict = defaultdict()
-        number.default_factory = number.__len__
-        tokens = [list(map(number.__getitem__, words(t.as_py()))) for t in table.column("text")]
-        found = list(number)
-        bucket = np.fromiter(map(zlib.crc32, found), np.int64, len(found)) % buckets
-        return table, tokens, found, bucket, np.argsort(bucket, kind="stable")
-
-    def ask(key, table):
-        _, _, found, bucket, order = distinct_words(table)
-        edges = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
-        out = {"bucket": [], "words": []}
-        for low, high in zip(edges, np.r_[edges[1:], len(order)], strict=True):
-            out["bucket"].append(int(bucket[order[low]]))
-            out["words"].append(zstandard.compress(b"\n".join(found[i] for i in order[low:high]), 1))
-        empty = pa.array([None] * len(out["bucket"]), pa.binary())
-        chunk = pa.array([key[0].as_py()] * len(out["bucket"]), pa.int32())
-        return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "chunk": chunk, "words": pa.array(out["words"], pa.binary()), "n": empty, "class": empty})
-
-    def answer(key, asked, known):
-        names = dict(zip(known.column("word").to_pylist(), range(known.num_rows), strict=True))
-        n = np.append(known.column("n").to_numpy(), 0)
-        of = np.append(known.column("class").to_numpy(), UNKNOWN).astype(np.uint8)
-        ns, classes = [], []
-        for blob in asked.column("words").to_pylist():
-            at = np.array([names.get(w, -1) for w in zstandard.decompress(blob).split(b"\n")])
-            kind = "<u4" if n[at].max(initial=0) < 1 << 32 else "<u8"
-            ns.append(zstandard.compress(n[at].astype(kind).tobytes() + kind[-1:].encode(), 1))
-            classes.append(of[at].tobytes())
-        empty = pa.array([None] * len(ns), pa.binary())
-        return pa.table({"bucket": asked.column("bucket"), "chunk": asked.column("chunk"), "words": empty, "n": pa.array(ns, pa.binary()), "class": pa.array(classes, pa.binary())})
-
-    def read(key, table, answers):
-        table, tokens, found, bucket, order = distinct_words(table)
-        count, of = np.zeros(len(found), np.int64), np.zeros(len(found), np.uint8)
-        sorted_buckets = bucket[order]
-        for b, n, classes in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "class")), strict=True):
-            at = order[np.searchsorted(sorted_buckets, b) : np.searchsorted(sorted_buckets, b, "right")]
-            raw = zstandard.decompress(n)
-            count[at] = np.frombuffer(raw[:-1], "<u" + raw[-1:].decode())
-            of[at] = np.frombuffer(classes, np.uint8)
-        log_base = np.log10((count + 0.5) / (n_all + 0.5 * (distinct + 1)))
-        log_word = np.where(count > 0, np.log10(np.maximum(count, 1)) - emission[of], 0.0)
-        marked = of | np.where(count == 1, ONCE, 0).astype(np.uint8)
-        out = {"n_tokens": [], "n_known": [], "base_score": [], "emitted": [], "classes": []}
-        for doc in tokens:
-            at = np.array(doc)
-            values = len(at), int((count[at] > 0).sum()), float(log_base[at].sum()), float(log_word[at].sum()), marked[at].tobytes()
-            for name, value in zip(out, values, strict=True):
-                out[name].append(value)
-        ids = ids_column(table, "doc_id")
-        made = {"doc_id": pa.array(ids, mask=ids == np.iinfo(np.int64).max), "held_out": table.column("carried_0")}
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
-        return pa.table(made | {name: pa.array(v, k) for (name, v), k in zip(out.items(), kinds, strict=True)})
-
-    known = vocabulary.select("bucket", "word", "n", "class").groupBy("bucket")
-    answers = by_chunk.applyInArrow(ask, message).groupBy("bucket").cogroup(known).applyInArrow(answer, message)
+    def read(key, row, answers):
+        answers = answers.sort_by("bucket")
+        of = np.frombuffer(b"".join(answers.column("class").to_pylist()), np.uint8)
+        n = np.concatenate([_numbers(x.as_py(), np.int64) for x in answers.column("n")])
+        ids, flags, lengths, tokens = (row.column(c)[0].as_py() for c in ("ids", "flags", "lengths", "tokens"))
+        ids, flags, lengths, tokens = _numbers(ids, np.int64), np.frombuffer(flags, np.uint8), _numbers(lengths, np.int64), _numbers(tokens, np.uint32)
+        log_base = np.log10((n + 0.5) / (n_all + 0.5 * (distinct + 1)))
+        log_n = np.log10(np.maximum(n, 1))
+        marked = of | np.where(n == 1, ONCE, 0).astype(np.uint8)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths  # no text is without its end
+        classes = marked[tokens].tobytes()
+        return pa.table(
+            {
+                "doc_id": pa.array(ids, mask=flags & 2 > 0),
+                "held_out": pa.array(flags & 1 > 0),
+                "n_tokens": pa.array(lengths),
+                "n_known": pa.array(np.add.reduceat((n > 0).astype(np.int64)[tokens], starts)),
+                "base_score": pa.array(np.add.reduceat(log_base[tokens], starts)),
+                "emitted": pa.array(np.add.reduceat(log_n[tokens], starts)),
+                "classes": pa.array([classes[a:b] for a, b in zip(starts, ends, strict=True)], pa.binary()),
+            }
+        )
+
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, emitted double, classes binary"
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(read, schema)
+    return chunks.drop("words", "sample").groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(read, schema)
 
 
 def _transitions(sequences: DataFrame) -> np.ndarray:
@@ -340,6 +482,11 @@ def _transitions(sequences: DataFrame) -> np.ndarray:
     return _summed(sequences.where("not held_out").select("classes").mapInArrow(count, "block int, counts binary"), 1 << 16).reshape(256, 256)
 
 
+def _plain(pairs: np.ndarray) -> np.ndarray:
+    """Counts of sequence bytes as those of classes."""
+    return pairs.reshape(2, 128, 2, 128).sum(axis=(0, 2)).astype(float)
+
+
 def log_transitions(pairs: np.ndarray) -> np.ndarray:
     """log10 P(class | class before) for classes 0 to 126 and UNKNOWN, from counts of sequence bytes.
 
@@ -362,60 +509,67 @@ def log_transitions(pairs: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(p, 1e-300))
 
 
-def scored(docs: DataFrame, core_words: int = CORE, classes: int = CLASSES) -> DataFrame:
+def scored(docs: DataFrame, core_words: int = CORE, classes: int = CLASSES, rounds: int = ROUNDS, report: list | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`.
 
     Scores are log10 probabilities of the whole text with its end; base_score that of single words.
+    Of the `rounds` over the whole vocabulary the first places the words outside the core; `report` takes the
+    likelihood of the class bigrams before each and at the end. Classes that lowered it are undone and end the rounds.
     Defined cases: null and empty texts are an end alone; rows without a doc_id are trained on;
     repeated rows are trained on as often as they occur; without training rows every token
     is the one unknown type, with probability 1. Other columns are not read.
     """
-    if not 4 <= classes < UNKNOWN:
-        raise ValueError("4 to 126 classes")
+    if not 4 <= classes < UNKNOWN or rounds < 1:
+        raise ValueError("4 to 126 classes, 1 round or more")
+    report = [] if report is None else report
     spark = docs.sparkSession
     folder = fresh_folder(spark, "classes")
-    counts = written(word_counts(docs), f"{folder}/counts")
-    found = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    n_all, distinct = int(found["n"] or 0), int(found["v"])
+    chunks = written(coded(docs), f"{folder}/coded")
+    sampled = chunks.select(F.explode("sample").alias("word")).distinct().count()
+    buckets = power_of_two(max(MIN_BUCKETS, sampled * SAMPLED / WORDS_PER_BUCKET))
+    held = written(vocabulary(chunks, buckets), f"{folder}/vocabulary")
+    lists, links = held.where("chunk = -1"), held.where("chunk >= 0").select("bucket", "chunk", "places")
+    found = lists.agg(F.sum("n_all").alias("n"), F.sum("distinct").alias("v")).first()
+    base = n_all, _ = int(found["n"] or 0), int(found["v"] or 0)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+    train_tokens = F.lit(n_all).cast("long").alias("train_tokens")
     if not n_all:
-        schema = "bucket int, word binary, n long, class int"
-        rows = _sequences(docs, spark.createDataFrame([], schema), 1, (0, 0), np.zeros(256))
-        return rows.select(
-            "doc_id", "held_out", "n_tokens", "n_known", F.lit(0).cast("long").alias("train_tokens"), "base_score", F.lit(0.0).alias("score")
-        )
-    top = counts.where(F.length("word") > 0).orderBy(F.desc("n"), "word").limit(core_words - 2)
-    ordered = [bytes(r["word"]) for r in top.collect()]  # at most CORE
-    core = {END: 1} | {w: i for i, w in enumerate(ordered, 2)}
-    bigrams = core_bigrams(docs, core)
-    of = exchange(bigrams, 2, classes)
-    core_class = {w: int(of[i]) for w, i in core.items()}
-    pairs = np.zeros((classes, classes))
-    np.add.at(pairs, (of[:, None].repeat(len(of), 1), of[None, :].repeat(len(of), 0)), bigrams)
-
-    buckets = power_of_two(max(MIN_BUCKETS, distinct / WORDS_PER_BUCKET))
-    rest = place_words(neighbours(docs, core_class), pairs, buckets)
-    placed = spark.createDataFrame([(w, c) for w, c in core_class.items()], "word binary, class int")
-    first = counts.join(F.broadcast(placed), "word").select(_bucket("word", buckets).alias("bucket"), "word", "n", "class")
-    vocabulary = written(rest.unionByName(first), f"{folder}/vocabulary")
-    in_class = {r["class"]: r["n"] for r in vocabulary.groupBy("class").agg(F.sum("n").alias("n")).collect()}  # a row per class
-    emission = np.zeros(256)
-    for c, n in in_class.items():
-        emission[c] = np.log10(n)
-
-    sequences = written(_sequences(docs, vocabulary, buckets, (n_all, distinct), emission), f"{folder}/sequences")
-    steps = log_transitions(_transitions(sequences))
+        rows = _sequences(chunks, answers(links, first_classes(lists, {}), True), base)
+        return rows.select(*names[:4], train_tokens, "base_score", F.lit(0.0).alias("score"))
+    core = {END: 1} | {w: i for i, w in enumerate(most_frequent(lists, core_words - 2), 2)}
+    of = exchange(core_bigrams(chunks, core), 2, classes)
+    classed = written(first_classes(lists, {w: int(of[i]) for w, i in core.items()}), f"{folder}/classes-0")
+
+    kept = classed
+    for n in range(1, rounds + 1):
+        told = written(beside(chunks, answers(links, classed)), f"{folder}/told-{n}")
+        pairs = _class_pairs(told, classes)
+        report.append(likelihood(pairs))
+        if n > 2 and report[-1] <= report[-2]:
+            classed = kept
+            break
+        kept, classed = classed, written(moved(links, classed, told, pairs, n == 1), f"{folder}/classes-{n}")
+    else:
+        n += 1
+
+    sequences = written(_sequences(chunks, answers(links, classed, True), base), f"{folder}/sequences")
+    counts = _transitions(sequences)
+    if n > rounds > 1:
+        report.append(likelihood(_plain(counts)[:classes, :classes]))
+        if report[-1] < report[-2]:
+            sequences = written(_sequences(chunks, answers(links, kept, True), base), f"{folder}/sequences-kept")
+            counts = _transitions(sequences)
+    steps = log_transitions(counts)
+    in_class = _plain(counts).sum(axis=0)
+    steps = steps - np.log10(np.maximum(in_class, 1))[None, :] * (np.arange(128) != UNKNOWN)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for blob, emitted in zip(batch.column("classes").to_pylist(), batch.column("emitted").to_pylist(), strict=True):
-                x = np.frombuffer(b"\x01" + blob, np.uint8) & 127
-                made.append(float(steps[x[:-1], x[1:]].sum()) + emitted)
-            columns = [batch.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")]
-            names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.float64())], names=names)
+            for blob, emitted in zip(batch.column("classes"), batch.column("emitted"), strict=True):
+                x = np.frombuffer(b"\x01" + blob.as_py(), np.uint8) & 127
+                made.append(float(steps[x[:-1], x[1:]].sum()) + emitted.as_py())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(made, pa.float64())], names=[*names, "score"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return sequences.mapInArrow(score, schema).select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score"
-    )
+    return sequences.mapInArrow(score, schema).select(*names[:4], train_tokens, "base_score", "score")

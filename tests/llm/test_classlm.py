@@ -53,8 +53,8 @@ def frame(spark, rows):
 
 
 def test_counts_base_and_a_better_model(spark, monkeypatch):
-    monkeypatch.setattr(c, "MANY", 4)
-    monkeypatch.setattr(c, "MOST_WORDS", 30)
+    monkeypatch.setattr(c, "CHUNK_TEXT", 900)
+    monkeypatch.setattr(c, "ENTRIES", 5)
     rows = made()
     got = c.scored(frame(spark, rows), core_words=60, classes=8).collect()
     want = base(rows)
@@ -104,3 +104,68 @@ def test_nothing_to_train_on(spark):
     doc = next(i for i in range(100) if held(i))
     got = c.scored(frame(spark, [(doc, "a b c")])).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got] == [(4, 0, 0, 0.0, 0.0)]
+
+
+def classes_of(spark, rows, classed, held):
+    """Class of each word, read back from the buckets."""
+    out = {}
+    lists = {r["bucket"]: c.zstandard.decompress(r["words"]).split(b"\n") for r in held.where("chunk = -1").collect()}
+    for r in classed.collect():
+        out |= dict(zip(lists[r["bucket"]], r["class"], strict=True))
+    return out
+
+
+def test_a_round_against_brute_force(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(c, "CHUNK_TEXT", 700)
+    monkeypatch.setattr(c, "ENTRIES", 7)
+    rows = made(4, 60)
+    chunks = c.written(c.coded(frame(spark, rows).repartition(3)), str(tmp_path / "coded"))
+    held = c.written(c.vocabulary(chunks, 16), str(tmp_path / "held"))
+    lists, links = held.where("chunk = -1"), held.where("chunk >= 0").select("bucket", "chunk", "places")
+    train = [[(w or "").encode() for w in tokens(t)] for i, t in rows if not held_out(i)]
+    count = Counter(w for t in train for w in t)
+    assert c.most_frequent(lists, 20) == [w for _, w in sorted((-n, w) for w, n in count.items() if w)][:20]
+    start = {b"": 1} | {w: 2 + i % 5 for i, w in enumerate(sorted(count)[1:]) if i % 3}
+    classed = c.written(c.first_classes(lists, start), str(tmp_path / "classes"))
+    known = classes_of(spark, rows, classed, held)
+    assert all(known[w] == start.get(w, 0) for w in count) and all(known[w] == 127 for w in known if w not in count)
+    told = c.written(c.beside(chunks, c.answers(links, classed)), str(tmp_path / "told"))
+    pairs, seen = np.zeros((7, 7)), {w: np.zeros((2, 7)) for w in count}
+    for t in train:
+        of = [1, *[known[w] for w in t], 1]
+        for i, w in enumerate(t):
+            pairs[of[i], of[i + 1]] += 1
+            seen[w][0, of[i]] += 1
+            seen[w][1, of[i + 2]] += 1
+    assert (c._class_pairs(told, 7) == pairs).all()
+    logs = np.log((pairs + 0.1) / (pairs + 0.1).sum(axis=1, keepdims=True))
+    for unplaced in (True, False):
+        got = classes_of(spark, rows, c.moved(links, classed, told, pairs, unplaced), held)
+        for w in count:
+            value = seen[w][0] @ logs + logs @ seen[w][1] - count[w] * np.log(np.maximum(pairs.sum(axis=0), 1))
+            value[:2] = -np.inf
+            stays = w == b"" or (unplaced and known[w] != 0)
+            assert got[w] == known[w] if stays else value[got[w]] >= value.max() - 1e-6
+
+
+def held_out(doc):
+    return held(doc)
+
+
+def test_rounds_raise_the_likelihood_and_cover_all_words(spark):
+    report = []
+    one = [r for r in c.scored(frame(spark, made(5)), core_words=10, classes=8, rounds=1).collect() if r["held_out"]]
+    more = [r for r in c.scored(frame(spark, made(5)), core_words=10, classes=8, rounds=4, report=report).collect() if r["held_out"]]
+    kept = report[:-1] if report[-1] < report[-2] else report
+    assert all(b > a for a, b in zip(kept[1:], kept[2:], strict=False))
+    assert sum(r["score"] for r in more) > sum(r["score"] for r in one)
+
+
+def test_many_rows_of_one_id_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(c, "CHUNK_TEXT", 5000)
+    train = next(i for i in range(100) if not held(i))
+    rows = [(train, f"a b{i % 7}") for i in range(3000)] + [(train, "c d " * 20000)]
+    got = c.scored(frame(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5)) for r in got)) == sorted(
+        (*r[:5], round(r[5], 5)) for r in base(rows)
+    )
