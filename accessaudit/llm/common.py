@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import os
 from collections.abc import Callable
 from functools import wraps
@@ -94,6 +96,40 @@ def chunked(docs: DataFrame, chunks: int, carry: tuple[str, ...] = ()) -> DataFr
     return texts(docs, carry).withColumn("chunk", F.pmod(key, F.lit(chunks)).cast("int"))
 
 
+def hand_back() -> None:
+    """Give memory that is free inside this process back to the machine, where its C library can."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(work: Callable) -> Callable:
+    """`work` on batches (a generator), or on a key and one or two tables, followed by `hand_back`.
+
+    Spark uses its Python workers again: those a stage is done with would keep the most they ever held beside
+    the workers and the JVM of the next. Groups of under a megabyte leave too little behind to look for.
+    """
+    if inspect.isgeneratorfunction(work):
+
+        def whole(batches):
+            yield from work(batches)
+            hand_back()
+
+        return whole
+
+    def run(key, *tables):
+        made = work(key, *tables)
+        if sum(t.nbytes for t in (*tables, made)) >= 1 << 20:
+            hand_back()
+        return made
+
+    if len(inspect.signature(work).parameters) == 2:
+        return lambda key, table: run(key, table)
+    return lambda key, left, right: run(key, left, right)
+
+
 def binary_column(table, name: str) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow binary column one after another, and the n + 1 places where its values begin."""
     import pyarrow as pa

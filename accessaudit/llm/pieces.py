@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
+from accessaudit.llm.common import lean
+
 SPACE = "▁"  # how pieces spell a space
 OWN = "\ud800"  # stands for that character in a text; no text holds it
 PENALTY = 10.0  # of a character without a piece, below the lowest score
-MOST_WORDS, MOST_PARTS = 1 << 17, 1 << 19  # kept; the older half of the parts besides
+MOST_WORDS, MOST_PARTS = 1 << 17, 1 << 17  # kept; the older half of the parts besides
 LONG_WORD = 64
 ROWS = 500  # of a batch given out
 MISSING = object()
@@ -247,7 +249,7 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
                 columns = [part.column("doc_id"), _lists(flat), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_ids", "ids_crc32", "round_trip"])
 
-    return _texts(docs).mapInArrow(scan, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, round_trip boolean")
+    return _texts(docs).mapInArrow(lean(scan), "doc_id long, ids array<int>, n_ids long, ids_crc32 long, round_trip boolean")
 
 
 def merged(docs: DataFrame, model: str) -> DataFrame:
@@ -261,7 +263,7 @@ def merged(docs: DataFrame, model: str) -> DataFrame:
                 ids = _lists([np.frombuffer(known.encode(text.as_py()), "<u4") for text in part.column("text")])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 
-    return _texts(docs).mapInArrow(scan, "doc_id long, ids array<int>")
+    return _texts(docs).mapInArrow(lean(scan), "doc_id long, ids array<int>")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -277,4 +279,4 @@ def decoded(rows: DataFrame, model: str) -> DataFrame:
             texts = pa.array([known.decode(ids or []) for ids in batch.column("ids").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts], names=["doc_id", "text"])
 
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(scan, "doc_id long, text string")
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(lean(scan), "doc_id long, text string")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accessaudit.llm.common import hinted, texts, unused
+from accessaudit.llm.common import hinted, lean, texts, unused
 from accessaudit.session import fresh_folder, written
 
 DISTANCE = 4
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
             bits = pa.array(np.array(made, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), bits, batch.column("text_md5")], names=["doc_id", "bits", "text_md5"])
 
-    return texts(docs).withColumn("text_md5", F.md5("text")).mapInArrow(scan, "doc_id long, bits long, text_md5 string")
+    return texts(docs).withColumn("text_md5", F.md5("text")).mapInArrow(lean(scan), "doc_id long, bits long, text_md5 string")
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -214,7 +214,7 @@ def links(prints: DataFrame, distinct: int, distance: int = DISTANCE) -> DataFra
         linked = np.flatnonzero(up != np.arange(len(up)))
         return pa.table({"a": given[linked].view(np.int64), "b": given[up[linked]].view(np.int64)})
 
-    return rows.groupBy("scheme", "part", "pair").applyInArrow(search, "a long, b long")
+    return rows.groupBy("scheme", "part", "pair").applyInArrow(lean(search), "a long, b long")
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:

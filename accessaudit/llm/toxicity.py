@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from accessaudit.llm.common import hinted
+from accessaudit.llm.common import hand_back, hinted, lean
 
 BITS = 18  # of a feature's number
 GRAMS = (3, 4, 5)
@@ -99,7 +99,7 @@ def count_features(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": [total.tobytes()]})
 
     schema = "block int, counts binary"
-    made = rows.select("text", "toxic").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema)
+    made = rows.select("text", "toxic").mapInArrow(lean(count), schema).groupBy("block").applyInArrow(lean(add), schema)
     counts = np.zeros((2, size), np.int64)
     for row in made.collect():  # as many rows as blocks, whatever the input
         low = row["block"] * BLOCK
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return pa.table({"weights": [w.tobytes()], "bias": [b]})
 
     sample = rows.join(hinted(chosen), "doc_id").groupBy(F.lit(0).alias("one"))
-    made = sample.applyInArrow(learn, "weights binary, bias double").first()
+    made = sample.applyInArrow(lean(learn), "weights binary, bias double").first()
     return Model(np.frombuffer(made["weights"], np.float64), made["bias"])
 
 
@@ -169,7 +169,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score], names=["doc_id", "score"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    made = texts.mapInArrow(scan, "doc_id long, score double")
+    made = texts.mapInArrow(lean(scan), "doc_id long, score double")
     return made.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -192,6 +192,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
     @arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:  # only the text leaves the JVM, only the score comes back
-        return pa.array([shared.value.score(x.as_py() or "") for x in texts], pa.float64())
+        made = pa.array([shared.value.score(x.as_py() or "") for x in texts], pa.float64())
+        if texts.nbytes >= 1 << 20:
+            hand_back()
+        return made
 
     return docs.where(score("text") < threshold)
