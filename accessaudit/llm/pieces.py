@@ -29,7 +29,7 @@ from accessaudit.llm.common import lean
 SPACE = "▁"  # how pieces spell a space
 OWN = "\ud800"  # stands for that character in a text; no text holds it
 PENALTY = 10.0  # of a character without a piece, below the lowest score
-MOST_WORDS, MOST_PARTS = 1 << 17, 1 << 17  # kept; the older half of the parts besides
+MOST_WORDS, MOST_PARTS = 1 << 17, 1 << 18  # kept; the older half of the parts besides
 LONG_WORD = 64
 ROWS = 500  # of a batch given out
 MISSING = object()
