@@ -501,11 +501,17 @@ def stream_user_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _delivered(spark: SparkSession, sf_dir: str, take: Callable[[DataFrame], None], weeks: int = 1) -> None:
-    """A topic that grows by so many weeks at a time; after each delivery `take` runs over what is new, as a query started again."""
-    out, whole = fresh_folder(spark, "topic"), tb.deliveries(spark, sf_dir)
+    """A topic that grows by so many weeks at a time; after each delivery `take` runs over what is new, as a query started again.
+
+    The events are dealt to their deliveries in one pass; each delivery then reads its own alone.
+    """
+    out, dealt = fresh_folder(spark, "topic"), fresh_folder(spark, "deliveries")
+    whole = tb.deliveries(spark, sf_dir)
     whole = whole.withColumn("delivery", F.floor(F.col("delivery") / weeks))
+    whole.write.partitionBy("delivery").parquet(dealt)
+    whole = spark.read.schema(whole.schema).parquet(dealt)
     for week in sorted(r["delivery"] for r in whole.select("delivery").distinct().collect()):  # at most six
-        whole.where(F.col("delivery") == week).drop("delivery").write.mode("append").parquet(out)
+        tb.records_of(whole.where(F.col("delivery") == week)).write.mode("append").parquet(out)
         take(spark.readStream.schema("event_id bigint, value string").parquet(out))
 
 

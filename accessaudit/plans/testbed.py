@@ -111,13 +111,12 @@ def record_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000)
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records with `delivery`, the week they arrive in: that of the event, or the next one for
+    """The events with `delivery`, the week they arrive in: that of the event, or the next one for
     those whose connection was slow (`k` a multiple of seven)."""
     events = table(spark, sf_dir, "events")
     week = F.floor((F.dayofmonth("ts") - 1) / 7).cast("int")
     slow = F.get_json_object("props", "$.k").cast("int") % 7 == 0
-    delivery = week + F.when(slow, 1).otherwise(0)
-    return records_of(events.withColumn("delivery", delivery), "delivery")
+    return events.withColumn("delivery", week + F.when(slow, 1).otherwise(0))
 
 
 def mixed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,14 @@
 """Verdict counts per day over a stream, late verdicts beside them."""
 
+from datetime import datetime
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from accessaudit.operators.results import verdict_summary
-from accessaudit.plans import testbed
+from accessaudit.plans import catalog, testbed
 from accessaudit.plans.audit import audit_records
 from accessaudit.sources.sinks import write_batch
 from accessaudit.streaming import summary
@@ -95,3 +99,30 @@ def test_the_aggregate_is_windowed_and_appends(spark, log):
     assert counted.isStreaming
     text = counted._jdf.queryExecution().logical().toString()
     assert "EventTimeWatermark" in text and "window" in text.lower()
+
+
+def test_deliveries_read_the_events_once(spark, tmp_path):
+    days = [(1, 1), (2, 7), (7, 2), (9, 1), (10, 14), (30, 1), (31, 7)]  # of the month, with `k`
+    events = pa.table(
+        {
+            "event_id": list(range(len(days))),
+            "ts": pa.array([datetime(2024, 1, d, 5) for d, _ in days], pa.timestamp("us")),
+            "user_id": [7] * len(days),
+            "event_type": ["view"] * len(days),
+            "value": [1.0] * len(days),
+            "props": [f'{{"k":{k}}}' for _, k in days],
+        }
+    )
+    path, into = tmp_path / "events.parquet", str(tmp_path / "into")
+    pq.write_table(events, path)
+    want, counts = rows(testbed.records(spark, str(tmp_path))), []
+
+    def take(topic):
+        pq.write_table(events.slice(0, 0), path)  # nothing is left to be read again
+        stream = topic.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "checkpoint"))
+        stream.trigger(**ONCE).start(into).awaitTermination()
+        counts.append(spark.read.parquet(into).count())
+
+    catalog._delivered(spark, str(tmp_path), take)
+    assert counts == [2, 4, 5, 6, 7]
+    assert rows(spark.read.parquet(into)) == want
