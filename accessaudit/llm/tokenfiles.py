@@ -38,6 +38,15 @@ MAGIC = b"S8BF"
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([60, *(60 // c for c in COUNTS[1:])])
 _LOW = np.uint64((1 << 60) - 1)
+_POWERS = np.uint64(1) << np.arange(60, dtype=np.uint64)
+_BITS = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    """How many bits each id takes."""
+    if ids.max(initial=0) < len(_BITS):
+        return _BITS[ids]
+    return np.searchsorted(_POWERS, ids, "right").astype(np.uint8)
 
 
 def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,51 +55,57 @@ def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, blocks = len(ids), -(-len(ids) // BLOCK)
     escaped = ids > _LOW
     escapes = ids[escaped]
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), escapes
     wide = int(COUNTS.max())
-    bits = np.zeros((blocks, BLOCK + wide), np.uint8)
-    powers = np.uint64(1) << np.arange(60, dtype=np.uint64)
-    flat = np.zeros(blocks * BLOCK, np.uint8)
-    flat[:n] = np.searchsorted(powers, ids, "right")
-    flat[:n][escaped] = 255
-    bits[:, :BLOCK] = flat.reshape(blocks, BLOCK)
+    row = BLOCK + wide  # a block is followed by zeros: its last word reaches into them, not into the next block
+    size = n - (blocks - 1) * BLOCK  # of the last block
+
+    def padded(values: np.ndarray) -> np.ndarray:
+        out = np.zeros((blocks, row), values.dtype)
+        out[:-1, :BLOCK] = values[: n - size].reshape(blocks - 1, BLOCK)
+        out[-1, :size] = values[n - size :]
+        return out
+
+    bits = padded(_bits(ids))
+    bits[padded(escaped)] = 255
     reach = {1: bits}  # the widest of so many neighbours
     while max(reach) * 2 <= wide:
         last = max(reach)
         reach[2 * last] = np.maximum(reach[last][:, :-last], reach[last][:, last:])
-    choice = np.zeros((blocks, BLOCK), np.uint8)
-    for s in range(len(COUNTS) - 1, 0, -1):
+    choice = np.zeros((blocks, row), np.uint8)
+    own = choice[:, :BLOCK]
+    own += 1
+    for s in range(1, len(COUNTS)):  # what one selector can pack, the next can: the first that can is taken
         count = int(COUNTS[s])
         near = max(p for p in reach if p <= count)
         most = np.maximum(reach[near][:, :BLOCK], reach[near][:, count - near : count - near + BLOCK])
-        choice[most <= WIDTHS[s]] = s
-    lane, place, found = np.arange(blocks), np.zeros(blocks, np.int64), []
-    sizes = np.full(blocks, BLOCK)
-    if blocks:
-        sizes[-1] = n - (blocks - 1) * BLOCK
-    while len(lane):
-        found.append((lane, place))
-        place = place + COUNTS[choice[lane, place]]
-        more = place < sizes[lane]
-        lane, place = lane[more], place[more]
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), escapes
-    lanes, places = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((places, lanes))
-    lanes, places = lanes[order], places[order]
-    selector = choice[lanes, places]
-    start = lanes * BLOCK + places
+        own += most > WIDTHS[s]
+    own[own == len(COUNTS)] = 0
+    step = COUNTS[choice]
+    step[:, BLOCK:] = 0  # a block that is through stays where it is
+    step[-1, size:] = 0
+    step, at, starts = step.ravel(), np.arange(blocks) * row, np.zeros(blocks * row, bool)
+    ends = None
+    while ends is None or (ends != at).any():
+        at = at if ends is None else ends
+        starts[at] = True
+        ends = at + step[at]
+    start = np.flatnonzero(starts & (step > 0))
+    selector = choice.ravel()[start]
     words = selector.astype(np.uint64) << np.uint64(60)
-    padded = np.append(ids, np.zeros(wide, np.uint64))
-    in_block = np.arange(blocks) * BLOCK + sizes
+    flat = padded(ids).ravel()
     for s in range(1, len(COUNTS)):
         at = np.flatnonzero(selector == s)
-        for j in range(int(COUNTS[s]) if len(at) else 0):
-            here = start[at] + j
-            value = np.where(here < in_block[lanes[at]], padded[here], np.uint64(0))
-            words[at] |= value << np.uint64(j * int(WIDTHS[s]))
+        if not len(at):
+            continue
+        here, value = start[at], np.zeros(len(at), np.uint64)
+        for j in range(int(COUNTS[s])):
+            value |= flat[here + j] << np.uint64(j * int(WIDTHS[s]))
+        words[at] |= value
     out = np.flatnonzero(selector == 0)
-    words[out] |= (np.cumsum(escaped) - 1)[start[out]].astype(np.uint64)
-    return words, np.searchsorted(lanes, np.arange(blocks)).astype(np.uint32), escapes
+    words[out] |= np.arange(len(out), dtype=np.uint64)
+    return words, np.searchsorted(start, np.arange(blocks) * row).astype(np.uint32), escapes
 
 
 def decode_ids(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
@@ -170,21 +185,23 @@ class Encoder:
         if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
             raise ValueError("a tokenizer that normalizes and splits in another way")
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.spell = ByteLevel(add_prefix_space=False, use_regex=False)
+        spell = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled = {n: spell.pre_tokenize_str(chr(n))[0][0] for n in range(256)}
         self.model = self.whole.model
         self.lower = _Cache(self._lower, MOST_WORDS)
         self.words = _Cache(self._ids, MOST_WORDS // 8)
         # runs of marks; one with an apostrophe or underline is left to the tokenizer's pattern
         self.marks = re.compile(r"(?<![^\w\s])(?<!_)[^\w\s']+(?![^\w\s]|_)").sub
-        self.double = re.compile(r"[^\w\s][^\w\s]|_").search
         self.odd = re.compile("[\x1c-\x1f]").search  # white space to Python, not to the pattern
+        latin = map(chr, range(256))
+        self.kinds = "".join("o" if self.odd(c) else "m" if re.match(r"[^\w\s]", c) else "_" if c == "_" else " " for c in latin).encode()
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
-        """Ids of what the pattern takes as one; printable ASCII is spelled as it is, the rest by the library."""
-        spelled = part if part.isascii() and part.isprintable() else self.spell.pre_tokenize_str(part)[0][0]
+        """Ids of what the pattern takes as one; printable ASCII is spelled as it is, other characters as the library does."""
+        spelled = part if part.isascii() and part.isprintable() else part.translate(self.spelled)
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _lower(self, word: str) -> bytes:
@@ -192,26 +209,24 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if self.odd(text):
+        kinds = self._kinds(text)
+        if self.odd(text) if kinds is None else b"o" in kinds:
             return self._ids(text)
-        if "<|" in text or not _latin(text):  # a special token's text is one token
+        if kinds is None or "<|" in text:  # a special token's text is one token
             return b"".join(map(self.words.__getitem__, text.split()))
         text = text.lower()
-        if self.double(text):
+        if b"mm" in kinds or b"_" in kinds:
             text = self.marks(r" \g<0> ", text)
         else:
             text = text.replace(",", " , ").replace(".", " . ")
         return b"".join(map(self.lower.__getitem__, text.split()))
 
-
-def _latin(text: str) -> bool:
-    if text.isascii():
-        return True
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+    def _kinds(self, text: str) -> bytes | None:
+        """The kind of each character of a Latin-1 text: mark, underline, odd or other."""
+        try:
+            return text.encode("latin-1").translate(self.kinds)
+        except UnicodeEncodeError:
+            return None
 
 
 @lru_cache(maxsize=2)

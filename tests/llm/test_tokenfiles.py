@@ -27,6 +27,38 @@ def test_small_ids_share_words():
     assert len(t.encode_ids(np.arange(30000, 33000))[0]) < 1005
 
 
+@pytest.mark.parametrize("n", [1, t.BLOCK - 1, t.BLOCK, t.BLOCK + 1, 3 * t.BLOCK + 37])
+def test_words_are_filled_first_come_first_packed(n):
+    rng = np.random.default_rng(n)
+    ids = rng.integers(0, 1 << 40, n, dtype=np.uint64) >> rng.integers(0, 41, n, dtype=np.uint64)
+    ids[::29] = 0
+    ids[:: t.BLOCK - 1] = (1 << 64) - 1
+    words, offsets, escapes, held = [], [], [], ids.tolist()
+    for low in range(0, n, t.BLOCK):
+        offsets.append(len(words))
+        at, high = low, min(low + t.BLOCK, n)
+        while at < high:
+            fit = lambda s: all(x.bit_length() <= t.WIDTHS[s] for x in held[at : min(at + t.COUNTS[s], high)])  # noqa: B023, E731
+            s = next((s for s in range(1, len(t.COUNTS)) if fit(s)), 0)
+            part = held[at : min(at + int(t.COUNTS[s]), high)] if s else [len(escapes)]
+            escapes += [] if s else held[at : at + 1]
+            words.append(s << 60 | sum(x << i * int(t.WIDTHS[s]) for i, x in enumerate(part)))
+            at += int(t.COUNTS[s])
+    assert [x.tolist() for x in t.encode_ids(ids)] == [words, offsets, escapes]
+
+
+def test_latin_texts_are_looked_over_and_spelled_without_the_library():
+    made = t.Encoder(PATH)
+    kinds = made._kinds("".join(map(chr, range(256))))
+    assert {chr(n) for n in range(256) if kinds[n] == ord("m")} == {c for c in map(chr, range(256)) if not (c.isalnum() or c.isspace() or c == "_")}
+    assert [n for n in range(256) if kinds[n] == ord("o")] == [28, 29, 30, 31] and kinds[ord("_")] == ord("_")
+    assert made._kinds("日") is None
+    texts = ["Ça va, über_all!? x--y.", "na\u00efve\u00a0\u00ad\u0085caf\u00e9's (a) b...", "µ ²½ ª\x00\x7f", "ÀÉ,ÿ."]
+    want = [t.encoder(PATH).whole.encode(x, add_special_tokens=False).ids for x in texts]
+    made.whole = made.odd = None
+    assert [np.frombuffer(made.encode(x), "<u4").tolist() for x in texts] == want
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'stremdlL\x1c\x85\xa0ßİΣ<|>")), max_size=60))
 def test_cached_ids_are_the_tokenizer_s(text):
